@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.functions.expressions import as_double, round_half_up
+from invoicelake.functions.expressions import as_double, round_half_even, round_half_up
 from invoicelake.functions.ordering import running_totals, top_rows
 from invoicelake.operators.gold import active_customers
 from invoicelake.operators.rfm import rfm_scores
@@ -37,14 +37,15 @@ def train(snapshot: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
     """Fit on a labelled snapshot. Spark's trees take no missing values, so those count as 0."""
     shared_folder(snapshot.sparkSession)  # long boosting chains are checkpointed there
     filled = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0D) AS _{c}" for c in FEATURES)
+    trees = GBTClassifier(
+        featuresCol="_features", labelCol="churned", predictionCol="_prediction",
+        maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE, maxIter=rounds, seed=SEED, maxBins=MAX_BINS,
+        minInstancesPerNode=MIN_ROWS_PER_LEAF, checkpointInterval=10)
+    trees.setRawPredictionCol("_raw").setProbabilityCol("_probability")
     return Pipeline(stages=[
         SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
         VectorAssembler(inputCols=[f"_{c}" for c in FEATURES], outputCol="_features"),
-        GBTClassifier(
-            featuresCol="_features", labelCol="churned", rawPredictionCol="_raw",
-            probabilityCol="_probability", predictionCol="_prediction",
-            maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE, maxIter=rounds, seed=SEED,
-            maxBins=MAX_BINS, minInstancesPerNode=MIN_ROWS_PER_LEAF, checkpointInterval=10),
+        trees,
     ]).fit(snapshot)
 
 
@@ -55,9 +56,10 @@ def probabilities(model: PipelineModel, customers: DataFrame) -> DataFrame:
 
 
 def at_risk(p: Column) -> list[Column]:
-    """Published probability and expected loss, from the unrounded probability; half-even."""
+    """Published probability and expected loss, both from the unrounded probability."""
     spend = F.greatest(F.col("revenue_365d"), F.lit(0.0))
-    return [F.bround(p, 4).alias("churn_probability"), F.bround(p * spend, 2).alias("revenue_at_risk")]
+    return [round_half_even(p, 4).alias("churn_probability"),
+            round_half_even(p * spend, 2).alias("revenue_at_risk")]
 
 
 def score(model: PipelineModel, customers: DataFrame, run_id: str | None = None) -> DataFrame:

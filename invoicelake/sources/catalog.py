@@ -17,10 +17,10 @@ def create_schema(spark: SparkSession, schema: str, comment: str = "") -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)} COMMENT '{_text(comment)}'")
 
 
-def save_table(df: DataFrame, name: str, comment: str) -> DataFrame:
+def save_table(df: DataFrame, name: str, comment: str, mode: str = "overwrite") -> DataFrame:
     """Overwrite a managed table (its schema may change), document it, and return it as stored."""
     spark = df.sparkSession
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    df.write.mode(mode).format("parquet").saveAsTable(name)
     spark.sql(f"COMMENT ON TABLE {_quoted(name)} IS '{_text(comment)}'")
     return spark.table(name)
 
