@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from invoicelake.operators import churn, gold, rfm, silver
 from invoicelake.schema import CHURN_RISK, HORIZON_DAYS, LABELLED, MIN_RETENTION, SILVER, conform
 from invoicelake.session import stage
-from invoicelake.sources.catalog import create_schema, save_parquet, save_table
+from invoicelake.sources.catalog import (
+    create_schema, drop_old_versions, save_parquet, save_table, save_view)
 from invoicelake.sources.landing import with_audit
 
 COMMENTS = {
     "bronze_transactions": "Invoice lines as received, all text, with source file and time of ingestion",
+    "lines": "One version of the typed, deduplicated, labelled lines; read it through the silver views",
     "silver_transactions": "Clean product sales and cancellations, one row per line; cancellations have a negative line_value",
     "silver_quarantine": "Lines kept out of silver, each with its reject_reason",
     "gold_monthly_kpis": "Additive measures per month and country",
@@ -26,26 +28,35 @@ COMMENTS = {
 }
 
 
-def split_layers(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Write the labelled lines once, one folder per layer; return silver and quarantine from it.
+LAYERS = {"silver": SILVER, "quarantine": LABELLED}
 
-    One pass over bronze and one deduplication feed both tables, and either is read by partition
-    pruning. Silver is sorted by date inside each file, so that date filters skip row groups.
+
+def layered(labelled: DataFrame) -> DataFrame:
+    """Labelled lines ready to be stored once, one folder per layer.
+
+    One pass over bronze and one deduplication feed both silver and quarantine, and either is
+    read by partition pruning. Lines are sorted by date inside each file, so that date filters
+    skip row groups.
     """
-    layered = silver.with_line_value(labelled).withColumn(
-        "layer", F.when(F.col("reject_reason").isNull(), "silver").otherwise("quarantine"))
-    stored = stage(
-        layered.sortWithinPartitions("layer", "invoice_date"), "labelled", partition_by="layer")
-    clean = stored.filter(F.col("layer") == "silver").drop("reject_reason", "layer")
-    rejected = stored.filter(F.col("layer") == "quarantine").drop("invoice_date", "line_value", "layer")
-    return conform(clean, SILVER), conform(rejected, LABELLED)
+    return silver.with_line_value(labelled).withColumn(
+        "layer", F.when(F.col("reject_reason").isNull(), "silver").otherwise("quarantine")
+    ).sortWithinPartitions("layer", "invoice_date")
+
+
+def layer(stored: DataFrame, name: str) -> DataFrame:
+    """One layer of the stored lines."""
+    schema = LAYERS[name]
+    return conform(stored.filter(F.col("layer") == name).select(*schema.names), schema)
+
+
+def layer_counts(stored: DataFrame) -> DataFrame:
+    """(reject_reason, lines) of the stored lines, clean lines under NULL: a one-column scan."""
+    return stored.groupBy("reject_reason").agg(F.count("*").alias("lines"))
 
 
-def layer_counts(clean: DataFrame, rejected: DataFrame) -> DataFrame:
-    """(reject_reason, lines) over both layers; clean lines under NULL."""
-    return clean.select(F.lit(None).cast("string").alias("reject_reason")).unionByName(
-        rejected.select("reject_reason")
-    ).groupBy("reject_reason").agg(F.count("*").alias("lines"))
+def publish_layer(spark: SparkSession, version: str, name: str, view: str) -> DataFrame:
+    columns = LAYERS[name].names
+    return save_view(spark, view, version, columns, f"layer = '{name}'", COMMENTS[view.split(".")[-1]])
 
 
 def require_retention(counts: DataFrame, minimum: float) -> None:
@@ -108,11 +119,18 @@ def run_pipeline(
 
     create_schema(spark, schema, "Retail invoices: bronze, silver and gold tables")
     bronze = publish(with_audit(spark, landing), "bronze_transactions")
-    clean, rejected = split_layers(silver.label_rows(bronze))
-    counts = layer_counts(clean, rejected)
-    require_retention(counts, minimum_retention)
-    publish(rejected, "silver_quarantine")
-    lines = publish(clean, "silver_transactions")
+    version = f"{schema}.lines_{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
+    stored = save_table(layered(silver.label_rows(bronze)), version, COMMENTS["lines"], partition_by="layer")
+    counts = layer_counts(stored)
+    try:
+        require_retention(counts, minimum_retention)
+    except silver.QualityGateFailed:
+        spark.sql(f"DROP TABLE {version}")
+        raise
+    # both layers are views of the version just checked: publishing copies no line
+    publish_layer(spark, version, "quarantine", f"{schema}.silver_quarantine")
+    lines = publish_layer(spark, version, "silver", f"{schema}.silver_transactions")
+    drop_old_versions(spark, schema, "lines_")
 
     days = gold.snapshot_days(lines)
     tables = {

@@ -159,7 +159,7 @@ CHURN = {
     "publish_gate": publish_gate,
     "churn_risk": lambda ws: ws.model_risk,
     "run_report": lambda ws: pipeline.run_report(
-        pipeline.layer_counts(*ws.layers), ws.days, ws.evaluation[2]),
+        pipeline.layer_counts(ws.lines), ws.days, ws.evaluation[2]),
 }
 
 MEASURES = {

@@ -52,12 +52,13 @@ class Workspace:
         return silver.label_rows(self.bronze)
 
     @cached_property
-    def layers(self) -> tuple[DataFrame, DataFrame]:
-        return pipeline.split_layers(self.labelled)
+    def lines(self) -> DataFrame:
+        """Typed, deduplicated, labelled lines of both layers."""
+        return stage(pipeline.layered(self.labelled), "lines", partition_by="layer")
 
     @property
     def silver(self) -> DataFrame:
-        return self.layers[0]
+        return pipeline.layer(self.lines, "silver")
 
     @cached_property
     def days(self) -> dict[str, dt.date]:

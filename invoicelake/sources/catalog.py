@@ -17,14 +17,35 @@ def create_schema(spark: SparkSession, schema: str, comment: str = "") -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)} COMMENT '{_text(comment)}'")
 
 
-def save_table(df: DataFrame, name: str, comment: str, mode: str = "overwrite") -> DataFrame:
+def save_table(
+    df: DataFrame, name: str, comment: str, mode: str = "overwrite", partition_by: str | None = None
+) -> DataFrame:
     """Overwrite a managed table (its schema may change), document it, and return it as stored."""
     spark = df.sparkSession
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    writer = df.write.mode(mode).format("parquet")
+    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
     spark.sql(f"COMMENT ON TABLE {_quoted(name)} IS '{_text(comment)}'")
     return spark.table(name)
 
 
+def save_view(
+    spark: SparkSession, name: str, table: str, columns: list[str], condition: str, comment: str
+) -> DataFrame:
+    """Point a documented view at a part of a stored table, in one step for its readers."""
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {_quoted(name)} COMMENT '{_text(comment)}' AS "
+        f"SELECT {listed} FROM {_quoted(table)} WHERE {condition}")
+    return spark.table(name)
+
+
+def drop_old_versions(spark: SparkSession, schema: str, prefix: str, keep: int = 2) -> None:
+    """Drop all but the newest versions; one older version stays for queries still reading it."""
+    names = sorted(t.name for t in spark.catalog.listTables(schema) if t.name.startswith(prefix))
+    for name in names[:-keep]:
+        spark.sql(f"DROP TABLE {_quoted(f'{schema}.{name}')}")
+
+
 def save_parquet(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,6 +39,22 @@ def test_bad_extract_replaces_nothing(spark, landing):
     assert not spark.catalog.tableExists("gated.silver_quarantine")
 
 
+def test_rerun_switches_to_the_new_version(spark, bronze, tmp_path, monkeypatch):
+    def stop(*args):
+        raise churn.PublishRefused("enough")
+    monkeypatch.setattr(pipeline, "evaluate_model", stop)
+    bronze.coalesce(1).write.parquet(str(tmp_path / "landing"))
+    for run in range(4):
+        with pytest.raises(churn.PublishRefused):
+            pipeline.run_pipeline(spark, str(tmp_path / "landing"), "again", minimum_retention=0.5)
+        bronze.limit(1).selectExpr(
+            f"'9{run}' AS invoice", *bronze.columns[1:]).write.mode("append").parquet(str(tmp_path / "landing"))
+    versions = [t.name for t in spark.catalog.listTables("again") if t.name.startswith("lines_")]
+    assert len(versions) == 2
+    assert spark.table("again.silver_transactions").count() == 9
+    assert spark.table("again.silver_quarantine").count() == 5
+
+
 def test_weak_model_publishes_no_scores(spark, landing, monkeypatch):
     monkeypatch.setattr(churn, "publishable", lambda metrics: False)
     with pytest.raises(churn.PublishRefused):
