@@ -15,6 +15,12 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
+def spread(lines: DataFrame) -> DataFrame:
+    """A table of fewer splits than cores is dealt out to all of them; a large one stays as it is."""
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
+
 def derive_bronze(spark: SparkSession, folder: str) -> DataFrame:
     """Join the star schema into text invoice lines. No hints: Spark sizes the small sides itself."""
     def table(name: str) -> DataFrame:
@@ -24,11 +30,12 @@ def derive_bronze(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck"),
         F.substring(_text(F.col("o_orderdate")), 1, 10).alias("day"),
     )
+    lineitem = table("lineitem").select(
+        F.col("l_orderkey").alias("ok"), F.col("l_partkey").alias("pk"),
+        F.col("l_linenumber").alias("ln"), F.col("l_quantity").cast("int").alias("qty"),
+        F.col("l_returnflag").alias("rf"))
     base = (
-        table("lineitem")
-        .select(F.col("l_orderkey").alias("ok"), F.col("l_partkey").alias("pk"),
-                F.col("l_linenumber").alias("ln"), F.col("l_quantity").cast("int").alias("qty"),
-                F.col("l_returnflag").alias("rf"))
+        spread(lineitem)
         .join(orders, "ok")
         .join(table("part").select(F.col("p_partkey").alias("pk"), "p_name"), "pk")
         .join(table("customer").select(F.col("c_custkey").alias("ck"),
