@@ -116,12 +116,12 @@ def column_matches(
     Extra, renamed and reordered columns are fine; numbers may differ by ``rtol``; the number of
     rows must be the same.
     """
-    want = stage(_value_counts(reference), "wanted_values")
-    got = stage(_value_counts(result), "found_values")
+    values = stage(
+        _value_counts(reference).withColumn("side", F.lit("want")).unionByName(
+            _value_counts(result).withColumn("side", F.lit("got"))), "column_values")
+    want, got = (values.filter(F.col("side") == side).drop("side") for side in ("want", "got"))
     # one row per column and per pair of columns reaches the driver, never a value
-    sizes = want.select(F.lit("want").alias("side"), "name", "n").unionByName(
-        got.select(F.lit("got").alias("side"), "name", "n")
-    ).groupBy("side", "name").agg(F.sum("n").alias("rows")).collect()
+    sizes = values.groupBy("side", "name").agg(F.sum("n").alias("rows")).collect()
     matches: dict[str, str] = {}
     if not sizes:  # both are empty: every column matches
         matches = {c: min(result.columns) for c in reference.columns}

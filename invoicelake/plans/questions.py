@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake.operators.compare import outcome_table, results_match
-from invoicelake.operators.screening import run_sql
+from invoicelake.operators.screening import screen_queries
 from invoicelake.sources.catalog import register_views
 
 # Money is added as DECIMAL so that the order of addition cannot change the last digit.
@@ -76,11 +76,14 @@ def score_answers(
     """
     register_views(tables)
     outcomes = []
-    for case in cases.orderBy("question").toLocalIterator():
+    for case in screen_queries(cases, "candidate").orderBy("question").toLocalIterator():
+        if case.blocked_because:
+            outcomes.append((case.question, False, f"BLOCKED: {case.blocked_because}"))
+            continue
         try:
-            result = run_sql(spark, case.candidate)
-            outcomes.append((case.question, results_match(spark.sql(case.sql), result), case.candidate))
-        except Exception as problem:  # a candidate may be unsafe or wrong SQL: it fails, the run goes on
+            ok = results_match(spark.sql(case.sql), spark.sql(case.safe_sql))
+            outcomes.append((case.question, ok, case.safe_sql))
+        except Exception as problem:  # a candidate may be wrong SQL: it fails, the run goes on
             outcomes.append((case.question, False, f"ERROR: {type(problem).__name__}: {str(problem)[:200]}"))
     return outcome_table(outcomes, cases)
 

@@ -13,7 +13,7 @@ def landing(spark):
 
 def test_full_run(spark, landing, tmp_path, monkeypatch):
     monkeypatch.setattr(churn, "publishable", lambda metrics: True)
-    report = pipeline.run_pipeline(spark, landing, "full", str(tmp_path / "gold"), rounds=2,
+    report = pipeline.run_pipeline(spark, landing, "spark_catalog.full", str(tmp_path / "gold"), rounds=2,
                                    model_path=str(tmp_path / "model"))
     values = {(r.section, r.name): r.value for r in report.collect()}
     assert values["lines", "clean"] == "5522" and values["lines", "unparseable"] == "198"
