@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from invoicelake.operators.screening import FORBIDDEN
-from invoicelake.plans.questions import question_sql
 from invoicelake.plans.registry import HOME, YEAR
 
 BRONZE = """
@@ -398,9 +397,36 @@ def all_oracles() -> dict[str, str]:
                      CAST(SUM(CAST(revenue_365d AS DECIMAL(28,2))) AS DOUBLE) AS revenue_365d
               FROM gold_customer_churn_risk)"""),
     }
-    for name in ("net_revenue_year", "top_foreign", "leakage_pct", "best_month", "segment_counts",
-                 "top_cancelled", "at_risk_country", "monthly_net"):
-        sqls[f"q_{name}"] = _sql(ALL_GOLD, question_sql(name, YEAR, HOME))
-    for name in ("total_risk", "top_risk", "high_risk"):
-        sqls[f"q_{name}_by_rate"] = _sql(ON_RISK, question_sql(name, YEAR, HOME))
+    def added(column: str) -> str:
+        return f"CAST(SUM(CAST({column} AS DECIMAL(28,2))) AS DOUBLE) AS {column}"
+
+    in_year = f"month >= DATE '{YEAR}-01-01' AND month < DATE '{YEAR + 1}-01-01'"
+    sqls |= {f"q_{name}": _sql(ALL_GOLD, body) for name, body in {
+        "net_revenue_year": f"SELECT {added('net_revenue')} FROM gold_monthly_kpis WHERE {in_year}",
+        "top_foreign": f"""
+            SELECT country, {added('gross_revenue')} FROM gold_monthly_kpis WHERE country <> '{HOME}'
+            GROUP BY country ORDER BY gross_revenue DESC, country LIMIT 5""",
+        "leakage_pct": f"""
+            SELECT floor(cancelled_value / gross_revenue * 100 * 100 + 0.5) / 100 AS leakage_pct
+            FROM (SELECT {added('cancelled_value')}, {added('gross_revenue')} FROM gold_monthly_kpis)""",
+        "best_month": f"""
+            SELECT month, {added('net_revenue')} FROM gold_monthly_kpis
+            GROUP BY month ORDER BY net_revenue DESC, month LIMIT 1""",
+        "segment_counts": "SELECT segment, COUNT(*) AS customers FROM gold_customer_rfm GROUP BY segment",
+        "top_cancelled": """
+            SELECT stock_code, description, cancelled_value FROM gold_product_performance
+            ORDER BY cancelled_value DESC, stock_code LIMIT 5""",
+        "at_risk_country": """
+            SELECT country, COUNT(*) AS customers FROM gold_customer_rfm WHERE segment = 'At Risk'
+            GROUP BY country ORDER BY customers DESC, country LIMIT 1""",
+        "monthly_net": f"""
+            SELECT month, {added('net_revenue')} FROM gold_monthly_kpis WHERE {in_year} GROUP BY month""",
+    }.items()}
+    sqls |= {f"q_{name}_by_rate": _sql(ON_RISK, body) for name, body in {
+        "total_risk": f"SELECT {added('revenue_at_risk')} FROM gold_customer_churn_risk",
+        "top_risk": """
+            SELECT customer_id, revenue_at_risk FROM gold_customer_churn_risk
+            ORDER BY revenue_at_risk DESC, customer_id LIMIT 10""",
+        "high_risk": "SELECT COUNT(*) AS customers FROM gold_customer_churn_risk WHERE churn_probability > 0.5",
+    }.items()}
     return sqls

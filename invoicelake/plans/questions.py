@@ -1,68 +1,80 @@
-"""Standing questions over the gold tables, as SQL, and the scoring of other answers to them."""
+"""Standing questions over the gold tables, and the scoring of SQL answers from elsewhere."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from invoicelake.functions.expressions import round_half_up
+from invoicelake.operators import findings, measures
 from invoicelake.operators.compare import outcome_table, results_match
 from invoicelake.operators.screening import screen_queries
+from invoicelake.schema import HIGH_RISK
 from invoicelake.sources.catalog import register_views
 
-# Money is added as DECIMAL so that the order of addition cannot change the last digit.
-QUESTIONS = {
-    "net_revenue_year": """
-        SELECT CAST(SUM(CAST(net_revenue AS DECIMAL(28,2))) AS DOUBLE) AS net_revenue
-        FROM gold_monthly_kpis WHERE month >= DATE '{year}-01-01' AND month < DATE '{next_year}-01-01'""",
-    "top_foreign": """
-        SELECT country, CAST(SUM(CAST(gross_revenue AS DECIMAL(28,2))) AS DOUBLE) AS gross_revenue
-        FROM gold_monthly_kpis WHERE country <> '{home}'
-        GROUP BY country ORDER BY gross_revenue DESC, country LIMIT 5""",
-    "leakage_pct": """
-        SELECT FLOOR(100 * CAST(SUM(CAST(cancelled_value AS DECIMAL(28,2))) AS DOUBLE)
-                         / NULLIF(CAST(SUM(CAST(gross_revenue AS DECIMAL(28,2))) AS DOUBLE), 0)
-                     * 100 + 0.5) / CAST(100 AS DOUBLE) AS leakage_pct
-        FROM gold_monthly_kpis""",
-    "best_month": """
-        SELECT month, CAST(SUM(CAST(net_revenue AS DECIMAL(28,2))) AS DOUBLE) AS net_revenue
-        FROM gold_monthly_kpis GROUP BY month ORDER BY net_revenue DESC, month LIMIT 1""",
-    "segment_counts": """
-        SELECT segment, COUNT(*) AS customers FROM gold_customer_rfm GROUP BY segment""",
-    "total_risk": """
-        SELECT CAST(SUM(CAST(revenue_at_risk AS DECIMAL(28,2))) AS DOUBLE) AS revenue_at_risk
-        FROM gold_customer_churn_risk""",
-    "top_risk": """
-        SELECT customer_id, revenue_at_risk FROM gold_customer_churn_risk
-        ORDER BY revenue_at_risk DESC, customer_id LIMIT 10""",
-    "top_cancelled": """
-        SELECT stock_code, description, cancelled_value FROM gold_product_performance
-        ORDER BY cancelled_value DESC, stock_code LIMIT 5""",
-    "high_risk": """
-        SELECT COUNT(*) AS customers FROM gold_customer_churn_risk WHERE churn_probability > 0.5""",
-    "at_risk_country": """
-        SELECT country, COUNT(*) AS customers FROM gold_customer_rfm WHERE segment = 'At Risk'
-        GROUP BY country ORDER BY customers DESC, country LIMIT 1""",
-    "monthly_net": """
-        SELECT month, CAST(SUM(CAST(net_revenue AS DECIMAL(28,2))) AS DOUBLE) AS net_revenue
-        FROM gold_monthly_kpis WHERE month >= DATE '{year}-01-01' AND month < DATE '{next_year}-01-01'
-        GROUP BY month""",
-}
 
+@dataclass
+class Gold:
+    """The four gold tables a question is asked of, and what it is asked about."""
 
-def question_sql(name: str, year: int = 2000, home: str = "NATION_0") -> str:
-    return QUESTIONS[name].format(year=year, next_year=year + 1, home=home)
+    kpis: DataFrame
+    products: DataFrame
+    rfm: DataFrame
+    risk: DataFrame
+    year: int
+    home: str
 
+    def in_year(self) -> DataFrame:
+        return self.kpis.filter(F.year("month") == self.year)
 
-def answer(
-    spark: SparkSession, name: str, tables: dict[str, DataFrame], year: int = 2000,
-    home: str = "NATION_0",
-) -> DataFrame:
-    register_views(tables)
-    return spark.sql(question_sql(name, year, home))
+
+def top_foreign(t: Gold, n: int = 5) -> DataFrame:
+    abroad = measures.revenue_measures(t.kpis.filter(F.col("country") != t.home), ["country"])
+    return abroad.select("country", "gross_revenue").orderBy(F.desc("gross_revenue"), "country").limit(n)
+
+
+def best_month(t: Gold) -> DataFrame:
+    months = measures.revenue_measures(t.kpis, ["month"]).select("month", "net_revenue")
+    return months.orderBy(F.desc("net_revenue"), "month").limit(1)
+
+
+def at_risk_country(t: Gold) -> DataFrame:
+    return (
+        t.rfm.filter(F.col("segment") == "At Risk").groupBy("country")
+        .agg(F.count("*").alias("customers"))
+        .orderBy(F.desc("customers"), "country").limit(1)
+    )
+
+
+def top_cancelled(t: Gold, n: int = 5) -> DataFrame:
+    return (
+        t.products.select("stock_code", "description", "cancelled_value")
+        .orderBy(F.desc("cancelled_value"), "stock_code").limit(n)
+    )
+
+
+QUESTIONS: dict[str, Callable[[Gold], DataFrame]] = {
+    "net_revenue_year": lambda t: measures.year_slice(t.kpis, t.year).select("net_revenue"),
+    "top_foreign": top_foreign,
+    "leakage_pct": lambda t: measures.revenue_measures(t.kpis).select(
+        round_half_up(F.col("leakage") * 100, 2).alias("leakage_pct")),
+    "best_month": best_month,
+    "segment_counts": lambda t: measures.segment_counts(t.rfm),
+    "total_risk": lambda t: measures.risk_cards(t.risk).select("revenue_at_risk"),
+    "top_risk": lambda t: findings.call_list(t.risk, 10).select("customer_id", "revenue_at_risk"),
+    "top_cancelled": top_cancelled,
+    "high_risk": lambda t: t.risk.filter(F.col("churn_probability") > HIGH_RISK).agg(
+        F.count("*").alias("customers")),
+    "at_risk_country": at_risk_country,
+    "monthly_net": lambda t: measures.revenue_measures(t.in_year(), ["month"]).select("month", "net_revenue"),
+}
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of {question, sql} records, with an optional candidate answer each."""
+    """A JSON array of {question, sql} records, with a candidate answer to each."""
     return spark.read.schema("question string, sql string, candidate string").option(
         "multiLine", True).json(path)
 

@@ -113,8 +113,11 @@ def churn_model(ws: Workspace) -> DataFrame:
 
 
 def ask(name: str, risk: Callable[[Workspace], DataFrame] | None = None):
-    return over(lambda ws: questions.answer(
-        ws.spark, name, ws.gold_tables(risk(ws) if risk else None), YEAR, HOME))
+    def run(ws: Workspace) -> DataFrame:
+        scores = risk(ws) if risk else None
+        return questions.QUESTIONS[name](
+            questions.Gold(ws.kpis, ws.products, ws.rfm, scores, YEAR, HOME))
+    return over(run)
 
 
 BRONZE_AND_SILVER = {
@@ -217,7 +220,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in questions.QUESTIONS:
         if name in RISK_QUESTIONS:
             named[f"q_{name}"] = ask(name, lambda ws: ws.model_risk)
-            named[f"q_{name}_by_rate"] = ask(name)
+            named[f"q_{name}_by_rate"] = ask(name, lambda ws: ws.rate_risk)
         else:
             named[f"q_{name}"] = ask(name)
     return named

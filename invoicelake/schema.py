@@ -22,6 +22,15 @@ FEATURES = [
     "recency_days", "frequency", "monetary", "revenue_365d", "orders_90d",
     "distinct_products", "cancel_rate", "avg_order_value", "tenure_days",
 ]
+# segment: (lowest and highest recency score, lowest and highest frequency score)
+SEGMENTS = {
+    "Champions": ((4, 5), (4, 5)),
+    "Promising": ((4, 5), (1, 2)),
+    "Loyal": ((3, 5), (3, 5)),
+    "At Risk": ((1, 2), (3, 5)),
+    "Hibernating": ((1, 2), (1, 2)),
+    "Needs Attention": ((3, 3), (1, 2)),
+}
 # ----------------------------------------------------------------------------------
 
 # Money is exact inside the engine and published as DOUBLE by the gold tables.
@@ -33,6 +42,10 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+def _plus(base: T.StructType, **columns: T.DataType) -> T.StructType:
+    return T.StructType(base.fields + _struct(**columns).fields)
+
+
 _S, _I, _L, _D, _DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType()
 
 BRONZE = _struct(
@@ -40,16 +53,14 @@ BRONZE = _struct(
     customer_id=_S, country=_S,
 )
 
-LABELLED = _struct(
+LINE = _struct(
     invoice=_S, stock_code=_S, description=_S, quantity=_I, invoice_ts=T.TimestampNTZType(),
-    price=PRICE, customer_id=_S, country=_S, is_cancellation=T.BooleanType(), reject_reason=_S,
+    price=PRICE, customer_id=_S, country=_S,
 )
 
-SILVER = _struct(
-    invoice=_S, stock_code=_S, description=_S, quantity=_I, invoice_ts=T.TimestampNTZType(),
-    price=PRICE, customer_id=_S, country=_S, is_cancellation=T.BooleanType(),
-    invoice_date=_DATE, line_value=MONEY,
-)
+LABELLED = _plus(LINE, is_cancellation=T.BooleanType(), reject_reason=_S)
+
+SILVER = _plus(LINE, is_cancellation=T.BooleanType(), invoice_date=_DATE, line_value=MONEY)
 
 MONTHLY_KPIS = _struct(
     month=_DATE, country=_S, gross_revenue=_D, cancelled_value=_D, orders=_L, customers=_L,
@@ -66,16 +77,11 @@ CUSTOMER_FEATURES = _struct(
     avg_order_value=_D, recency_days=_I, tenure_days=_I, as_of=_DATE,
 )
 
-CUSTOMER_RFM = T.StructType(
-    CUSTOMER_FEATURES.fields + _struct(r_score=_I, f_score=_I, m_score=_I, segment=_S).fields
-)
+CUSTOMER_RFM = _plus(CUSTOMER_FEATURES, r_score=_I, f_score=_I, m_score=_I, segment=_S)
 
-CHURN_SNAPSHOT = T.StructType(CUSTOMER_FEATURES.fields + _struct(churned=_I).fields)
+CHURN_SNAPSHOT = _plus(CUSTOMER_FEATURES, churned=_I)
 
-CHURN_RISK = T.StructType(
-    CUSTOMER_RFM.fields
-    + _struct(churn_probability=_D, revenue_at_risk=_D, model_run_id=_S).fields
-)
+CHURN_RISK = _plus(CUSTOMER_RFM, churn_probability=_D, revenue_at_risk=_D, model_run_id=_S)
 
 
 class SchemaMismatch(ValueError):
