@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Candidates for a rank are narrowed down until so few rows are left, then ranked directly.
+# Candidates are narrowed down until this many are left for all ranks together, then ranked as they are.
 RANKED_DIRECTLY = 500_000
 STEPS = 200             # quantiles per narrowing round
 ACCURACY = 10_000       # percentile_approx: rank error of at most 1/ACCURACY of the rows
@@ -27,7 +27,7 @@ PREFIX_STEP = 2         # characters added per round when many rows share the va
 
 @dataclass
 class Cut:
-    """The key at one rank. ``tie`` None means that every row with the value is within the rank."""
+    """The key at one rank. ``tie`` None means that all rows with the value are within the rank."""
 
     value: float
     tie: str | None = None
@@ -79,26 +79,15 @@ def rank_cuts(
     a stored table.
     """
     data = df.select(F.col(tie).alias("_tie"), *[order_value(c).alias(k) for k, c in keys.items()])
-    names = list(keys)
-    first = data.agg(
-        F.count("*").alias("n"),
-        *[F.min(k).alias(f"min_{k}") for k in names], *[F.max(k).alias(f"max_{k}") for k in names],
-        *[_grid(k).alias(f"grid_{k}") for k in names],
-    ).first()
-    wanted = ranks(first.n) if first.n else []
-    searches = [
-        _Search(k, rank, *_bracket(first[f"grid_{k}"], rank / first.n,
-                                   first[f"min_{k}"], first[f"max_{k}"]))
-        for k in names for rank in wanted
-    ]
-    if searches:
-        _count(data, searches)
-        for s in searches:
-            if not s.holds:  # the approximation missed: all values are candidates
-                s.low, s.high, s.below, s.inside = first[f"min_{s.key}"], first[f"max_{s.key}"], 0, first.n
-        _find_values(data, searches, ranked_directly)
-        _find_ties(data, searches, ranked_directly)
-    return {k: [Cut(s.low, s.tie) for s in searches if s.key == k] for k in names}
+    n = data.count()
+    wanted = ranks(n) if n else []
+    searches = [_Search(k, rank, float("-inf"), float("inf"), 0, n) for k in keys for rank in wanted]
+    few = max(1, ranked_directly // max(1, len(searches)))
+    _narrow(data, searches, few)
+    _rank_directly(data, searches, few)
+    _find_values(data, searches)
+    _find_ties(data, searches, few)
+    return {k: [Cut(s.low, s.tie) for s in searches if s.key == k] for k in keys}
 
 
 def _grid(value: str, steps: int = STEPS) -> Column:
@@ -121,25 +110,44 @@ def _count(data: DataFrame, searches: list[_Search]) -> None:
         s.below, s.inside = row[f"below_{i}"], row[f"inside_{i}"]
 
 
-def _find_values(data: DataFrame, searches: list[_Search], ranked_directly: int) -> None:
-    while wide := [s for s in searches
-                   if s.low < s.high and s.inside > ranked_directly and not s.settled]:
-        row = (
-            data.select(*[F.when(s.candidates(), F.col(s.key)).alias(f"c{i}")
-                          for i, s in enumerate(wide)])
-            .agg(*[_grid(f"c{i}").alias(f"grid_{i}") for i in range(len(wide))]).first()
-        )
-        before = [(s.low, s.high, s.below, s.inside) for s in wide]
-        for i, s in enumerate(wide):
-            s.low, s.high = _bracket(
-                row[f"grid_{i}"], (s.rank - s.below) / s.inside, s.low, s.high)
+def _narrow(data: DataFrame, searches: list[_Search], few: int) -> None:
+    """Leave few candidates to every search: quantiles among the candidates, then exact counts."""
+    while wide := [s for s in searches if s.low < s.high and s.inside > few and not s.settled]:
+        # searches that still share their candidates share one pass over them
+        shared = list({(s.key, s.low, s.high): s for s in wide}.items())
+        row = data.select(*[
+            F.when(s.candidates(), F.col(s.key)).alias(f"c{i}") for i, (_, s) in enumerate(shared)
+        ]).agg(*[
+            column for i in range(len(shared)) for column in (
+                _grid(f"c{i}").alias(f"grid_{i}"),
+                F.min(f"c{i}").alias(f"min_{i}"), F.max(f"c{i}").alias(f"max_{i}"))
+        ]).first()
+        group = {key: i for i, (key, _) in enumerate(shared)}
+        old = []
+        for s in wide:
+            i = group[s.key, s.low, s.high]
+            ends = row[f"min_{i}"], row[f"max_{i}"]
+            old.append((*ends, s.below, s.inside))
+            s.low, s.high = _bracket(row[f"grid_{i}"], (s.rank - s.below) / s.inside, *ends)
         _count(data, wide)
-        for s, old in zip(wide, before):
-            if not s.holds:
-                s.low, s.high, s.below, s.inside = old
+        for s, was in zip(wide, old):
+            if not s.holds:  # the approximation missed: keep the candidates there were
+                s.low, s.high, s.below, s.inside = was
             # one value holds nearly all candidates: counting per value below stays small
-            s.settled = s.inside == old[3]
+            s.settled = s.inside == was[3]
 
+
+def _rank_directly(data: DataFrame, searches: list[_Search], few: int) -> None:
+    """Few candidates: their keys are ranked as they are."""
+    small = {i: s for i, s in enumerate(searches) if s.inside <= few}
+    found = _pick(data, small, _Search.candidates, lambda s: F.struct(F.col(s.key).alias("value"), "_tie"))
+    for i, (key, _, _) in found.items():
+        small[i].low = small[i].high = key.value
+        small[i].tie = key._tie
+
+
+def _find_values(data: DataFrame, searches: list[_Search]) -> None:
+    """Count the candidates of each search per value and take the value its rank falls in."""
     open_ = {i: s for i, s in enumerate(searches) if s.low < s.high}
     for i, (value, before_it, n) in _pick(
             data, open_, _Search.candidates, lambda s: F.col(s.key)).items():
@@ -148,22 +156,22 @@ def _find_values(data: DataFrame, searches: list[_Search], ranked_directly: int)
         s.below, s.inside = s.below + before_it, n
 
 
-def _find_ties(data: DataFrame, searches: list[_Search], ranked_directly: int) -> None:
+def _find_ties(data: DataFrame, searches: list[_Search], few: int) -> None:
     """Where a cut falls between rows of one value, find the row by its identifier."""
-    open_ = {i: s for i, s in enumerate(searches) if s.rank < s.below + s.inside}
+    open_ = {i: s for i, s in enumerate(searches) if s.tie is None and s.rank < s.below + s.inside}
 
     def candidates(s: _Search) -> Column:
         return s.candidates() & F.col("_tie").startswith(s.prefix)
 
     def item(s: _Search) -> Column:
-        if s.inside <= ranked_directly:
+        if s.inside <= few:
             return F.col("_tie")
         return F.substring("_tie", 1, len(s.prefix) + PREFIX_STEP)
 
     while open_:
         for i, (found, before_it, n) in _pick(data, open_, candidates, item).items():
             s = open_[i]
-            if s.inside <= ranked_directly:
+            if s.inside <= few:
                 s.tie = found
             else:
                 s.prefix, s.below, s.inside = found, s.below + before_it, n

@@ -69,10 +69,14 @@ def net_revenue_yoy(days: DataFrame, kpis: DataFrame) -> DataFrame:
         "yoy", F.try_divide(change, "prior_net_revenue"))
 
 
+def in_year(kpis: DataFrame, year: int) -> DataFrame:
+    """The months of one year, as a range of dates so that the scan can skip the others."""
+    first, after = (F.lit(f"{y}-01-01").cast("date") for y in (year, year + 1))
+    return kpis.filter((F.col("month") >= first) & (F.col("month") < after))
+
+
 def year_slice(kpis: DataFrame, year: int) -> DataFrame:
-    return revenue_measures(kpis.filter(
-        (F.col("month") >= F.lit(f"{year}-01-01").cast("date"))
-        & (F.col("month") < F.lit(f"{year + 1}-01-01").cast("date"))))
+    return revenue_measures(in_year(kpis, year))
 
 
 def top_countries(kpis: DataFrame, n: int = 10) -> DataFrame:

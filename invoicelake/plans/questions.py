@@ -27,9 +27,6 @@ class Gold:
     year: int
     home: str
 
-    def in_year(self) -> DataFrame:
-        return self.kpis.filter(F.year("month") == self.year)
-
 
 def top_foreign(t: Gold, n: int = 5) -> DataFrame:
     abroad = measures.revenue_measures(t.kpis.filter(F.col("country") != t.home), ["country"])
@@ -69,7 +66,8 @@ QUESTIONS: dict[str, Callable[[Gold], DataFrame]] = {
     "high_risk": lambda t: t.risk.filter(F.col("churn_probability") > HIGH_RISK).agg(
         F.count("*").alias("customers")),
     "at_risk_country": at_risk_country,
-    "monthly_net": lambda t: measures.revenue_measures(t.in_year(), ["month"]).select("month", "net_revenue"),
+    "monthly_net": lambda t: measures.revenue_measures(
+        measures.in_year(t.kpis, t.year), ["month"]).select("month", "net_revenue"),
 }
 
 

@@ -107,7 +107,7 @@ def model_eval(ws: Workspace) -> DataFrame:
 def churn_model(ws: Workspace) -> DataFrame:
     """Importance of every feature in the fitted trees."""
     weights = ws.model.stages[-1].featureImportances.toArray().tolist()
-    return ws.test_snapshot.limit(1).select(F.explode(F.map_from_arrays(
+    return ws.evaluation[1].select(F.explode(F.map_from_arrays(
         F.array(*[F.lit(f) for f in FEATURES]), F.array(*[F.lit(w) for w in weights])))
         .alias("feature", "importance"))
 

@@ -28,6 +28,11 @@ def save_table(
     return spark.table(name)
 
 
+def preview(spark: SparkSession, name: str, rows: int = 10) -> DataFrame:
+    """A few rows of a stored table to look at."""
+    return spark.table(name).limit(rows)
+
+
 def save_view(
     spark: SparkSession, name: str, table: str, columns: list[str], condition: str, comment: str
 ) -> DataFrame:

@@ -25,11 +25,16 @@ def test_ntile_is_the_built_in_one(spark, rng, n, values):
     assert wrong.count() == 0
 
 
-def test_narrowing_rounds_find_the_same_cuts(spark, rng):
-    for values in (lambda r: r.random(), lambda r: r.choice([3, 3, 3, 3, 4, 5])):
-        df = table(spark, rng, 3000, values)
-        direct = rank_cuts(df, {"v": F.col("v")}, "id", ntile_ranks(5))
-        assert rank_cuts(df, {"v": F.col("v")}, "id", ntile_ranks(5), ranked_directly=3) == direct
+@pytest.mark.parametrize("limit", [0, 40, 2000])
+@pytest.mark.parametrize("values", [
+    lambda r: r.random(), lambda r: r.choice([3, 3, 3, 3, 4, 5]), lambda r: 1.5],
+    ids=["distinct", "hot", "one"])
+def test_narrowing_finds_the_same_buckets(spark, rng, values, limit):
+    df = table(spark, rng, 3000, values)
+    cuts = rank_cuts(df, {"v": F.col("v")}, "id", ntile_ranks(5), ranked_directly=limit)["v"]
+    bucket = sum((c.beyond(F.col("v"), F.col("id")).cast("int") for c in cuts), F.lit(1))
+    wanted = F.ntile(5).over(Window.orderBy("v", "id"))
+    assert df.select(bucket.alias("b"), wanted.alias("w")).filter("b <> w").count() == 0
 
 
 def test_bucket_sizes_differ_by_one_at_most(spark, rng):

@@ -2,7 +2,7 @@ import pytest
 
 from invoicelake.schema import BRONZE
 from invoicelake.session import shared_folder, stage
-from invoicelake.sources.catalog import create_schema, register_gold_folder, save_parquet, save_table
+from invoicelake.sources.catalog import create_schema, preview, register_gold_folder, save_parquet, save_table
 from invoicelake.sources.landing import read_landing, read_text_extract, union_extracts, with_audit
 
 
@@ -33,6 +33,7 @@ def test_tables_are_overwritten_and_documented(spark):
     save_table(spark.range(3), "shop.t", "first")
     stored = save_table(spark.range(2).selectExpr("id", "'x' AS extra"), "shop.t", "it's \\ second")
     assert stored.columns == ["id", "extra"] and stored.count() == 2
+    assert preview(spark, "shop.t", 1).count() == 1
     comment = spark.sql("DESCRIBE TABLE EXTENDED shop.t").filter("col_name = 'Comment'").first().data_type
     assert comment == "it's \\ second"
 
