@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,20 +27,13 @@ def local_session(app: str = "invoicelake", cores: str = "*", **conf: str) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local session may go without it; it then gets a temporary folder of its own.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or one beside the tables of the warehouse."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="invoicelake-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    sc.setCheckpointDir(folder)
-    return shared_folder(spark)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_handover"
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
