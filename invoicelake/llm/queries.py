@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake.llm import (
-    language, mixing, neighbours, packing, secrets, token_counts, token_files, topk)
+    language, mixing, neardup, neighbours, packing, secrets, token_counts, token_files, topk)
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -62,10 +62,14 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_mixing, op3_nearest_neighbours, op4_token_counts, op5_exact_top_k, op6_token_files,
-        op7_secrets, op9_language)}
+        op7_secrets, op9_language, op10_near_duplicates)}
 
 ORACLES: dict[str, str] = {
     "op2_mixing": """
