@@ -5,21 +5,46 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from invoicelake.llm import packing
+from invoicelake.llm import language, mixing, neardup, packing, pii
+from invoicelake.llm.queries import reach_workers
 from invoicelake.session import stage
 
 
+def identify(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drops the documents that are in no language: without text or without a letter."""
+    return language.keep_identified(docs)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each class of near duplicates."""
+    return neardup.keep_one(docs)
+
+
+def redact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Puts the kind of personal data in its place."""
+    return pii.redact(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Takes each document as often as the target of its source asks for, at most twice."""
+    return mixing.mixed_documents(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Cuts and packs the documents into windows; one row per piece."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("language", identify), ("near_duplicates", deduplicate), ("personal_data", redact), ("mixing", mix),
+    ("packing", pack),
+]
 
-ORACLE_SQL = None  # the language model and the tokenizer are out of reach of SQL
+ORACLE_SQL = None  # the language model, the samples and the tokenizer are out of reach of SQL
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
+    reach_workers(spark)
     docs = spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, folder), f"pipeline-{name}")

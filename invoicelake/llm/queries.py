@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake.llm import (
-    language, mixing, neardup, neighbours, packing, secrets, token_counts, token_files, topk)
+    language, mixing, neardup, neighbours, packing, pii, secrets, token_counts, token_files, topk)
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -58,6 +58,10 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
@@ -69,7 +73,7 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_mixing, op3_nearest_neighbours, op4_token_counts, op5_exact_top_k, op6_token_files,
-        op7_secrets, op9_language, op10_near_duplicates)}
+        op7_secrets, op8_personal_data, op9_language, op10_near_duplicates)}
 
 ORACLES: dict[str, str] = {
     "op2_mixing": """
