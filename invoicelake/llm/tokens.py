@@ -1,8 +1,7 @@
 """Token ids of whole texts, by a public tokenizer file and its own library, once per distinct piece.
 
 A text is cut only where the tokenizer itself always cuts, so encoding the pieces one by one gives the ids of the
-whole text. A task keeps the ids of the pieces it met last; unseen pieces go to the library together, with the
-tokenizer's special token between them, which no merge crosses.
+whole text. A task keeps the ids of the pieces it met last; unseen pieces go to the library in rows of many.
 """
 
 from __future__ import annotations
@@ -15,21 +14,24 @@ from functools import lru_cache
 import numpy as np
 
 # a space before one more white space, or at the end: there the plain split at spaces is not safe
-_LOOSE = re.compile(r" (?=[\s\x1c-\x1f\x85]|\Z)")
+_LOOSE = re.compile(r" (?=[\s\x1c-\x1f\x85]|\Z)|\x01")
 _SAFE_SPACE = re.compile(r" (?=\w)")
 _ANY_SPACE = re.compile(r"[ \n](?=\w)")
+# the tokenizers also cut between a letter or digit and one of these marks, and around a lone line break
+_PUNCTUATION = re.compile(r"[.,;:!?](?<=[^\W_].)")
+_LINE_BREAK = re.compile(r"\n(?<=\S\n)(?=[^\W_])")
 
 SEGMENT_CHARS = 1_000_000    # longer texts are worked on in segments of about this many characters
-CACHED_PIECES = 300_000      # pieces a task remembers
-LEARN_CHARS = 200_000        # characters of unseen pieces per library call
+CACHED_PIECES = 600_000      # pieces a task remembers
+LEARNT_TOGETHER = 200        # unseen pieces in one text for the library
 
 
 class PieceEncoder:
     """Ids (little-endian unsigned 32-bit) of texts, without added special tokens.
 
-    ``drops_space`` says that the tokenizer drops white space, so every white space is a cut; otherwise a piece
-    takes the one space before it along, as byte-level tokenizers do. Special strings inside a text are handled
-    as the library handles them by default. A missing text has no ids.
+    ``drops_space`` says that the tokenizer drops white space and case, and marks word ends; otherwise it is a
+    byte-level tokenizer whose pieces take the one space before them along. Special strings inside a text are
+    handled as the library handles them by default. A missing text has no ids.
     """
 
     def __init__(self, path: str, drops_space: bool):
@@ -37,7 +39,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.drops_space = drops_space
-        self.mark, self.mark_id = "<|endoftext|>", self.library.token_to_id("<|endoftext|>")
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)   # of a byte-level token
+        self.ends_word = np.zeros(len(self.n_bytes), bool)
+        for token, i in vocabulary.items():
+            self.n_bytes[i], self.ends_word[i] = len(token), token.endswith("</w>")
         self.known: dict[str, bytes] = {}
 
     def _segments(self, text: str) -> Iterator[tuple[str, bool]]:
@@ -52,10 +58,20 @@ class PieceEncoder:
         yield text[begin:] if begin else text, begin > 0
 
     def _pieces(self, text: str, continued: bool) -> list[str]:
-        """Keys of the pieces: a key that starts with a space stands for the rest of it, others for space + key."""
+        """Keys of the pieces. For a byte-level tokenizer, a key stands for a space and itself, or, if it starts
+        with a space or with the character 1, for what follows that."""
         if self.drops_space:
-            return text.replace("\n", " ").split(" ")
-        parts = _SAFE_SPACE.split(text) if _LOOSE.search(text) else text.split(" ")
+            try:
+                text.encode("latin-1")
+                text = text.lower()      # here Python's lower case is the tokenizer's
+            except UnicodeEncodeError:
+                pass
+            return _PUNCTUATION.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+        if _LOOSE.search(text):
+            parts = _SAFE_SPACE.split(text)
+        else:
+            text = _PUNCTUATION.sub(" \x01\\g<0>", text)
+            parts = _LINE_BREAK.sub(" \x01\n \x01", text).split(" ")
         if not continued:
             parts[0] = " " + parts[0]
         return parts
@@ -63,38 +79,49 @@ class PieceEncoder:
     def _spelled(self, key: str) -> str:
         if self.drops_space:
             return key
-        return key[1:] if key.startswith(" ") else " " + key
+        return key[1:] if key[:1] in (" ", "\x01") else " " + key
+
+    def _joinable(self, key: str) -> bool:
+        """Whether the library cuts before and after the piece in a row of such pieces."""
+        if self.drops_space:
+            return key.isascii() and key.isalpha()
+        return key[0] not in " \x01" and "<|" not in key
 
     def _learn(self, keys: Iterable[str]) -> None:
-        plain, size = [], 0
+        together, alone = [], []
         for key in keys:
-            if "<|" in key:
-                ids = self.library.encode(self._spelled(key), add_special_tokens=False).ids
-                self.known[key] = np.array(ids, "<u4").tobytes()
-                continue
-            plain.append(key)
-            size += len(key) + 1
-            if size > LEARN_CHARS:
-                self._learn_plain(plain)
-                plain, size = [], 0
-        if plain:
-            self._learn_plain(plain)
-
-    def _learn_plain(self, keys: list[str]) -> None:
-        joined = self.mark.join([self._spelled(k) for k in keys])
-        ids = np.array(self.library.encode(joined, add_special_tokens=False).ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
-        if len(ends) != len(keys):
-            raise RuntimeError("the tokenizer did not keep its special token apart")
-        raw, begin = ids.tobytes(), 0
-        for key, end in zip(keys, ends):
-            self.known[key] = raw[4 * begin:4 * end]
-            begin = end + 1
+            (together if key and self._joinable(key) else alone).append(key)
+        groups = [together[i:i + LEARNT_TOGETHER] for i in range(0, len(together), LEARNT_TOGETHER)]
+        for at in range(0, len(groups), 100):
+            self._learn_rows(groups[at:at + 100])
+        for at in range(0, len(alone), 10_000):
+            part = alone[at:at + 10_000]
+            found = self.library.encode_batch([self._spelled(k) for k in part], add_special_tokens=False)
+            self.known.update(zip(part, [np.array(e.ids, "<u4").tobytes() for e in found]))
+
+    def _learn_rows(self, groups: list[list[str]]) -> None:
+        rows = [" ".join(g) if self.drops_space else " " + " ".join(g) for g in groups]
+        for keys, found in zip(groups, self.library.encode_batch(rows, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            if self.drops_space:
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                whole = len(ends) == len(keys)
+            else:
+                reached = np.cumsum(self.n_bytes[ids])
+                wanted = np.cumsum([len(k.encode()) + 1 for k in keys])
+                ends = np.searchsorted(reached, wanted) + 1
+                whole = ends[-1] == len(ids) and bool((reached[ends - 1] == wanted).all())
+            if not whole:
+                raise RuntimeError("the tokenizer does not cut at spaces as expected")
+            raw, begin = ids.tobytes(), 0
+            for key, end in zip(keys, (4 * ends).tolist()):
+                self.known[key] = raw[begin:end]
+                begin = end
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [[self._pieces(*s) for s in self._segments(t)] if t else [] for t in texts]
         every = [pieces for parts in cut for pieces in parts]
-        unseen = set().union(*every) - self.known.keys()
+        unseen = set().union(*[set(pieces).difference(self.known) for pieces in every])
         if len(self.known) + len(unseen) > CACHED_PIECES:
             self.known.clear()
             unseen = set().union(*every)
