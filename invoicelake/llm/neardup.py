@@ -39,7 +39,7 @@ ROWS = 4
 COMMON = 500           # a shingle in one of this many documents is common
 IDF_GAIN = 0.5
 COUNTED_TOGETHER = 2_000_000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 BLOCK = 128            # contents of a bucket that are compared with those of another block in one task
 
 _WORD = re.compile(r"\w+")
@@ -322,8 +322,15 @@ def links(docs: DataFrame, rows: DataFrame, weights: Weights) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """content, label: the smallest content that links lead to. Contents without links are left out."""
-    edges = stage(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
+    """content, label: the smallest content that links lead to. Contents without links are left out.
+
+    Links have a < b. Each b is first tied to its smallest a alone, and its other a to that one: members of a large
+    class share these, so few links are left."""
+    edges = stage(edges.select("a", "b").distinct(), "links")
+    nearest = edges.groupBy("b").agg(F.min("a").alias("least"))
+    tied = edges.join(nearest, "b").filter("a <> least").select("least", "a").distinct()
+    edges = nearest.select(F.col("least").alias("a"), "b").union(tied.select(F.col("least"), F.col("a")))
+    edges = stage(edges.union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
     labels = stage(edges.groupBy(F.col("a").alias("content")).agg(F.min("b").alias("l")).select(
         "content", F.least("content", "l").alias("label")), "labels")
     while True:
