@@ -169,8 +169,10 @@ def churn_rate_by_recency(snapshot: DataFrame) -> DataFrame:
 
 
 def risk_by_rate(snapshot: DataFrame, rfm: DataFrame) -> DataFrame:
-    """Revenue at risk without a model: each active customer takes the rate of their quintile."""
+    """Revenue at risk without a model: each active customer takes the rate of their quintile.
+
+    The rates are five rows at most, one per quintile."""
     return (
-        active_customers(rfm).join(churn_rate_by_recency(snapshot), "r_score")
+        active_customers(rfm).join(F.broadcast(churn_rate_by_recency(snapshot)), "r_score")
         .select(*rfm.columns, *at_risk(F.col("p")))
     )

@@ -144,11 +144,11 @@ def risk_concentration(risk: DataFrame, size: int = CALL_LIST_SIZE) -> DataFrame
 def winback_list(
     risk: DataFrame, threshold: float = HIGH_RISK, size: int = CALL_LIST_SIZE
 ) -> DataFrame:
-    """Likely leavers who are not on the call list, which is small enough to send everywhere."""
+    """Likely leavers who are not on the call list."""
     called = call_list(risk, size).select("customer_id")
     return (
         risk.filter(F.col("churn_probability") >= threshold)
-        .join(F.broadcast(called), "customer_id", "left_anti")
+        .join(called, "customer_id", "left_anti")
         .select("customer_id", "country", "revenue_365d", "churn_probability", "revenue_at_risk")
     )
 
@@ -174,10 +174,10 @@ def retention_scenarios(
     ).withColumn("retained_revenue", F.col("call_list_risk") * F.col("retained_share"))
 
 
-def call_routing(risk: DataFrame, rfm: DataFrame, size: int = CALL_LIST_SIZE) -> DataFrame:
+def call_routing(risk: DataFrame, size: int = CALL_LIST_SIZE) -> DataFrame:
     """Who makes each call: Champions go to senior account managers."""
-    segments = rfm.select("customer_id", "segment")
-    return segments.join(F.broadcast(call_list(risk, size)), "customer_id").select(
+    called = risk.orderBy(F.desc("revenue_at_risk"), "customer_id").limit(size)
+    return called.select(
         "customer_id", "segment", "revenue_at_risk",
         F.when(F.col("segment") == "Champions", "senior account manager")
         .otherwise("account manager").alias("caller"))

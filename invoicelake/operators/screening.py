@@ -6,6 +6,8 @@ credential the query runs under should be read-only as well.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ def _trim(text: Column) -> Column:
     return F.regexp_replace(text, _BLANKS, "")
 
 
-def screen_queries(log: DataFrame, column: str = "sql", row_limit: int = ROW_LIMIT) -> DataFrame:
+def screen_queries(log: DataFrame, column: str = "sql", row_limit: int | None = ROW_LIMIT) -> DataFrame:
     """Add ``blocked_because`` (NULL when allowed) and ``safe_sql`` (NULL when blocked).
 
     Words and marks are looked for with text literals blanked out; a doubled quote inside a
@@ -53,7 +55,7 @@ def screen_queries(log: DataFrame, column: str = "sql", row_limit: int = ROW_LIM
         .when(~F.col("_code").rlike(_READ), "not a SELECT")
         .when(word != "", F.concat(F.lit("forbidden word: "), F.lower(word)))
     )
-    bounded = (
+    bounded = F.col("_sql") if row_limit is None else (
         F.when(limit == "", F.concat(F.col("_sql"), F.lit(f"\nLIMIT {row_limit}")))
         .when(limit.try_cast("decimal(38,0)") <= row_limit, F.col("_sql"))
         .otherwise(F.regexp_replace("_sql", _LIMIT, f"LIMIT {row_limit}"))
@@ -75,9 +77,32 @@ def guard(spark: SparkSession, sql: str, row_limit: int = ROW_LIMIT) -> str:
     return row.safe_sql
 
 
+def require_read(spark: SparkSession, sql: str) -> None:
+    """Refuse a text that Spark itself reads as more than a query over named tables.
+
+    Spark ends literals by rules of its own, so what the words of a text hide shows only in its parsed plan: writes
+    and other commands, scripts run by the shell, calls of Java methods, and tables named by a path.
+    """
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    nodes = [parsed]
+    while nodes:
+        node = nodes.pop()
+        name = node.getClass().getSimpleName()
+        if "Command" in name or "Insert" in name or name.startswith(("Create", "Replace", "Drop", "Alter", "Delete", "Update", "Merge")):
+            raise UnsafeSQL(f"not a query: {name}")
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    found = re.search(r"ScriptTransformation|(?i:'(?:reflect|java_method|try_reflect)\()"
+                      r"|UnresolvedRelation \[(?:text|csv|json|xml|parquet|orc|avro|binaryFile|jdbc|delta), ", parsed.toString())
+    if found:
+        raise UnsafeSQL(f"not a query over named tables: {found[0]}")
+
+
 def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Screen a text and run it over the named tables (or over views that exist already)."""
     from invoicelake.sources.catalog import register_views
 
     register_views(tables or {})
-    return spark.sql(guard(spark, sql))
+    safe = guard(spark, sql)
+    require_read(spark, safe)
+    return spark.sql(safe)

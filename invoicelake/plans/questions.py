@@ -82,11 +82,11 @@ def score_answers(
 ) -> DataFrame:
     """Run every candidate through the screen and compare its result with the reference query's.
 
-    The case list is a handful of rows (one per question); the comparisons are Spark jobs.
+    The whole result counts: no row limit is added. The case list is a handful of rows (one per question); the comparisons are Spark jobs.
     """
     register_views(tables)
     outcomes = []
-    for case in screen_queries(cases, "candidate").orderBy("question").toLocalIterator():
+    for case in screen_queries(cases, "candidate", row_limit=None).orderBy("question").toLocalIterator():
         if case.blocked_because:
             outcomes.append((case.question, False, f"BLOCKED: {case.blocked_because}"))
             continue

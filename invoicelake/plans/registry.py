@@ -196,7 +196,7 @@ ON_SCORES = {
     "risk_concentration": lambda ws, risk: findings.risk_concentration(risk),
     "winback_list": lambda ws, risk: findings.winback_list(risk),
     "retention_scenarios": lambda ws, risk: findings.retention_scenarios(risk),
-    "call_routing": lambda ws, risk: findings.call_routing(risk, ws.rfm),
+    "call_routing": lambda ws, risk: findings.call_routing(risk),
     "risk_share": lambda ws, risk: findings.risk_share(risk),
 }
 

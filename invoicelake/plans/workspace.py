@@ -16,9 +16,6 @@ from invoicelake.session import stage, staging_path
 from invoicelake.sources.landing import read_landing
 from invoicelake.sources.orders_model import derive_bronze
 
-# Boosting rounds of the registered model queries. A production run uses churn.ROUNDS.
-QUERY_ROUNDS = 20
-
 
 class Workspace:
     _opened: dict[tuple[str, str], Workspace] = {}
@@ -99,11 +96,11 @@ class Workspace:
 
     @cached_property
     def evaluation(self) -> tuple[DataFrame, DataFrame, dict[str, float]]:
-        return pipeline.evaluate_model(self.silver, self.days, QUERY_ROUNDS)
+        return pipeline.evaluate_model(self.silver, self.days, churn.ROUNDS)
 
     @cached_property
     def model(self) -> PipelineModel:
-        return churn.train(self.evaluation[0], QUERY_ROUNDS)
+        return churn.train(self.evaluation[0], churn.ROUNDS)
 
     @cached_property
     def model_risk(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,8 +47,11 @@ def save_view(
 
 
 def drop_old_versions(spark: SparkSession, schema: str, prefix: str, keep: int = 2) -> None:
-    """Drop all but the newest versions; one older version stays for queries still reading it."""
-    names = sorted(t.name for t in spark.catalog.listTables(schema) if t.name.startswith(prefix))
+    """Drop all but the newest versions; one older version stays for queries still reading it.
+
+    A version is named by the prefix and a time stamp of 20 digits; other tables of the schema are left alone."""
+    version = re.compile(re.escape(prefix) + r"\d{20}")
+    names = sorted(t.name for t in spark.catalog.listTables(schema) if version.fullmatch(t.name))
     for name in names[:-keep]:
         spark.sql(f"DROP TABLE {_quoted(f'{schema}.{name}')}")
 

@@ -63,3 +63,10 @@ def test_strict_mode(spark):
     assert not rows_match(want, swapped) and results_match(want, swapped)
     assert {(r.a, r.b): r.surplus for r in row_differences(want, swapped).collect()} == {
         (1, "x"): 1, (2, "y"): 1, (1, "y"): -1, (2, "x"): -1}
+
+
+def test_a_right_answer_of_many_rows_is_right(spark):
+    from invoicelake.plans.questions import score_answers
+    case = ("all", "SELECT id FROM many", "SELECT id AS number FROM many")
+    cases = spark.createDataFrame([case], "question string, sql string, candidate string")
+    assert [r.ok for r in score_answers(spark, cases, {"many": spark.range(500)}).collect()] == [True]

@@ -109,6 +109,6 @@ def test_concentration_scenarios_and_share(risk):
 
 
 def test_routing_and_segment_share(risk):
-    callers = {r.customer_id: r.caller for r in f.call_routing(risk, risk).collect()}
+    callers = {r.customer_id: r.caller for r in f.call_routing(risk).collect()}
     assert len(callers) == 100 and callers["c199"] == "senior account manager" and callers["c150"] == "account manager"
     assert sum(r.share for r in f.segment_share(risk).collect()) == pytest.approx(1)

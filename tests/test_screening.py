@@ -66,3 +66,15 @@ def test_run_sql(spark):
     assert run_sql(spark, "SELECT * FROM numbers", tables).count() == 200
     with pytest.raises(UnsafeSQL):
         run_sql(spark, "DROP VIEW numbers", tables)
+
+
+@pytest.mark.parametrize("text", [
+    r"WITH t AS (SELECT 'a\'' AS a) INSERT INTO victim SELECT * FROM t WHERE '' = ''",
+    "SELECT TRANSFORM(id) USING 'cat' AS (x string) FROM shown",
+    "SELECT reflect('java.lang.System', 'getenv', 'HOME')",
+    "SELECT * FROM text.`/etc/hostname`",
+])
+def test_what_spark_reads_as_more_than_a_query_is_refused(spark, text):
+    from invoicelake.operators.screening import UnsafeSQL, run_sql
+    with pytest.raises(UnsafeSQL):
+        run_sql(spark, text, {"shown": spark.range(1)})

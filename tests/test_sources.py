@@ -48,3 +48,14 @@ def test_stage_reads_back_what_it_wrote(spark, silver):
     stored = stage(silver, "silver")
     assert stored.schema == silver.schema and stored.exceptAll(silver).count() == 0
     assert shared_folder(spark) in stored.inputFiles()[0]
+
+
+def test_version_clean_up_leaves_other_tables_alone(spark):
+    from invoicelake.sources.catalog import create_schema, drop_old_versions, save_table
+    create_schema(spark, "versions")
+    versions = [f"lines_{day:020d}" for day in (1, 2, 3)]
+    for name in ("lines_archive", "lines_backup", *versions):
+        save_table(spark.range(1), f"versions.{name}", "test")
+    drop_old_versions(spark, "versions", "lines_")
+    left = {t.name for t in spark.catalog.listTables("versions") if t.name.startswith("lines_")}
+    assert left == {"lines_archive", "lines_backup", *versions[1:]}
