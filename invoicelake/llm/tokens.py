@@ -17,8 +17,9 @@ import numpy as np
 _LOOSE = re.compile(r" (?=[\s\x1c-\x1f\x85]|\Z)|\x01")
 _SAFE_SPACE = re.compile(r" (?=\w)")
 _ANY_SPACE = re.compile(r"[ \n](?=\w)")
-# the tokenizers also cut between a letter or digit and one of these marks, and around a lone line break
-_PUNCTUATION = re.compile(r"[.,;:!?](?<=[^\W_].)")
+# the tokenizers also cut between a letter or digit and one of these marks, and around a lone line break; letters
+# beyond Latin-1 are left out, as some become a letter and a mark when they are normalised
+_PUNCTUATION = re.compile(r"[.,;:!?](?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff].)")
 _LINE_BREAK = re.compile(r"\n(?<=\S\n)(?=[^\W_])")
 
 SEGMENT_CHARS = 1_000_000    # longer texts are worked on in segments of about this many characters
