@@ -42,24 +42,27 @@ class Cut:
 
 @dataclass
 class _Search:
-    """A rank being looked for among the values [low, high]."""
+    """A rank being looked for among the values strictly between ``low`` and ``high`` (None: no border)."""
 
     key: str
     rank: int
-    low: float
-    high: float
+    low: float | None = None
+    high: float | None = None
     below: int = 0        # rows in front of the candidates
     inside: int = 0       # candidates
-    settled: bool = False
-    prefix: str = ""      # once low = high: the candidates' tie starts with this
+    value: float | None = None   # once it is known, the candidates are the rows that hold it
+    prefix: str = ""      # ... and whose tie starts with this
     tie: str | None = None
 
-    @property
-    def holds(self) -> bool:
-        return self.below < self.rank <= self.below + self.inside
-
     def candidates(self) -> Column:
-        return F.col(self.key).between(self.low, self.high)
+        column, found = F.col(self.key), F.lit(True)
+        if self.value is not None:
+            return column == self.value
+        if self.low is not None:
+            found = found & (column > self.low)
+        if self.high is not None:
+            found = found & (column < self.high)
+        return found
 
 
 def order_value(value: Column) -> Column:
@@ -81,13 +84,12 @@ def rank_cuts(
     data = df.select(F.col(tie).alias("_tie"), *[order_value(c).alias(k) for k, c in keys.items()])
     n = data.count()
     wanted = ranks(n) if n else []
-    searches = [_Search(k, rank, float("-inf"), float("inf"), 0, n) for k in keys for rank in wanted]
+    searches = [_Search(k, rank, inside=n) for k in keys for rank in wanted]
     few = max(1, ranked_directly // max(1, len(searches)))
     _narrow(data, searches, few)
-    _rank_directly(data, searches, few)
-    _find_values(data, searches)
+    _rank_directly(data, searches)
     _find_ties(data, searches, few)
-    return {k: [Cut(s.low, s.tie) for s in searches if s.key == k] for k in keys}
+    return {k: [Cut(s.value, s.tie) for s in searches if s.key == k] for k in keys}
 
 
 def _grid(value: str, steps: int = STEPS) -> Column:
@@ -95,65 +97,63 @@ def _grid(value: str, steps: int = STEPS) -> Column:
     return F.expr(f"percentile_approx({value}, array({shares}), {ACCURACY})")
 
 
-def _bracket(grid: list[float], share: float, low: float, high: float) -> tuple[float, float]:
+def _bracket(grid: list[float], share: float) -> tuple[float | None, float | None]:
+    """Two quantiles around the rank; at an end of the candidates only one of them."""
     at = int(share * STEPS)
-    return (grid[at - 1] if at >= 2 else low), (grid[at + 2] if at + 2 < STEPS else high)
-
-
-def _count(data: DataFrame, searches: list[_Search]) -> None:
-    row = data.agg(*[
-        column for i, s in enumerate(searches) for column in (
-            F.count_if(F.col(s.key) < s.low).alias(f"below_{i}"),
-            F.count_if(s.candidates()).alias(f"inside_{i}"))
-    ]).first()
-    for i, s in enumerate(searches):
-        s.below, s.inside = row[f"below_{i}"], row[f"inside_{i}"]
+    return (grid[at - 1] if at >= 2 else None), (grid[at + 2] if at + 2 < STEPS else None)
 
 
 def _narrow(data: DataFrame, searches: list[_Search], few: int) -> None:
-    """Leave few candidates to every search: quantiles among the candidates, then exact counts."""
-    while wide := [s for s in searches if s.low < s.high and s.inside > few and not s.settled]:
+    """Leave few candidates to every search: quantiles among the candidates, then exact counts.
+
+    The rows that hold a border value are counted apart from those strictly inside. So a value that many rows share
+    is either the answer or leaves the candidates, and every round leaves out one value at least."""
+    while wide := [s for s in searches if s.value is None and s.inside > few]:
         # searches that still share their candidates share one pass over them
         shared = list({(s.key, s.low, s.high): s for s in wide}.items())
         row = data.select(*[
             F.when(s.candidates(), F.col(s.key)).alias(f"c{i}") for i, (_, s) in enumerate(shared)
-        ]).agg(*[
-            column for i in range(len(shared)) for column in (
-                _grid(f"c{i}").alias(f"grid_{i}"),
-                F.min(f"c{i}").alias(f"min_{i}"), F.max(f"c{i}").alias(f"max_{i}"))
-        ]).first()
-        group = {key: i for i, (key, _) in enumerate(shared)}
-        old = []
-        for s in wide:
-            i = group[s.key, s.low, s.high]
-            ends = row[f"min_{i}"], row[f"max_{i}"]
-            old.append((*ends, s.below, s.inside))
-            s.low, s.high = _bracket(row[f"grid_{i}"], (s.rank - s.below) / s.inside, *ends)
-        _count(data, wide)
-        for s, was in zip(wide, old):
-            if not s.holds:  # the approximation missed: keep the candidates there were
-                s.low, s.high, s.below, s.inside = was
-            # one value holds nearly all candidates: counting per value below stays small
-            s.settled = s.inside == was[3]
-
-
-def _rank_directly(data: DataFrame, searches: list[_Search], few: int) -> None:
+        ]).agg(*[_grid(f"c{i}").alias(f"grid_{i}") for i in range(len(shared))]).first()
+        grids = {key: row[f"grid_{i}"] for i, (key, _) in enumerate(shared)}
+        brackets = [_bracket(grids[s.key, s.low, s.high], (s.rank - s.below) / s.inside) for s in wide]
+        counts = data.agg(*[
+            F.count_if(s.candidates() & part).alias(f"n{i}_{j}")
+            for i, (s, bracket) in enumerate(zip(wide, brackets))
+            for j, part in enumerate(_parts(F.col(s.key), *bracket))]).first()
+        for i, (s, (low, high)) in enumerate(zip(wide, brackets)):
+            sizes = [counts[f"n{i}_{j}"] for j in range(5)]
+            part = 0
+            while s.below + sizes[part] < s.rank:
+                s.below += sizes[part]
+                part += 1
+            s.inside = sizes[part]
+            if part in (1, 3):
+                s.value = low if part == 1 else high
+            elif part == 0:
+                s.high = low
+            elif part == 4:
+                s.low = high
+            else:
+                s.low, s.high = s.low if low is None else low, s.high if high is None else high
+
+
+def _parts(value: Column, low: float | None, high: float | None) -> list[Column]:
+    """Before, at, between, at and after two borders; what has no border is empty."""
+    none = F.lit(False)
+    before, at_low = (none, none) if low is None else (value < low, value == low)
+    after, at_high = (none, none) if high is None else (value > high, value == high)
+    if low is not None and low == high:
+        at_high = none
+    return [before, at_low, ~(before | at_low | at_high | after), at_high, after]
+
+
+def _rank_directly(data: DataFrame, searches: list[_Search]) -> None:
     """Few candidates: their keys are ranked as they are."""
-    small = {i: s for i, s in enumerate(searches) if s.inside <= few}
+    small = {i: s for i, s in enumerate(searches) if s.value is None}
     found = _pick(data, small, _Search.candidates, lambda s: F.struct(F.col(s.key).alias("value"), "_tie"))
     for i, (key, _, _) in found.items():
-        small[i].low = small[i].high = key.value
-        small[i].tie = key._tie
-
-
-def _find_values(data: DataFrame, searches: list[_Search]) -> None:
-    """Count the candidates of each search per value and take the value its rank falls in."""
-    open_ = {i: s for i, s in enumerate(searches) if s.low < s.high}
-    for i, (value, before_it, n) in _pick(
-            data, open_, _Search.candidates, lambda s: F.col(s.key)).items():
-        s = open_[i]
-        s.low = s.high = value
-        s.below, s.inside = s.below + before_it, n
+        s = small[i]
+        s.value, s.tie, s.below, s.inside = key.value, key._tie, s.rank - 1, 1
 
 
 def _find_ties(data: DataFrame, searches: list[_Search], few: int) -> None:
@@ -169,9 +169,13 @@ def _find_ties(data: DataFrame, searches: list[_Search], few: int) -> None:
         return F.substring("_tie", 1, len(s.prefix) + PREFIX_STEP)
 
     while open_:
-        for i, (found, before_it, n) in _pick(data, open_, candidates, item).items():
-            s = open_[i]
-            if s.inside <= few:
+        picked = _pick(data, open_, candidates, item)
+        for i, s in open_.items():
+            found, before_it, n = picked.get(i, (None, 0, 0))
+            whole = s.inside <= few or found is None or len(found) < len(s.prefix) + PREFIX_STEP
+            if found is None or whole and n > 1:
+                raise ValueError("the tie-breaker is missing or repeated in rows of one value")
+            if whole:
                 s.tie = found
             else:
                 s.prefix, s.below, s.inside = found, s.below + before_it, n
@@ -249,7 +253,7 @@ def running_totals(
     row per group and range, so ``group`` must be something small, such as a column name.
     """
     if ranges is None:
-        ranges = min(1000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.groupBy(group).agg(
         _grid(order, ranges).alias("_cuts"))
     ranged = df.join(F.broadcast(cuts), group).withColumn(

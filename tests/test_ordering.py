@@ -37,6 +37,37 @@ def test_narrowing_finds_the_same_buckets(spark, rng, values, limit):
     assert df.select(bucket.alias("b"), wanted.alias("w")).filter("b <> w").count() == 0
 
 
+@pytest.mark.parametrize("top", [0.0, 10.0 ** 6])
+def test_a_value_most_rows_share_leaves_few_candidates(spark, monkeypatch, top):
+    """One value holds 80 % of the rows, at either end; no more keys than the limit go to one task."""
+    from invoicelake.functions import ordering
+    rows = 40_000
+    df = spark.range(rows).select(
+        F.format_string("c%07d", "id").alias("id"),
+        F.when(F.col("id") % 5 != 0, top).otherwise(F.pmod(F.xxhash64("id"), F.lit(9973)) + 1.0).alias("v")).cache()
+    pick, sizes = ordering._pick, []
+
+    def counted(data, searches, candidates, item):
+        sizes.extend(data.filter(candidates(s)).select(item(s)).distinct().count() for s in searches.values())
+        return pick(data, searches, candidates, item)
+
+    monkeypatch.setattr(ordering, "_pick", counted)
+    ranks = [1, 1000, 7999, 8000, 8001, 8500, 20_000, 32_000, 32_001, 36_000, rows]
+    cuts = rank_cuts(df, {"v": F.col("v")}, "id", lambda n: ranks, ranked_directly=100 * len(ranks))["v"]
+    assert sizes and max(sizes) <= 100
+    order = [(r.v, r.id) for r in df.orderBy("v", "id").collect()]
+    for rank, cut in zip(ranks, cuts):
+        within = [x for x in order if x[0] < cut.value or x[0] == cut.value and (cut.tie is None or x[1] <= cut.tie)]
+        assert len(within) == rank
+
+
+def test_a_repeated_or_missing_tie_is_refused(spark):
+    for tie in (None, "same"):
+        df = spark.createDataFrame([(tie, 1.0)] * 50, "id string, v double")
+        with pytest.raises(ValueError):
+            rank_cuts(df, {"v": F.col("v")}, "id", ntile_ranks(5), ranked_directly=0)
+
+
 def test_bucket_sizes_differ_by_one_at_most(spark, rng):
     df = ntile_columns(table(spark, rng, 1003, lambda r: r.randrange(4)), {"b": F.col("v")}, "id")
     sizes = [r["count"] for r in df.groupBy("b").count().collect()]
