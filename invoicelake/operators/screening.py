@@ -21,13 +21,24 @@ FORBIDDEN = (
 )
 # --------------------------------------------------------------------------------------
 
+# Calls by which a query of Spark reaches Java methods, and the formats a path can be read by as if it were a table.
+SPARK_CALLS = ("reflect", "try_reflect", "java_method")
+PATH_FORMATS = ("text", "csv", "json", "xml", "parquet", "orc", "avro", "binaryfile", "jdbc", "delta")
+
 # (?U): letters, digits and blanks of all scripts, so look-alike blanks hide nothing
 _BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 _FENCES = r"(?iU)^```(?:sql)?|```$"
-_LITERAL = r"'[^']*'"
+# What Spark reads as text or as a quoted name. An escaped character is replaced first, so it ends nothing.
+_ESCAPED = r"(?s)\\."
+_QUOTED = r"""'[^']*'|"[^"]*"|(`)[^`]*`"""
+_RAW = r"""(?i)\br['"]"""
 _READ = r"(?iU)^(select|with)\b"
 _WORDS = rf"(?iU)\b({'|'.join(FORBIDDEN)})\b"
-_LIMIT = r"(?iU)\blimit\s+(\d+)\s*$"
+_CALLS = rf"(?iU)\b({'|'.join(SPARK_CALLS)})\s*\("
+_SCRIPT = r"(?iU)\busing\s*''"
+_PATH = rf"(?iU)\b({'|'.join(PATH_FORMATS)})\s*\.\s*''`"
+_LIMIT = r"(?iU)\blimit\s+(\d+|all)\s*$"
+_OFFSET = r"(?iU)\s*\b(offset\s+\d+)\s*$"
 
 
 class UnsafeSQL(ValueError):
@@ -41,12 +52,14 @@ def _trim(text: Column) -> Column:
 def screen_queries(log: DataFrame, column: str = "sql", row_limit: int | None = ROW_LIMIT) -> DataFrame:
     """Add ``blocked_because`` (NULL when allowed) and ``safe_sql`` (NULL when blocked).
 
-    Words and marks are looked for with text literals blanked out; a doubled quote inside a
-    literal simply reads as two literals side by side. A missing or too large LIMIT at the end
-    becomes the row limit, written into the original text.
+    Words and marks are looked for with literals and quoted names blanked out by the rules of Spark's lexer (both
+    quotes, escapes, back quotes); a doubled quote inside a literal reads as two literals side by side. A raw literal
+    in a text with a backslash is refused, because escapes mean nothing in it. A missing or too large LIMIT at the
+    end, before an OFFSET if there is one, becomes the row limit, written into the original text.
     """
     bare = _trim(F.regexp_replace(_trim(F.regexp_replace(_trim(F.col(column)), _FENCES, "")), ";+$", ""))
     word = F.regexp_extract("_code", _WORDS, 1)
+    call = F.regexp_extract("_code", _CALLS, 1)
     limit = F.regexp_extract("_code", _LIMIT, 1)
     blocked = (
         F.when(F.coalesce(F.col("_code"), F.lit("")) == "", "empty text")
@@ -54,18 +67,26 @@ def screen_queries(log: DataFrame, column: str = "sql", row_limit: int | None =
               | F.col("_code").contains("/*"), "several statements or a comment")
         .when(~F.col("_code").rlike(_READ), "not a SELECT")
         .when(word != "", F.concat(F.lit("forbidden word: "), F.lower(word)))
+        .when(call != "", F.concat(F.lit("forbidden word: "), F.lower(call)))
+        .when(F.col("_code").rlike(_SCRIPT), "a script")
+        .when(F.col("_code").rlike(_PATH), "a table named by a path")
+        .when(F.col("_sql").rlike(_RAW) & F.col("_sql").contains("\\"), "a raw literal and a backslash")
     )
-    bounded = F.col("_sql") if row_limit is None else (
+    bounded = F.col("_sql") if row_limit is None else F.concat(
         F.when(limit == "", F.concat(F.col("_sql"), F.lit(f"\nLIMIT {row_limit}")))
         .when(limit.try_cast("decimal(38,0)") <= row_limit, F.col("_sql"))
-        .otherwise(F.regexp_replace("_sql", _LIMIT, f"LIMIT {row_limit}"))
-    )
+        .otherwise(F.regexp_replace("_sql", _LIMIT, f"LIMIT {row_limit}")),
+        F.when(F.col("_offset") == "", "").otherwise(F.concat(F.lit(" "), F.col("_offset"))))
+    blanked = F.regexp_replace(F.regexp_replace("_sql", _ESCAPED, "__"), _QUOTED, "''$1")
+    rows = log.withColumn("_sql", bare).withColumn("_code", blanked)
+    if row_limit is not None:
+        rows = rows.withColumn("_offset", F.regexp_extract("_code", _OFFSET, 1)).withColumns({
+            name: F.when(F.col("_offset") == "", F.col(name)).otherwise(F.regexp_replace(name, _OFFSET, ""))
+            for name in ("_sql", "_code")})
     return (
-        log.withColumn("_sql", bare)
-        .withColumn("_code", F.regexp_replace("_sql", _LITERAL, "''"))
-        .withColumn("blocked_because", blocked)
+        rows.withColumn("blocked_because", blocked)
         .withColumn("safe_sql", F.when(F.col("blocked_because").isNull(), bounded))
-        .drop("_sql", "_code")
+        .drop("_sql", "_code", "_offset")
     )
 
 

@@ -17,6 +17,13 @@ BLOCKED = {
     " ;\n": "empty text",
     "``` ```": "empty text",
     "SELECT 'open -- drop": "several statements or a comment",
+    r"WITH t AS (SELECT 'a\'' AS a) INSERT INTO victim SELECT * FROM t WHERE '' = ''": "forbidden word: insert",
+    "WITH t AS (SELECT 1 AS `'`) INSERT INTO victim SELECT * FROM t WHERE `'` = 1": "forbidden word: insert",
+    "WITH t AS (SELECT \"'\" AS a) INSERT INTO victim SELECT * FROM t WHERE a = \"'\"": "forbidden word: insert",
+    r"WITH t AS (SELECT r'\' AS a) INSERT INTO victim SELECT ' ' FROM t": "a raw literal and a backslash",
+    "SELECT TRANSFORM(id) USING 'cat' AS (x string) FROM shown": "a script",
+    "SELECT Reflect('java.lang.System', 'getenv', 'HOME')": "forbidden word: reflect",
+    "SELECT * FROM text.`/etc/hostname`": "a table named by a path",
 }
 ALLOWED = {
     "SELECT stock_code FROM p WHERE description LIKE '%USE; DROP -- SET%'": None,
@@ -29,6 +36,12 @@ ALLOWED = {
     "SELECT 1 limit 201": "SELECT 1 LIMIT 200",
     "SELECT 1 LIMIT 99999999999999999999999999999999999999999999": "SELECT 1 LIMIT 200",
     "SELECT updated_at, settings FROM t": None,
+    'SELECT "x;y"': None,
+    r"SELECT 'it\'s; a drop' AS t": None,
+    "SELECT a FROM t JOIN u USING (id)": None,
+    "SELECT 1 LIMIT ALL": "SELECT 1 LIMIT 200",
+    "SELECT 1 OFFSET 3": "SELECT 1\nLIMIT 200 OFFSET 3",
+    "SELECT 1 LIMIT 500 OFFSET 3": "SELECT 1 LIMIT 200 OFFSET 3",
     # the limit is rewritten in the original text, behind a literal of any length
     "SELECT 'a long literal in front of it' AS t LIMIT 5000": "SELECT 'a long literal in front of it' AS t LIMIT 200",
     "SELECT * FROM (SELECT 1 LIMIT 5000)": None,
@@ -64,6 +77,8 @@ def test_missing_text_is_empty(spark):
 def test_run_sql(spark):
     tables = {"numbers": spark.range(500)}
     assert run_sql(spark, "SELECT * FROM numbers", tables).count() == 200
+    for text, rows in {"LIMIT ALL": 200, "OFFSET 450": 50, "LIMIT 30 OFFSET 480": 20}.items():
+        assert run_sql(spark, f"SELECT * FROM numbers {text}", tables).count() == rows
     with pytest.raises(UnsafeSQL):
         run_sql(spark, "DROP VIEW numbers", tables)
 
