@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from invoicelake.operators.screening import FORBIDDEN
 from invoicelake.plans.registry import HOME, YEAR
 
+# fixed values: the words a screened text may not hold, written down apart from the code that is checked
+FORBIDDEN = (
+    "insert", "update", "delete", "merge", "drop", "create", "alter", "truncate", "grant",
+    "revoke", "copy", "call", "exec", "execute", "attach", "install", "load", "pragma", "set",
+    "use", "optimize", "vacuum", "refresh", "read_csv", "read_parquet", "read_json", "read_files",
+)
+
 BRONZE = """
 base AS (
   SELECT l.l_orderkey AS ok, l.l_linenumber AS ln, CAST(l.l_quantity AS INTEGER) AS qty,
@@ -239,6 +245,30 @@ judged AS (
             regexp_extract(code, '(?i)\blimit\s+(\d+)\s*$', 1) AS n
   FROM code)"""
 
+MATCHES = """
+reference AS (
+  SELECT country, CAST(SUM(CAST(gross_revenue AS DECIMAL(28,2))) AS DOUBLE) AS gross
+  FROM gold_monthly_kpis GROUP BY country),
+result AS (
+  SELECT country AS nation, COUNT(*) AS lines,
+         1.001 * CAST(SUM(line_value) FILTER (NOT is_cancellation) AS DOUBLE) AS total
+  FROM silver GROUP BY country),
+wanted AS (SELECT gross, row_number() OVER (ORDER BY gross NULLS FIRST) AS i FROM reference),
+totals AS (SELECT total, row_number() OVER (ORDER BY total NULLS FIRST) AS i FROM result),
+counts AS (SELECT lines, row_number() OVER (ORDER BY lines) AS i FROM result),
+compared AS (
+  SELECT (SELECT COUNT(*) FROM reference) = (SELECT COUNT(*) FROM result) AS same_rows,
+         bool_and(abs(total - gross) <= 1e-8 + 0.005 * abs(gross)) AS by_total,
+         bool_and(abs(lines - gross) <= 1e-8 + 0.005 * abs(gross)) AS by_lines
+  FROM wanted LEFT JOIN totals USING (i) LEFT JOIN counts USING (i)),
+found AS (
+  SELECT 'country' AS reference_column,
+         CASE WHEN same_rows AND NOT EXISTS (SELECT country FROM reference EXCEPT ALL SELECT nation FROM result)
+              THEN 'Nation' END AS matched_by FROM compared
+  UNION ALL
+  SELECT 'gross_revenue', CASE WHEN same_rows AND by_lines THEN 'lines' WHEN same_rows AND by_total THEN 'total' END
+  FROM compared)"""
+
 TO_SILVER = [BRONZE, TYPED, LABELLED, SILVER]
 ALL_GOLD = [*TO_SILVER, KPIS, PRODUCTS, DAYS, FEATURES, RFM]
 ON_RISK = [*TO_SILVER, DAYS, FEATURES, RFM, TEST, RISK]
@@ -397,6 +427,9 @@ def all_oracles() -> dict[str, str]:
                      CAST(SUM(CAST(revenue_365d AS DECIMAL(28,2))) AS DOUBLE) AS revenue_365d
               FROM gold_customer_churn_risk)"""),
     }
+    sqls["result_match"] = _sql(
+        [*kpi, MATCHES], "SELECT reference_column, matched_by, matched_by IS NOT NULL AS matched FROM found")
+
     def added(column: str) -> str:
         return f"CAST(SUM(CAST({column} AS DECIMAL(28,2))) AS DOUBLE) AS {column}"
 

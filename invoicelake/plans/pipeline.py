@@ -12,7 +12,7 @@ from invoicelake.operators import churn, gold, rfm, silver
 from invoicelake.schema import CHURN_RISK, HORIZON_DAYS, LABELLED, MIN_RETENTION, SILVER, conform
 from invoicelake.session import stage
 from invoicelake.sources.catalog import (
-    create_schema, drop_old_versions, save_parquet, save_table, save_view)
+    create_schema, drop_old_versions, publish_table, save_parquet, save_table, save_view, version_name)
 from invoicelake.sources.landing import with_audit
 
 COMMENTS = {
@@ -115,11 +115,11 @@ def run_pipeline(
     if the model beats the recency rule; the run record is kept either way.
     """
     def publish(df: DataFrame, name: str) -> DataFrame:
-        return save_table(df, f"{schema}.{name}", COMMENTS[name])
+        return publish_table(df, f"{schema}.{name}", COMMENTS[name])
 
     create_schema(spark, schema, "Retail invoices: bronze, silver and gold tables")
-    bronze = publish(with_audit(spark, landing), "bronze_transactions")
-    version = f"{schema}.lines_{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
+    bronze = save_table(with_audit(spark, landing), f"{schema}.bronze_transactions", COMMENTS["bronze_transactions"])
+    version = version_name(f"{schema}.lines")
     stored = save_table(layered(silver.label_rows(bronze)), version, COMMENTS["lines"], partition_by="layer")
     counts = layer_counts(stored)
     try:

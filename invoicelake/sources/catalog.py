@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,8 +47,26 @@ def save_view(
     return spark.table(name)
 
 
+def version_name(name: str) -> str:
+    """A new version of a table: its name and the time, in 20 digits."""
+    return f"{name}_{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
+
+
+def publish_table(df: DataFrame, name: str, comment: str) -> DataFrame:
+    """Write a version of its own and point the documented view ``name`` at it.
+
+    Readers keep the old rows until the new ones are whole, and a failed write loses nothing."""
+    spark, version = df.sparkSession, version_name(name)
+    save_table(df, version, comment)
+    view = save_view(spark, name, version, df.columns, "TRUE", comment)
+    schema, table = name.rsplit(".", 1)
+    drop_old_versions(spark, schema, f"{table}_")
+    return view
+
+
 def drop_old_versions(spark: SparkSession, schema: str, prefix: str, keep: int = 2) -> None:
-    """Drop all but the newest versions; one older version stays for queries still reading it.
+    """Drop all but the newest versions; one older version stays for queries still reading it. Call it right after
+    publishing, when the newest version is the one its view shows.
 
     A version is named by the prefix and a time stamp of 20 digits; other tables of the schema are left alone."""
     version = re.compile(re.escape(prefix) + r"\d{20}")
@@ -67,5 +86,12 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def register_gold_folder(spark: SparkSession, folder: str, names: list[str]) -> None:
+def register_gold_folder(spark: SparkSession, folder: str, names: list[str] | None = None) -> list[str]:
+    """Views on the Parquet folders of a gold folder: the named ones, or all whose names begin with ``gold_``."""
+    if names is None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [f.getPath().getName() for f in files.listStatus(path) if f.isDirectory()]
+        names = sorted(n for n in found if n.startswith("gold_"))
     register_views({name: spark.read.parquet(f"{folder.rstrip('/')}/{name}") for name in names})
+    return names

@@ -2,7 +2,8 @@ import pytest
 
 from invoicelake.schema import BRONZE
 from invoicelake.session import shared_folder, stage
-from invoicelake.sources.catalog import create_schema, preview, register_gold_folder, save_parquet, save_table
+from invoicelake.sources.catalog import (
+    create_schema, preview, publish_table, register_gold_folder, save_parquet, save_table)
 from invoicelake.sources.landing import read_landing, read_text_extract, union_extracts, with_audit
 
 
@@ -40,8 +41,25 @@ def test_tables_are_overwritten_and_documented(spark):
 
 def test_gold_folder_as_views(spark, tmp_path):
     save_parquet(spark.range(4), str(tmp_path / "gold_a"))
-    register_gold_folder(spark, str(tmp_path), ["gold_a"])
+    save_parquet(spark.range(5), str(tmp_path / "gold_b"))
+    spark.range(1).write.json(str(tmp_path / "run_report"))
+    assert register_gold_folder(spark, str(tmp_path), ["gold_a"]) == ["gold_a"]
     assert spark.sql("SELECT COUNT(*) AS n FROM gold_a").first().n == 4
+    assert register_gold_folder(spark, str(tmp_path)) == ["gold_a", "gold_b"]
+    assert spark.sql("SELECT COUNT(*) AS n FROM gold_b").first().n == 5
+
+
+def test_a_failed_write_leaves_the_published_rows(spark):
+    create_schema(spark, "published")
+    publish_table(spark.range(2), "published.gold_t", "it's first")
+    with pytest.raises(Exception, match="no rows today"):
+        publish_table(spark.range(3).selectExpr("id", "raise_error('no rows today') AS extra"), "published.gold_t", "second")
+    assert spark.table("published.gold_t").count() == 2
+    for rows in (3, 4, 5):
+        seen = publish_table(spark.range(rows).selectExpr("id", "'x' AS extra"), "published.gold_t", "third")
+        assert seen.columns == ["id", "extra"] and seen.count() == rows
+    assert spark.table("published.gold_t").count() == 5
+    assert len([t for t in spark.catalog.listTables("published") if t.name.startswith("gold_t_")]) == 2
 
 
 def test_stage_reads_back_what_it_wrote(spark, silver):
