@@ -71,9 +71,12 @@ QUESTIONS: dict[str, Callable[[Gold], DataFrame]] = {
 }
 
 
+CASE = "question string, sql string, candidate string"
+
+
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of {question, sql} records, with a candidate answer to each."""
-    return spark.read.schema("question string, sql string, candidate string").option(
+    return spark.read.schema(CASE).option(
         "multiLine", True).json(path)
 
 
