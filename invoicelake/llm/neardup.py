@@ -1,9 +1,9 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
 A text is the set of its shingles of five consecutive words (lower case; a text of fewer words is one shingle). A
-shingle weighs its number of occurrences times 1 + IDF_GAIN * ln(N / df) / ln(N). The df of every shingle in at least
-one of ``COMMON`` documents is counted over the whole corpus; all others count as rare. Their number is at most COMMON
-times the average number of shingles, whatever the size of the corpus, so this table is sent to every task.
+shingle weighs its number of occurrences times 1 + IDF_GAIN * ln(N / df) / ln(N). A shingle is common if its df is at
+least 2 and one ``COMMON``-th of the sum of all df, so there are at most COMMON of them, whatever the corpus; the df of
+the common ones is exact, all others count as rare. This table is small enough to be sent to every task.
 
 Documents with the same words form one content, which is sampled by improved consistent weighted sampling (two
 contents agree in a sample with a probability equal to their weighted Jaccard similarity) and hashed band by band.
@@ -36,7 +36,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS = 20
 ROWS = 4
-COMMON = 500           # a shingle in one of this many documents is common
+COMMON = 100_000       # common shingles at most: each has one such part of the sum of all document frequencies
 IDF_GAIN = 0.5
 COUNTED_TOGETHER = 2_000_000
 CACHED_WORDS = 250_000
@@ -159,19 +159,21 @@ def from_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, "<f4", n, 8 * n).astype(float)
 
 
-def corpus_weights(docs: DataFrame) -> Weights:
-    """Document frequencies of the common shingles, over all documents.
+def _candidates(texts: DataFrame) -> tuple[np.ndarray, int, int]:
+    """Sorted hashes of at most 2 * COMMON shingles that may be common, the documents, and the sum of all df.
 
-    A task counts in portions of about two million shingles and drops those it met once: a common one occurs about
-    seven times in a portion of ordinary documents."""
+    A task counts in portions of about two million shingles, and of each portion hands on the shingles with at least
+    half a common one's part of it. What the portions keep back of a shingle is less than half a common one's part of
+    the whole, so a common one has the other half among what was handed on."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending, size, documents = [], 0, 0
+        pending, size, documents, sums = [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(pending), return_counts=True) if pending else (np.empty(0, np.uint64),) * 2
-            keep = n > 1
+            found, n = np.unique(np.concatenate(pending), return_counts=True)
+            keep = n * (2 * COMMON) >= size
             return pa.RecordBatch.from_arrays(
-                [pa.array(found[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names=["shingle", "n"])
+                [pa.array(found[keep].view(np.int64)), pa.array(n[keep].astype(np.int64)), pa.nulls(keep.sum(), pa.int64())],
+                names=["shingle", "n", "sums"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -180,19 +182,46 @@ def corpus_weights(docs: DataFrame) -> Weights:
                 size += len(pending[-1])
                 if size > COUNTED_TOGETHER:
                     yield flush()
-                    pending, size = [], 0
-        yield flush()
+                    sums, pending, size = sums + size, [], 0
+        if size:
+            yield flush()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.int64()), pa.array([documents], pa.int64())], names=["shingle", "n"])
-
-    counted = stage(docs.select(F.col("text").cast("string")).mapInArrow(count, "shingle long, n long")
-                    .groupBy("shingle").agg(F.sum("n").alias("n")), "shingle-counts")
-    total = counted.filter("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
-    common = counted.filter(F.col("shingle").isNotNull() & (F.col("n") * COMMON >= total)).collect() if total > 1 else []
-    common.sort(key=lambda r: r["shingle"] % 2 ** 64)
-    hashes = np.array([r["shingle"] for r in common], np.int64).view(np.uint64)
-    df = np.array([max(2, min(r["n"], total)) for r in common], float)
-    return Weights(hashes, 1 + IDF_GAIN * np.log(total / df) / math.log(total) if len(df) else df)
+            [pa.array([x], pa.int64()) for x in (None, documents, sums + size)], names=["shingle", "n", "sums"])
+
+    counted = stage(texts.mapInArrow(count, "shingle long, n long, sums long").groupBy("shingle").agg(
+        F.sum("n").alias("n"), F.sum("sums").alias("sums")), "shingle-candidates")
+    documents, sums = counted.filter("shingle IS NULL").agg(F.sum("n"), F.sum("sums")).first()
+    if not sums:
+        return np.empty(0, np.uint64), documents or 0, 0
+    kept = counted.filter(F.col("shingle").isNotNull() & (F.col("n") >= 2) & (F.col("n") * 2 * COMMON >= sums))
+    rows = kept.select("shingle").collect()      # at most 2 * COMMON rows
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64)), documents, sums
+
+
+def corpus_weights(docs: DataFrame) -> Weights:
+    """Exact document frequencies of the common shingles, over all documents, however these are partitioned."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    hashes, documents, sums = _candidates(texts)
+    if not len(hashes):
+        return Weights(hashes, np.empty(0))
+    sent = docs.sparkSession.sparkContext.broadcast(hashes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.value
+        n = np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = np.unique(shingles(word_hashes(text)))
+                at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+                n[at[wanted[at] == found]] += 1
+        met = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(n[met])], names=["place", "n"])
+
+    exact = texts.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    common = sorted(tuple(r) for r in exact.filter((F.col("n") >= 2) & (F.col("n") * COMMON >= sums)).collect())
+    df = np.array([n for _, n in common], float)
+    return Weights(hashes[[place for place, _ in common]] if common else hashes[:0],
+                   1 + IDF_GAIN * np.log(documents / df) / math.log(documents))
 
 
 def contents(docs: DataFrame, weights: Weights) -> DataFrame:

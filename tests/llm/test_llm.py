@@ -258,3 +258,22 @@ def test_samples_agree_as_often_as_weights():
     both, i, j = np.intersect1d(a, b, return_indices=True)
     least = np.minimum(wa[i], wb[j]).sum()
     assert abs(agree - least / (wa.sum() + wb.sum() - least)) < 0.04
+
+
+@pytest.mark.parametrize("portion", [300, 2_000_000])
+def test_document_frequencies_are_exact_however_the_corpus_is_cut(spark, portion, monkeypatch):
+    monkeypatch.setattr(neardup, "COMMON", 150)
+    monkeypatch.setattr(neardup, "COUNTED_TOGETHER", portion)
+    rng = random.Random(3)
+    passages = [" ".join(f"p{i}w{j}" for j in range(9)) for i in range(60)]
+    texts = [" ".join(rng.choice(passages[:1 + rng.randrange(60)]) for _ in range(6)) for _ in range(700)] + [None, "", "a b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    counted = Counter(s for t in texts for s in set(neardup.shingles(neardup.word_hashes(t)).tolist()))
+    border = sum(counted.values()) / 150
+    common = {s: n for s, n in counted.items() if n >= max(2, border)}
+    assert 0 < len(common) <= 150 and len(counted) > 2000
+    for parts in (1, 5, 40):
+        weights = neardup.corpus_weights(df.repartition(parts))
+        assert weights.hashes.tolist() == sorted(common)
+        wanted = [1 + neardup.IDF_GAIN * np.log(len(texts) / common[s]) / np.log(len(texts)) for s in sorted(common)]
+        assert np.allclose(weights.factors, wanted)
