@@ -39,6 +39,7 @@ ROWS = 4
 COMMON = 100_000       # common shingles at most: each has one such part of the sum of all document frequencies
 IDF_GAIN = 0.5
 COUNTED_TOGETHER = 2_000_000
+COUNTED_BYTES = 16 << 20    # smaller splits are counted together
 CACHED_WORDS = 250_000
 BLOCK = 128            # contents of a bucket that are compared with those of another block in one task
 
@@ -46,6 +47,7 @@ _WORD = re.compile(r"\w+")
 _WORDS: dict[str, int] = {}
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 16
+_CANDIDATE_BITS = 22
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -188,7 +190,10 @@ def _candidates(texts: DataFrame) -> tuple[np.ndarray, int, int]:
         yield pa.RecordBatch.from_arrays(
             [pa.array([x], pa.int64()) for x in (None, documents, sums + size)], names=["shingle", "n", "sums"])
 
-    counted = stage(texts.mapInArrow(count, "shingle long, n long, sums long").groupBy("shingle").agg(
+    # a small portion hands on nearly all it has; the result is the same for any partitions
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / COUNTED_BYTES))
+    counted = stage(texts.coalesce(parts).mapInArrow(count, "shingle long, n long, sums long").groupBy("shingle").agg(
         F.sum("n").alias("n"), F.sum("sums").alias("sums")), "shingle-candidates")
     documents, sums = counted.filter("shingle IS NULL").agg(F.sum("n"), F.sum("sums")).first()
     if not sums:
@@ -209,9 +214,13 @@ def corpus_weights(docs: DataFrame) -> Weights:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = sent.value
         n = np.zeros(len(wanted), np.int64)
+        # most shingles are told to be no candidates by their first bits
+        first_bits = np.zeros(1 << _CANDIDATE_BITS, bool)
+        first_bits[wanted >> np.uint64(64 - _CANDIDATE_BITS)] = True
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = np.unique(shingles(word_hashes(text)))
+                found = shingles(word_hashes(text))
+                found = np.unique(found[first_bits[found >> np.uint64(64 - _CANDIDATE_BITS)]])
                 at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
                 n[at[wanted[at] == found]] += 1
         met = np.flatnonzero(n)
