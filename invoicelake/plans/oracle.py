@@ -292,6 +292,7 @@ def all_oracles() -> dict[str, str]:
     clean = "COUNT(*) FILTER (reject_reason IS NULL)"
     sqls = {
         "bronze_scan": _sql([BRONZE], "SELECT * FROM bronze"),
+        "bronze_provenance": _sql([BRONZE], "SELECT *, TRUE AS from_landing, TRUE AS has_time FROM bronze"),
         "bronze_union": _sql([BRONZE], "SELECT * REPLACE (NULLIF(price, '') AS price) FROM bronze"),
         "dedupe_lines": _sql(lab[:2], f"SELECT {_typed(LINE)} FROM typed"),
         "label_rows": _sql(lab, f"SELECT {_typed(LINE)}, is_cancellation, reject_reason FROM labelled"),
@@ -430,6 +431,13 @@ def all_oracles() -> dict[str, str]:
     sqls["result_match"] = _sql(
         [*kpi, MATCHES], "SELECT reference_column, matched_by, matched_by IS NOT NULL AS matched FROM found")
 
+    sqls["parquet_sink"] = sqls["monthly_kpis"]
+    sqls["gold_views"] = _sql([*ALL_GOLD, TEST, RISK], """
+        SELECT 'gold_monthly_kpis' AS table_name, COUNT(*) AS table_rows FROM gold_monthly_kpis
+        UNION ALL SELECT 'gold_product_performance', COUNT(*) FROM gold_product_performance
+        UNION ALL SELECT 'gold_customer_rfm', COUNT(*) FROM gold_customer_rfm
+        UNION ALL SELECT 'gold_customer_churn_risk', COUNT(*) FROM gold_customer_churn_risk""")
+
     def added(column: str) -> str:
         return f"CAST(SUM(CAST({column} AS DECIMAL(28,2))) AS DOUBLE) AS {column}"
 

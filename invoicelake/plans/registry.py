@@ -15,6 +15,7 @@ from invoicelake.plans import pipeline, questions
 from invoicelake.plans.workspace import Workspace, over
 from invoicelake.schema import FEATURES
 from invoicelake.session import staging_path
+from invoicelake.sources.catalog import register_gold_folder, save_parquet
 from invoicelake.sources.landing import read_text_extract, union_extracts, with_audit
 
 YEAR = 2000
@@ -46,6 +47,27 @@ def bronze_audit(ws: Workspace) -> DataFrame:
     return with_audit(ws.spark, ws.landing)
 
 
+def bronze_provenance(ws: Workspace) -> DataFrame:
+    """The audited rows with what can be said of their audit columns in every run."""
+    return bronze_audit(ws).withColumns({
+        "from_landing": F.contains(F.col("_source_file"), F.lit(ws.landing.rsplit("/", 1)[-1])),
+        "has_time": F.col("_ingested_at").isNotNull()}).drop("_source_file", "_ingested_at")
+
+
+def parquet_sink(ws: Workspace) -> DataFrame:
+    return save_parquet(ws.kpis, staging_path(ws.spark, "sink"))
+
+
+def gold_views(ws: Workspace) -> DataFrame:
+    """Rows of every gold table, stored in one folder and read back by name."""
+    folder = staging_path(ws.spark, "gold")
+    for name, df in ws.gold_tables().items():
+        save_parquet(df, f"{folder}/{name}")
+    return ws.spark.sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS table_rows FROM {name}"
+        for name in register_gold_folder(ws.spark, folder)))
+
+
 def oot_snapshots(ws: Workspace) -> DataFrame:
     """Both labelled snapshots of the out-of-time split."""
     return gold.churn_snapshot(ws.silver, ws.days["train_at"]).withColumn("split", F.lit("train")).unionByName(
@@ -126,6 +148,7 @@ def ask(name: str, risk: Callable[[Workspace], DataFrame] | None = None):
 BRONZE_AND_SILVER = {
     "bronze_scan": lambda ws: ws.bronze,
     "bronze_audit": bronze_audit,
+    "bronze_provenance": bronze_provenance,
     "bronze_union": bronze_union,
     "dedupe_lines": lambda ws: published(silver.dedupe_lines(ws.bronze)),
     "label_rows": lambda ws: published(ws.labelled),
@@ -203,6 +226,8 @@ ON_SCORES = {
     "risk_share": lambda ws, risk: findings.risk_share(risk),
 }
 
+SINKS = {"parquet_sink": parquet_sink, "gold_views": gold_views}
+
 CHECKS = {
     "screen_queries": lambda ws: screening.screen_queries(sql_log(ws)),
     "result_match": result_match,
@@ -215,7 +240,7 @@ RISK_QUESTIONS = ("total_risk", "top_risk", "high_risk")
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    for group in (BRONZE_AND_SILVER, GOLD, CHURN, MEASURES, FINDINGS, CHECKS):
+    for group in (BRONZE_AND_SILVER, GOLD, CHURN, MEASURES, FINDINGS, SINKS, CHECKS):
         named |= {name: over(query) for name, query in group.items()}
     for name, query in ON_SCORES.items():
         named[name] = over(lambda ws, q=query: q(ws, ws.model_risk))
