@@ -14,7 +14,8 @@ Classes are the connected components of the links, found by passing on the small
 
 Defined results: a document without words is a class of its own, unless its text is repeated exactly (a missing or
 empty text is always alone). The class id is the smallest doc_id of the class; a missing doc_id counts as above all
-others. Repeated rows give one row each. Other columns are ignored; an empty table gives no rows.
+others. As doc_ids may be missing or repeat, classes are told apart by their label, not by their id. Repeated rows
+give one row each. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -383,7 +384,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, raw (xxhash64 of the text): one row per document."""
+    """doc_id, class_id, raw (xxhash64 of the text), label: one row per document.
+
+    Rows of one class, and no others, have one label; it is missing for a missing or empty text, which is alone."""
     weights = corpus_weights(docs)
     rows = stage(contents(docs, weights), "samples")
     labels = components(links(docs, rows, weights))
@@ -393,16 +396,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     above = F.lit(2 ** 63 - 1)
     named = labelled.filter(F.col("label").isNotNull()).groupBy("label").agg(
         F.min(F.struct(F.coalesce("doc_id", above), "doc_id")).getField("doc_id").alias("class_id"))
-    return labelled.join(named, "label").select("doc_id", "class_id", "raw").union(
-        labelled.filter(F.col("label").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), "raw"))
+    return labelled.join(named, "label").select("doc_id", "class_id", "raw", "label").union(
+        labelled.filter(F.col("label").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), "raw", "label"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one with the smallest doc_id; all columns stay as they are."""
-    found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(
-        "doc_id").agg(F.min("raw").alias("raw")).select(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw"))
-    raw = F.xxhash64("text")
-    kept = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (raw == F.col("__raw")), "left_semi")
+    """One document of each class, one with the smallest doc_id; all columns stay as they are.
+
+    A class is known by its label, as its class_id may be missing or stand for several classes."""
+    first = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)), "doc_id", "raw")
+    found = near_duplicates(docs).filter(F.col("label").isNotNull()).groupBy("label").agg(F.min(first).alias("first")).select(
+        F.col("first.doc_id").alias("__id"), F.col("first.raw").alias("__raw"))
+    raw, alone = F.xxhash64("text"), F.coalesce(F.col("text").cast("string"), F.lit("")) == ""
+    kept = docs.filter(~alone).join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (raw == F.col("__raw")), "left_semi")
     once = Window.partitionBy("doc_id", "__hash").orderBy(F.lit(0))
-    return kept.withColumn("__hash", raw).withColumn("__n", F.row_number().over(once)).filter(
-        "__n = 1").select(*docs.columns)
+    kept = kept.withColumn("__hash", raw).withColumn("__n", F.row_number().over(once)).filter("__n = 1")
+    return kept.select(*docs.columns).union(docs.filter(alone))

@@ -67,7 +67,8 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id")
+    return neardup.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", F.lower(F.hex("label")).alias("class_key"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -238,6 +238,18 @@ def test_near_duplicates(documents, no_documents):
     assert neardup.near_duplicates(no_documents).count() == 0
 
 
+def test_one_text_stays_per_class_where_doc_ids_are_missing_or_repeat(spark):
+    texts = ["first text of its own kind", "second one about another thing", "and a third", "a fourth, unlike the others"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (None, texts[3]),
+            (None, "!!!"), (None, "..."), (None, "..."), (None, None), (None, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter(tuple(r) for r in neardup.keep_one(docs).collect())
+    assert kept == Counter({(None, texts[0]): 1, (None, texts[1]): 1, (7, texts[2]): 1, (7, texts[3]): 1,
+                            (None, "!!!"): 1, (None, "..."): 1, (None, None): 2, (7, ""): 2})
+    labels = Counter(r.label for r in neardup.near_duplicates(docs).collect())
+    assert labels.pop(None) == 4 and sorted(labels.values()) == [1, 1, 1, 2, 2, 2]
+
+
 def test_near_duplicates_against_all_pairs(spark):
     df = spark.read.parquet(f"{TESTDATA}/documents.parquet").select("doc_id", "text")
     classes = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
