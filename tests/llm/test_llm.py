@@ -202,6 +202,25 @@ def test_secrets(documents, no_documents):
     assert secrets.thresholds([(1, 150, True, 20)]) == {}      # without ordinary words nothing is proven
 
 
+def test_keys_of_every_length_are_found_among_ordinary_text(spark):
+    chance, letters = random.Random(6), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    lengths = (20, 40, 64, 86)
+    keys = [["".join(chance.choice(letters) for _ in range(n - 1)) + "7" for n in lengths] for _ in range(60)]
+    prose = [r.text for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").filter("length(text) > 1000").limit(60).collect()]
+    rows = [(i, f"{text[:900]} {' '.join(k)} my-first-post-of-may-2021 {text[900:]}")
+            for i, (k, text) in enumerate(zip(keys, prose, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter()
+    for r in secrets.find_secrets(docs).collect():
+        text = rows[r.doc_id][1]
+        for kind, start, end in (s.split(":") for s in r.spans.split(",") if s):
+            if kind == "random":
+                found[text[int(start):int(end)]] += 1
+    share = [sum(k[i] in found for k in keys) / len(keys) for i in range(len(lengths))]
+    assert share[0] > 0.2 and min(share[1:]) > 0.7, share
+    assert "my-first-post-of-may-2021" not in found
+
+
 def test_personal_data(documents, no_documents):
     rows = pii.find_personal_data(documents).collect()
     assert len(rows) == documents.count()
