@@ -26,7 +26,7 @@ def redact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Takes each document as often as the target of its source asks for, at most twice."""
+    """Takes each document as often as the target of its source asks for, at most twice, to the word."""
     return mixing.mixed_documents(docs)
 
 

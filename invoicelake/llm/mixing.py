@@ -29,6 +29,7 @@ SHARE = 1.5
 REPEATS = 2
 BLOCK_WORDS = 512
 GOLDEN = 2654435769      # 2**32 over the golden ratio
+ROW = "__row"            # tells rows apart whose doc_id, source and size are equal
 CELLS = 4096             # equal parts of [0, 1) in which slots look up their source
 
 
@@ -36,16 +37,28 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word."""
+    spaced = F.regexp_extract_all(text, F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0))
+    return F.array_join(F.slice(spaced, F.lit(1), n), "")
+
+
+def _row(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c == ROW]
+
+
 def _before(what: str, window) -> Column:
     return F.coalesce(F.sum(what).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def positions(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, and ``at``: the words of its source that come before it in shuffled order."""
+    """doc_id, source, size, and ``at``: the words of its source that come before it in shuffled order.
+
+    A row number of the caller, ``ROW``, is passed on."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        words(F.col("text")).alias("size")).withColumn("key", key)
+        words(F.col("text")).alias("size"), *_row(docs)).withColumn("key", key)
     rows = stage(rows, "sizes").withColumns({"k1": F.substring("key", 1, 3), "k2": F.substring("key", 4, 3)})
     two = rows.groupBy("source", "k1", "k2").agg(F.sum("size").alias("n"))
     one = two.groupBy("source", "k1").agg(F.sum("n").alias("n"))
@@ -58,7 +71,7 @@ def positions(docs: DataFrame) -> DataFrame:
     inside = Window.partitionBy("source", "k1", "k2").orderBy("key", "doc_id", "size")
     return rows.withColumn("inside", _before("size", inside)).join(
         before, F.col("source").eqNullSafe(F.col("s2")) & (F.col("k1") == F.col("i1")) & (F.col("k2") == F.col("i2"))
-    ).select("doc_id", "source", "size", (F.col("before") + F.col("inside")).alias("at"))
+    ).select("doc_id", "source", "size", *_row(docs), (F.col("before") + F.col("inside")).alias("at"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
@@ -134,13 +147,14 @@ def schedule(quotas: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
         block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, taken (words the mix takes, repeats counted)."""
+    """Per document: doc_id, source, size, source_size, target, taken (words the mix takes, repeats counted), and
+    its ``ROW`` if it has one."""
     placed = stage(positions(docs), "positions")
     sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
     quotas = stage(targets(sizes, weights, share), "targets")
     slots = schedule(quotas.select("source", "quota"), block_words)
     rows = placed.alias("p").join(quotas.alias("q"), F.expr("p.source <=> q.source")).selectExpr(
-        "p.doc_id", "p.source", "p.size", "p.at", "q.source_size", "q.target")
+        "p.doc_id", "p.source", "p.size", *_row(placed), "p.at", "q.source_size", "q.target")
     # a document meets the mix once in each run over its source
     runs = F.array(*[F.col("at") + F.lit(r) * F.col("source_size") for r in range(REPEATS)])
     begun = rows.filter("size > 0").withColumn("begin", F.explode(runs))
@@ -148,23 +162,29 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     parts = begun.withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / block_words), last)))
     joined = parts.alias("d").join(
         slots.alias("s"), F.expr("d.source <=> s.source AND d.block = s.block"), "left").selectExpr(
-        "d.doc_id", "d.source", "d.size", "d.at", "d.source_size", "d.target",
+        "d.doc_id", "d.source", "d.size", *_row(placed), "d.at", "d.source_size", "d.target",
         "d.begin", f"d.block * {block_words}L AS from_word", "coalesce(s.words, 0L) AS words")
     overlap = F.greatest(F.lit(0), F.least(
         F.col("begin") + F.col("size"), F.col("from_word") + F.col("words"))
         - F.greatest(F.col("begin"), F.col("from_word")))
-    kept = ["doc_id", "source", "size", "source_size", "target"]
+    kept = ["doc_id", "source", "size", *_row(placed), "source_size", "target"]
     taken = joined.groupBy(*kept, "at").agg(F.sum(overlap).cast("long").alias("taken")).drop("at")
     return taken.unionByName(rows.filter("size = 0").select(*kept, F.lit(0).cast("long").alias("taken")))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it: 0 to 2 times, to the nearest whole."""
-    key = ["doc_id", "source", "size"]
-    times = mix(docs, weights, share).filter("size > 0").groupBy(*key).agg(
-        F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("__times")).filter("__times > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"), "__times")
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-            & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (words(F.col("text")) == F.col("__words")))
-    return docs.join(times, same).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[docs[c] for c in docs.columns])
+    """The words the mix takes: each document 0 to 2 times, and cut after its last word taken where a source ends.
+
+    A source takes its runs from the start, so a row has whole copies first and at most one that is cut; ``n_chars``
+    is that of the cut text. Rows are told apart by a number of their own."""
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "mix-rows")
+    times = mix(rows, weights, share).filter("taken > 0").selectExpr(
+        ROW, "taken div size AS __whole", "cast(taken % size AS int) AS __rest")
+    copies = F.sequence(F.lit(1), F.col("__whole") + F.when(F.col("__rest") > 0, 1).otherwise(0))
+    taken = rows.join(times, ROW).withColumn("__copy", F.explode(copies))
+    cut = F.col("__copy") > F.col("__whole")
+    taken = taken.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("__rest"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        taken = taken.withColumn("n_chars", F.when(cut, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return taken.select(*docs.columns)

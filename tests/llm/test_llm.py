@@ -189,6 +189,24 @@ def test_mixing(spark, documents, no_documents):
         assert abs(order[:n].count("a") - 0.6 * n) < 6
 
 
+def test_mixed_documents_have_the_words_the_mix_takes(spark):
+    text = lambda name, n: " \t".join(f"{name}{i}" for i in range(n)) + "\n"
+    rows = [(1, text("one", 1000), "a", 7), (None, text("x", 10), "b", 7), (None, text("y", 10), "b", 7), (2, text("z", 10), "b", 7),
+            (2, text("w", 10), "b", 7), (3, text("t", 300), "c", 7), (4, None, "c", 7), (5, "", None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int").repartition(3)
+    for share in (0.2, 0.6, 1.5):
+        quota = {r.source: r.quota for r in mixing.targets(mixing.positions(docs).groupBy("source").agg(
+            F.sum("size").alias("source_size")), share=share).collect()}
+        mixed = mixing.mixed_documents(docs, share=share)
+        assert mixed.dtypes == docs.dtypes
+        taken, whole = Counter(), {t for _, t, _, _ in rows}
+        for r in mixed.collect():
+            taken[r.source] += len(r.text.split())
+            assert any(t and t.startswith(r.text) for t in whole)
+            assert r.n_chars == (7 if r.text in whole else len(r.text))
+        assert taken == Counter({s: n for s, n in quota.items() if n})
+
+
 def test_secrets(documents, no_documents):
     row = next(r for r in secrets.find_secrets(documents).collect() if r.doc_id == 12)
     assert (row.n_assign, row.n_access, row.n_hex) == (1, 1, 1)
