@@ -5,7 +5,8 @@ cosine up to a bound that follows from the norms of what rounding dropped (Cauch
 among the nearest survives; the survivors are computed again in double precision from the original vectors. Heaps
 merge the tiles. The result is exact.
 
-Defined results: vectors that are missing, zero, or hold missing or non-finite components take no part. Vectors of
+Defined results: vectors that are missing, zero, or hold missing or non-finite components take no part, nor do rows
+without a vec_id. Vectors of
 different length never meet. A row never finds a row of its own vec_id; otherwise repeated rows are candidates of
 their own. Ties go to the smaller vec_id. Fewer candidates than ``k`` are all returned. An empty table gives no rows.
 """

@@ -23,11 +23,11 @@ Found = tuple[np.ndarray, np.ndarray, np.ndarray]   # positions of queries and c
 
 def finite_vectors(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """``vec_id`` and the vector as doubles ``v`` of ``dim`` components, without vectors that are missing or hold a
-    missing or non-finite component."""
+    missing or non-finite component, and without rows whose vec_id is missing, which no result could name."""
     v = F.col(vector).cast("array<double>")
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     return rows.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).filter(
-        F.col("v").isNotNull() & F.forall("v", number)).withColumn("dim", F.size("v"))
+        F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", number)).withColumn("dim", F.size("v"))
 
 
 def search_tiles(vectors: DataFrame, is_query: Column, search: Callable[[np.ndarray, np.ndarray, np.ndarray], Found],

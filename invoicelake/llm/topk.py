@@ -6,7 +6,8 @@ of a tile; what a vector still holds in the segments to come bounds the rest of
 stops only when that proves that no vector outside a few possible members can be among its best; those members are
 scored exactly in whole numbers.
 
-Defined results: vectors that are missing or hold missing or non-finite components take no part. Components saturate
+Defined results: vectors that are missing or hold missing or non-finite components take no part, nor do rows without a
+vec_id. Components saturate
 at plus and minus 2**26 after scaling, so that a score fits a long. Vectors of different length never meet; empty ones
 score 0. A row never finds a row of its own vec_id; otherwise repeated rows are candidates of their own. Ties go to
 the smaller vec_id. An empty table gives no rows.

@@ -172,6 +172,18 @@ def test_exact_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0, 20).count() == 0
 
 
+@pytest.mark.parametrize("search", [neighbours.nearest_neighbours, topk.top_k])
+def test_rows_without_vec_id_take_no_part(spark, search):
+    big = 2 ** 60 + 1
+    rows = [(big, [1.0, 2.0]), (big + 1, [2.0, 1.0]), (big + 2, [1.0, 1.0]), (None, [1.0, 2.0]), (None, [1.5, 1.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in search(df, F.col("vec_id") > 0, 5).collect():
+        found[r.query_id].add(r.vec_id)
+    ids = {big, big + 1, big + 2}
+    assert found == {i: ids - {i} for i in ids}
+
+
 def test_mixing(spark, documents, no_documents):
     rows = mixing.mix(documents).collect()
     assert len(rows) == documents.count()
