@@ -6,7 +6,8 @@ least 2 and one ``COMMON``-th of the sum of all df, so there are at most COMMON
 the common ones is exact, all others count as rare. This table is small enough to be sent to every task.
 
 Documents with the same words form one content, which is sampled by improved consistent weighted sampling (two
-contents agree in a sample with a probability equal to their weighted Jaccard similarity) and hashed band by band.
+contents agree in a sample with a probability equal to their weighted Jaccard similarity) and by plain min-hashes (the
+same for the plain similarity, whatever the numbers of occurrences), and hashed band by band.
 The contents of a bucket are first compared with the smallest one. Buckets in which one of them fails are compared
 again in blocks, every content with every other that is not linked yet, inside tasks of bounded size that emit only
 the links they need. A link is kept if the weighted or the plain Jaccard similarity is at least ``SIMILARITY``.
@@ -109,6 +110,8 @@ class Sampler:
         self.usual, usual_t = usual, np.floor(np.log(usual) / self.r + self.beta)
         self.usual_key = self._key(usual_t, slice(None)).astype(np.float32)
         self.usual_t = usual_t.astype(np.int64)
+        self.plain_factors = np.random.default_rng(20240301).integers(
+            1, 2 ** 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def _key(self, t: np.ndarray, place) -> np.ndarray:
         r = self.r[place]
@@ -136,10 +139,18 @@ class Sampler:
             out[at:at + step] = _mixed(hashes[best] + level.astype(np.uint64) * _MULTIPLY)
         return out
 
+    def plain(self, hashes: np.ndarray) -> np.ndarray:
+        """For every sample, the smallest hash; the weights do not matter."""
+        out = np.empty(len(self.plain_factors), np.uint64)
+        step = max(1, 2_000_000 // len(hashes))
+        for at in range(0, len(out), step):
+            out[at:at + step] = (hashes[None, :] * self.plain_factors[at:at + step, None]).min(axis=1)
+        return out
+
     def bands(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """A hash per band, the number of the band included."""
-        rows = self.sample(hashes, weights).reshape(BANDS, ROWS)
-        out = np.arange(1, BANDS + 1, dtype=np.uint64)
+        """A hash per band, the number of the band included: BANDS weighted ones, then as many plain ones."""
+        rows = np.concatenate([self.sample(hashes, weights), self.plain(hashes)]).reshape(2 * BANDS, ROWS)
+        out = np.arange(1, 2 * BANDS + 1, dtype=np.uint64)
         for i in range(ROWS):
             out = _mixed(out * _MULTIPLY + rows[:, i])
         return out.view(np.int64)

@@ -309,6 +309,14 @@ def test_near_duplicates_against_all_pairs(spark):
                 assert classes[a] == classes[b]
 
 
+def test_texts_that_repeat_a_passage_10_and_40_times_are_linked(spark):
+    passages = [" ".join(f"p{i}w{j}" for j in range(30)) + " " for i in range(40)]
+    rows = [(100 * n + i, p * n) for i, p in enumerate(passages) for n in (10, 40)]
+    classes = {r.doc_id: r.class_id for r in neardup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(classes[4000 + i] == classes[1000 + i] == 1000 + i for i in range(40))
+
+
 def test_samples_agree_as_often_as_weights():
     chance = np.random.default_rng(4)
     sampler, agree = neardup.Sampler(1.5, 4000), []
