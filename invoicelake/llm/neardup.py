@@ -1,9 +1,10 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
 A text is the set of its shingles of five consecutive words (lower case; a text of fewer words is one shingle). A
-shingle weighs its number of occurrences times 1 + IDF_GAIN * ln(N / df) / ln(N). A shingle is common if its df is at
-least 2 and one ``COMMON``-th of the sum of all df, so there are at most COMMON of them, whatever the corpus; the df of
-the common ones is exact, all others count as rare. This table is small enough to be sent to every task.
+shingle weighs its number of occurrences times 1 + IDF_GAIN * ln(N / df) / ln(N). The df of all shingles is exact, in a
+stored table of those above 1. A shingle is common if its df is at least 2 and one ``COMMON``-th of the sum of all df,
+so there are at most COMMON of them, whatever the corpus; these are sent to every task. Sampling, which only proposes
+pairs, takes all others for rare; the similarity that decides has the df of every shingle.
 
 Documents with the same words form one content, which is sampled by improved consistent weighted sampling (two
 contents agree in a sample with a probability equal to their weighted Jaccard similarity) and by plain min-hashes (the
@@ -41,6 +42,7 @@ ROWS = 4
 COMMON = 100_000       # common shingles at most: each has one such part of the sum of all document frequencies
 IDF_GAIN = 0.5
 COUNTED_TOGETHER = 2_000_000
+SENT_TOGETHER = 100_000
 COUNTED_BYTES = 16 << 20    # smaller splits are counted together
 CACHED_WORDS = 250_000
 BLOCK = 128            # contents of a bucket that are compared with those of another block in one task
@@ -49,7 +51,6 @@ _WORD = re.compile(r"\w+")
 _WORDS: dict[str, int] = {}
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 16
-_CANDIDATE_BITS = 22
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -83,8 +84,14 @@ def shingles(words: np.ndarray) -> np.ndarray:
 class Weights:
     """Weights of shingles: the inverse document frequencies of the common ones, sorted by hash."""
 
-    def __init__(self, hashes: np.ndarray, factors: np.ndarray):
-        self.hashes, self.factors, self.rare = hashes, factors, 1 + IDF_GAIN
+    def __init__(self, hashes: np.ndarray, factors: np.ndarray, documents: int):
+        self.hashes, self.factors, self.rare, self.documents = hashes, factors, 1 + IDF_GAIN, documents
+
+    def common(self, distinct: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(distinct), bool)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+        return self.hashes[at] == distinct
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingles in ascending order, and their weights."""
@@ -173,20 +180,16 @@ def from_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, "<f4", n, 8 * n).astype(float)
 
 
-def _candidates(texts: DataFrame) -> tuple[np.ndarray, int, int]:
-    """Sorted hashes of at most 2 * COMMON shingles that may be common, the documents, and the sum of all df.
-
-    A task counts in portions of about two million shingles, and of each portion hands on the shingles with at least
-    half a common one's part of it. What the portions keep back of a shingle is less than half a common one's part of
-    the whole, so a common one has the other half among what was handed on."""
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """shingle, n (its exact df) of all shingles in two or more documents; of all others df is 1. A row without a
+    shingle has the number of documents as n and the sum of all df as ``sums``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, size, documents, sums = [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(pending), return_counts=True)
-            keep = n * (2 * COMMON) >= size
             return pa.RecordBatch.from_arrays(
-                [pa.array(found[keep].view(np.int64)), pa.array(n[keep].astype(np.int64)), pa.nulls(keep.sum(), pa.int64())],
+                [pa.array(found.view(np.int64)), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int64())],
                 names=["shingle", "n", "sums"])
 
         for batch in batches:
@@ -202,47 +205,25 @@ def _candidates(texts: DataFrame) -> tuple[np.ndarray, int, int]:
         yield pa.RecordBatch.from_arrays(
             [pa.array([x], pa.int64()) for x in (None, documents, sums + size)], names=["shingle", "n", "sums"])
 
-    # a small portion hands on nearly all it has; the result is the same for any partitions
+    # small splits are counted together, so that fewer counts of one shingle are shuffled
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / COUNTED_BYTES))
-    counted = stage(texts.coalesce(parts).mapInArrow(count, "shingle long, n long, sums long").groupBy("shingle").agg(
-        F.sum("n").alias("n"), F.sum("sums").alias("sums")), "shingle-candidates")
-    documents, sums = counted.filter("shingle IS NULL").agg(F.sum("n"), F.sum("sums")).first()
-    if not sums:
-        return np.empty(0, np.uint64), documents or 0, 0
-    kept = counted.filter(F.col("shingle").isNotNull() & (F.col("n") >= 2) & (F.col("n") * 2 * COMMON >= sums))
-    rows = kept.select("shingle").collect()      # at most 2 * COMMON rows
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64)), documents, sums
-
+    counted = texts.coalesce(parts).mapInArrow(count, "shingle long, n long, sums long").groupBy("shingle").agg(
+        F.sum("n").alias("n"), F.sum("sums").alias("sums"))
+    return stage(counted.filter("n >= 2 OR shingle IS NULL"), "document-frequencies")
 
-def corpus_weights(docs: DataFrame) -> Weights:
-    """Exact document frequencies of the common shingles, over all documents, however these are partitioned."""
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    hashes, documents, sums = _candidates(texts)
-    if not len(hashes):
-        return Weights(hashes, np.empty(0))
-    sent = docs.sparkSession.sparkContext.broadcast(hashes)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.value
-        n = np.zeros(len(wanted), np.int64)
-        # most shingles are told to be no candidates by their first bits
-        first_bits = np.zeros(1 << _CANDIDATE_BITS, bool)
-        first_bits[wanted >> np.uint64(64 - _CANDIDATE_BITS)] = True
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = shingles(word_hashes(text))
-                found = np.unique(found[first_bits[found >> np.uint64(64 - _CANDIDATE_BITS)]])
-                at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-                n[at[wanted[at] == found]] += 1
-        met = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(n[met])], names=["place", "n"])
-
-    exact = texts.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    common = sorted(tuple(r) for r in exact.filter((F.col("n") >= 2) & (F.col("n") * COMMON >= sums)).collect())
-    df = np.array([n for _, n in common], float)
-    return Weights(hashes[[place for place, _ in common]] if common else hashes[:0],
-                   1 + IDF_GAIN * np.log(documents / df) / math.log(documents))
+def corpus_weights(docs: DataFrame, frequencies: DataFrame | None = None) -> Weights:
+    """The weights by which contents are sampled: of the common shingles, at most COMMON, by their exact df."""
+    frequencies = document_frequencies(docs) if frequencies is None else frequencies
+    documents, sums = frequencies.filter("shingle IS NULL").agg(F.sum("n"), F.sum("sums")).first()
+    if not sums:
+        return Weights(np.empty(0, np.uint64), np.empty(0), documents or 0)
+    rows = frequencies.filter(F.col("shingle").isNotNull() & (F.col("n") * COMMON >= sums)).select("shingle", "n").collect()
+    hashes = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    order, df = np.argsort(hashes), np.array([r[1] for r in rows], float)
+    return Weights(hashes[order], 1 + IDF_GAIN * np.log(documents / df[order]) / math.log(max(documents, 2)), documents)
 
 
 def contents(docs: DataFrame, weights: Weights) -> DataFrame:
@@ -270,19 +251,58 @@ def contents(docs: DataFrame, weights: Weights) -> DataFrame:
     ).mapInArrow(read, "doc_id long, raw long, content binary, bands array<long>")
 
 
-def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights) -> DataFrame:
-    """content, vector of the wanted contents (content, doc_id, raw)."""
+def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, frequencies: DataFrame) -> DataFrame:
+    """content, vector of the wanted contents (content, doc_id, raw), by the exact df of every shingle.
+
+    The common shingles get theirs from ``weights``, the others by a join; so no key of the join is in many rows."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contents, parts, size = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [np.concatenate(x) for x in zip(*parts)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(contents, pa.binary()), *map(pa.array, columns)],
+                names=["content", "shingle", "key", "weight", "known"])
+
+        for batch in batches:
+            for content, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                distinct, found = sent.value.of(word_hashes(text))
+                known = sent.value.common(distinct)
+                found = np.where(known, found, found / sent.value.rare)
+                # what is known already is spread over the join by keys that are no shingles
+                key = np.where(known, _mixed(distinct ^ np.frombuffer(content, np.uint64, 1)[0]), distinct)
+                contents += [content] * len(distinct)
+                parts.append((distinct.view(np.int64), key.view(np.int64), found, known))
+                size += len(distinct)
+                if size > SENT_TOGETHER:
+                    yield flush()
+                    contents, parts, size = [], [], 0
+        if size:
+            yield flush()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [to_bytes(sent.value.of(word_hashes(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["content", "vector"])
+            out = []
+            for i in range(batch.num_rows):
+                found = batch.column(1)[i].values
+                hashes, weights = (np.asarray(found.field(k)) for k in ("shingle", "weight"))
+                hashes = hashes.view(np.uint64)
+                order = np.argsort(hashes)
+                out.append(to_bytes((hashes[order], weights[order])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["content", "vector"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("x"), F.col("text").cast("string").alias("text"))
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("x") == F.col("raw"))
-    return texts.join(wanted, same).select("content", "text").mapInArrow(
-        read, "content binary, vector binary").groupBy("content").agg(F.any_value("vector").alias("vector"))
+    single = texts.join(wanted, same).groupBy("content").agg(F.any_value("text").alias("text"))
+    rows = single.mapInArrow(read, "content binary, shingle long, key long, weight double, known boolean")
+    idf = F.lit(1.0) + IDF_GAIN * F.log(F.lit(weights.documents) / F.col("n")) / math.log(max(weights.documents, 2))
+    factors = frequencies.filter("shingle IS NOT NULL").select(F.col("shingle").alias("key"), idf.alias("factor"))
+    factor = F.when(F.col("known"), 1.0).otherwise(F.coalesce("factor", F.lit(weights.rare)))
+    return rows.join(factors, "key", "left").select(
+        "content", F.struct("shingle", (F.col("weight") * factor).alias("weight")).alias("s")).groupBy("content").agg(
+        F.collect_list("s").alias("found")).mapInArrow(pack, "content binary, vector binary")
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -346,7 +366,7 @@ def _links_inside(members: DataFrame, vectors: DataFrame) -> DataFrame:
     return rows.groupBy("bucket", "low", "high").applyInPandas(link, "a binary, b binary")
 
 
-def links(docs: DataFrame, rows: DataFrame, weights: Weights) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, weights: Weights, frequencies: DataFrame) -> DataFrame:
     """a, b: pairs of contents whose classes are one."""
     with_bands = rows.filter(F.col("bands").isNotNull())
     single = with_bands.groupBy("content").agg(
@@ -357,7 +377,7 @@ def links(docs: DataFrame, rows: DataFrame, weights: Weights) -> DataFrame:
     stars = stage(buckets.join(first, "bucket").select("bucket", "a", F.col("content").alias("b")).filter("a <> b"), "stars")
     pairs = stars.select("a", "b").distinct()
     touched = stars.select(F.col("a").alias("content")).union(stars.select(F.col("b").alias("content"))).distinct()
-    vectors = stage(_vectors(docs, single.select("content", "doc_id", "raw").join(touched, "content"), weights), "vectors")
+    vectors = stage(_vectors(docs, single.select("content", "doc_id", "raw").join(touched, "content"), weights, frequencies), "vectors")
     checked = stage(_verified(pairs, vectors), "checked")
     # buckets with a content that is not like the smallest; equal buckets of several bands are compared once
     marked = stars.join(checked, ["a", "b"])
@@ -398,9 +418,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, raw (xxhash64 of the text), label: one row per document.
 
     Rows of one class, and no others, have one label; it is missing for a missing or empty text, which is alone."""
-    weights = corpus_weights(docs)
+    frequencies = document_frequencies(docs)
+    weights = corpus_weights(docs, frequencies)
     rows = stage(contents(docs, weights), "samples")
-    labels = components(links(docs, rows, weights))
+    labels = components(links(docs, rows, weights, frequencies))
     labelled = rows.select("doc_id", "raw", "content").join(labels, "content", "left").withColumn(
         "label", F.coalesce("label", "content"))
     labelled = stage(labelled.select("doc_id", "raw", "label"), "classes")

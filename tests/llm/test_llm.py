@@ -317,6 +317,22 @@ def test_texts_that_repeat_a_passage_10_and_40_times_are_linked(spark):
     assert all(classes[4000 + i] == classes[1000 + i] == 1000 + i for i in range(40))
 
 
+@pytest.mark.parametrize(("most", "common"), [(10, 0), (40, 30)])
+def test_similarity_takes_the_document_frequency_of_every_shingle(spark, monkeypatch, most, common):
+    monkeypatch.setattr(neardup, "COMMON", most)
+    body = " ".join(f"own{i}" for i in range(104))                  # 100 shingles of two documents, a low df
+    tail = " ".join(f"boiler{i}" for i in range(34))                # 30 shingles, a high df
+    others = [(i, tail + f" other{i}") for i in range(100, 150)]
+    docs = spark.createDataFrame([(1, body), (2, body + " " + tail), *others], "doc_id long, text string")
+    frequencies = neardup.document_frequencies(docs)
+    weights = neardup.corpus_weights(docs, frequencies)
+    n = Counter(s for r in docs.collect() for s in set(neardup.shingles(neardup.word_hashes(r.text)).tolist()))
+    wanted = docs.filter("doc_id = 2").select(F.lit(b"0123456789abcdef").alias("content"), "doc_id", F.xxhash64("text").alias("raw"))
+    found, factors = neardup.from_bytes(neardup._vectors(docs, wanted, weights, frequencies).first().vector)
+    assert len(weights.hashes) == common and len(found) == 134
+    assert np.allclose(factors, [1 + neardup.IDF_GAIN * np.log(52 / n[s]) / np.log(52) for s in found.tolist()])
+
+
 def test_samples_agree_as_often_as_weights():
     chance = np.random.default_rng(4)
     sampler, agree = neardup.Sampler(1.5, 4000), []
