@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake.llm import (
-    language, mixing, neardup, neighbours, packing, pii, secrets, token_counts, token_files, topk)
+    language, mixing, neardup, neighbours, packing, pii, prefix_trie, repair, secrets, sharding, token_counts, token_files,
+    topk)
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -71,10 +72,24 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "class_id", F.lower(F.hex("label")).alias("class_key"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, folder, "conversations")))
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.summaries(repair.repair(repair.damage(table(spark, folder, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_mixing, op3_nearest_neighbours, op4_token_counts, op5_exact_top_k, op6_token_files,
-        op7_secrets, op8_personal_data, op9_language, op10_near_duplicates)}
+        op7_secrets, op8_personal_data, op9_language, op10_near_duplicates, op11_prefix_trie, op12_sharding,
+        op13_conversation_repair)}
 
 ORACLES: dict[str, str] = {
     "op2_mixing": """
