@@ -133,7 +133,7 @@ def _lattice(items: list[tuple], insert_at_end: bool) -> tuple[list[list], list[
 
 def cheapest(out: list[list], into: list[list], source: int, goals: list[int]) -> tuple[int, str] | None:
     """Cost and least audit of the cheapest paths from the source to a goal; None if there is none."""
-    ahead, back = {}, {}                                      # settled: node -> (cost, audit up to it or from it on)
+    ahead, back, ends = {}, {}, set(goals)                    # settled: node -> (cost, audit up to it or from it on)
     forward, reverse = [(0, source >> 2, "", source)], [(0, -(g >> 2), "", g) for g in goals]
     heapq.heapify(reverse)
     best = None
@@ -146,8 +146,9 @@ def cheapest(out: list[list], into: list[list], source: int, goals: list[int]) -
         if node in settled:
             continue
         settled[node] = cost, audit
-        if node in others and (best is None or cost + others[node][0] < best):
-            best = cost + others[node][0]
+        rest = 0 if heap is forward and node in ends else others[node][0] if node in others else None
+        if rest is not None and (best is None or cost + rest < best):
+            best = cost + rest
         for step, edit, other in edges[node]:
             if other in others and (best is None or cost + step + others[other][0] < best):
                 best = cost + step + others[other][0]
@@ -156,7 +157,9 @@ def cheapest(out: list[list], into: list[list], source: int, goals: list[int]) -
                     cost + step, sign * (other >> 2), audit + edit if sign > 0 else edit + audit, other))
     if best is None:
         return None
-    crossings = [audit + back[node][1] for node, (cost, audit) in ahead.items()
+    # a goal needs no reverse search; one of the heaps may be empty by then
+    crossings = [ahead[goal][1] for goal in goals if goal in ahead and ahead[goal][0] == best]
+    crossings += [audit + back[node][1] for node, (cost, audit) in ahead.items()
                  if node in back and cost + back[node][0] == best]
     crossings += [audit + edit + back[other][1] for node, (cost, audit) in ahead.items()
                   for step, edit, other in out[node] if other in back and cost + step + back[other][0] == best]

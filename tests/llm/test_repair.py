@@ -134,3 +134,12 @@ def test_meeting_searches_find_the_least_audit(seed):
     audits = [next(p["audit"] for p in paths[k] if (p["entry"], p["leave"]) == (a, b)) for k, a, b, _ in chosen]
     assert sum(c[3] for c in chosen) == cost
     assert "".join(audits) + repair.ENDINGS[chosen[-1][2]][1] == audit
+
+
+def test_a_block_without_rows_leads_every_state_to_itself():
+    paths = repair._solved([], False)[2]
+    assert [(p["entry"], p["leave"], p["cost"], p["audit"]) for p in paths] == [(s, s, 0, "") for s in range(4)]
+    assert repair._solved([], True)[:2] == (0, "")
+    item, _ = repair._items([(1, "user", "a.", 1), (2, "assistant", "b.", 1)], set())
+    parts = [repair._solved(x, False)[2] for x in ([], item[:1], [], [], item[1:], [])]
+    assert sum(c[3] for c in repair._chain(list(enumerate(parts)))) == 0
