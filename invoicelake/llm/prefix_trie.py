@@ -349,7 +349,9 @@ def prefix_trie(steps: DataFrame) -> DataFrame:
         "n_convs", F.when(at_bottom, F.col("children")).otherwise(1).cast("long").alias("n_children"),
         F.col("leaves").alias("n_leaves"), (F.col("saved") - above_here).alias("saved_tokens"),
         F.when(at_bottom, F.coalesce("ends", none)).otherwise(none).alias("ends_sha256"))
-    return root.join(values.filter("c IS NULL").withColumn("depth", F.lit(0).cast("long")), "depth").select(
-        "conv_id", "depth", F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", F.col("children").alias("n_children"),
-        F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"),
-        F.coalesce("ends", none).alias("ends_sha256")).union(below)
+    found = values.filter("c IS NULL").first()      # of the root: one row, or none if there are no conversations
+    at_root = [F.lit(found[k] if found else None).cast("long") for k in ("children", "leaves", "saved")]
+    return root.select(
+        "conv_id", "depth", F.lit(None).cast("long").alias("parent_conv_id"), "n_convs",
+        *[c.alias(name) for c, name in zip(at_root, ("n_children", "n_leaves", "saved_tokens"))],
+        F.lit(found and found.ends or hashlib.sha256().hexdigest()).alias("ends_sha256")).union(below)
