@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from invoicelake.session import stage
@@ -41,8 +41,9 @@ BANDS = 20
 ROWS = 4
 COMMON = 100_000       # common shingles at most: each has one such part of the sum of all document frequencies
 IDF_GAIN = 0.5
-COUNTED_TOGETHER = 2_000_000
-SENT_TOGETHER = 100_000
+COUNTED_TOGETHER = 250_000  # shingles a task counts before it hands the counts on
+SENT_TOGETHER = 50_000
+SENT_ROWS = 10_000
 COUNTED_BYTES = 16 << 20    # smaller splits are counted together
 CACHED_WORDS = 250_000
 BLOCK = 128            # contents of a bucket that are compared with those of another block in one task
@@ -180,30 +181,37 @@ def from_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, "<f4", n, 8 * n).astype(float)
 
 
+def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[str | None]:
+    """One text after the other, without a list of all texts of a batch."""
+    return (value.as_py() for batch in batches for value in batch.column(column))
+
+
 def document_frequencies(docs: DataFrame) -> DataFrame:
     """shingle, n (its exact df) of all shingles in two or more documents; of all others df is 1. A row without a
     shingle has the number of documents as n and the sum of all df as ``sums``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, size, documents, sums = [], 0, 0, 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             found, n = np.unique(np.concatenate(pending), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int64())],
-                names=["shingle", "n", "sums"])
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                documents += 1
-                pending.append(np.unique(shingles(word_hashes(text))))
-                size += len(pending[-1])
-                if size > COUNTED_TOGETHER:
-                    yield flush()
-                    sums, pending, size = sums + size, [], 0
+            pending.clear()
+            for at in range(0, len(found), SENT_ROWS):
+                some = found[at:at + SENT_ROWS].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some), pa.array(n[at:at + SENT_ROWS]), pa.nulls(len(some), pa.int64())],
+                    names=["shingle", "n", "sums"])
+
+        for text in _texts(batches, 0):
+            documents += 1
+            pending.append(np.unique(shingles(word_hashes(text))))
+            size, sums = size + len(pending[-1]), sums + len(pending[-1])
+            if size > COUNTED_TOGETHER:
+                yield from flush()
+                size = 0
         if size:
-            yield flush()
+            yield from flush()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([x], pa.int64()) for x in (None, documents, sums + size)], names=["shingle", "n", "sums"])
+            [pa.array([x], pa.int64()) for x in (None, documents, sums)], names=["shingle", "n", "sums"])
 
     # small splits are counted together, so that fewer counts of one shingle are shuffled
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -234,7 +242,7 @@ def contents(docs: DataFrame, weights: Weights) -> DataFrame:
         sampler = Sampler(sent.value.rare)
         for batch in batches:
             keys, bands = [], []
-            for text in batch.column(2).to_pylist():
+            for text in _texts([batch], 2):
                 words = word_hashes(text)
                 if len(words):
                     keys.append(xxhash.xxh3_128_digest(words.tobytes()))
@@ -267,7 +275,7 @@ def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, frequencies:
                 names=["content", "shingle", "key", "weight", "known"])
 
         for batch in batches:
-            for content, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for content, text in zip(batch.column(0).to_pylist(), _texts([batch], 1)):
                 distinct, found = sent.value.of(word_hashes(text))
                 known = sent.value.common(distinct)
                 found = np.where(known, found, found / sent.value.rare)
@@ -310,7 +318,7 @@ def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = [similarity(from_bytes(x), from_bytes(y)) >= SIMILARITY
-                      for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+                      for x, y in zip(_texts([batch], 2), _texts([batch], 3))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
@@ -435,12 +443,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class, one with the smallest doc_id; all columns stay as they are.
 
-    A class is known by its label, as its class_id may be missing or stand for several classes."""
+    A class is known by its label, as its class_id may be missing or stand for several classes. Of rows with the same
+    doc_id and text any one stays."""
     first = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)), "doc_id", "raw")
     found = near_duplicates(docs).filter(F.col("label").isNotNull()).groupBy("label").agg(F.min(first).alias("first")).select(
         F.col("first.doc_id").alias("__id"), F.col("first.raw").alias("__raw"))
     raw, alone = F.xxhash64("text"), F.coalesce(F.col("text").cast("string"), F.lit("")) == ""
     kept = docs.filter(~alone).join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (raw == F.col("__raw")), "left_semi")
-    once = Window.partitionBy("doc_id", "__hash").orderBy(F.lit(0))
-    kept = kept.withColumn("__hash", raw).withColumn("__n", F.row_number().over(once)).filter("__n = 1")
+    kept = kept.withColumn("__hash", raw).dropDuplicates(["doc_id", "__hash"])   # combined before the shuffle
     return kept.select(*docs.columns).union(docs.filter(alone))
