@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -44,9 +45,13 @@ IDF_GAIN = 0.5
 COUNTED_TOGETHER = 250_000  # shingles a task counts before it hands the counts on
 SENT_TOGETHER = 50_000
 SENT_ROWS = 10_000
+SENT_RANGES = 256
+WORD_BYTES = 6              # of a usual word and the space behind it; only sizes the ranges
 COUNTED_BYTES = 16 << 20    # smaller splits are counted together
+RANGE = 2_000_000           # shingles that are added up together, about
+TOGETHER = 200_000          # random numbers at a time, so that they stay in the processor's cache
 CACHED_WORDS = 250_000
-BLOCK = 128            # contents of a bucket that are compared with those of another block in one task
+BLOCK_BYTES = 2 << 20  # vectors of a bucket that are compared with those of another block in one task, about
 
 _WORD = re.compile(r"\w+")
 _WORDS: dict[str, int] = {}
@@ -129,7 +134,7 @@ class Sampler:
         """For every sample, a hash of the chosen shingle and its level."""
         out = np.empty(len(self.factors), np.uint64)
         odd = np.flatnonzero(weights != self.usual)
-        step = max(1, 2_000_000 // len(hashes))
+        step = max(1, TOGETHER // len(hashes))
         for at in range(0, len(out), step):
             factors = self.factors[at:at + step]
             place = ((hashes[None, :] * factors[:, None]) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
@@ -150,7 +155,7 @@ class Sampler:
     def plain(self, hashes: np.ndarray) -> np.ndarray:
         """For every sample, the smallest hash; the weights do not matter."""
         out = np.empty(len(self.plain_factors), np.uint64)
-        step = max(1, 2_000_000 // len(hashes))
+        step = max(1, TOGETHER // len(hashes))
         for at in range(0, len(out), step):
             out[at:at + step] = (hashes[None, :] * self.plain_factors[at:at + step, None]).min(axis=1)
         return out
@@ -164,12 +169,28 @@ class Sampler:
         return out.view(np.int64)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The larger of the weighted and the plain Jaccard similarity."""
-    both, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    least = np.minimum(a[1][i], b[1][j]).sum()
-    weighted = least / (a[1].sum() + b[1].sum() - least)
-    return max(weighted, len(both) / (len(a[0]) + len(b[0]) - len(both)))
+class Vector:
+    """Sorted shingles, their weights, and what bounds both similarities from above."""
+
+    def __init__(self, raw: bytes):
+        self.shingles, self.weights = from_bytes(raw)
+        self.n, self.total = len(self.shingles), self.weights.sum()
+
+    def may_link(self, other: Vector) -> bool:
+        """A Jaccard similarity is at most the ratio of the sizes; the margin is for rounding."""
+        return max(min(self.n, other.n) / max(self.n, other.n),
+                   min(self.total, other.total) / max(self.total, other.total)) >= SIMILARITY - 1e-9
+
+    def links(self, other: Vector) -> bool:
+        """Whether the weighted or the plain Jaccard similarity is high enough."""
+        if not self.may_link(other):
+            return False
+        few, many = (self, other) if self.n <= other.n else (other, self)
+        at = np.minimum(np.searchsorted(many.shingles, few.shingles), many.n - 1)
+        both = np.flatnonzero(many.shingles[at] == few.shingles)
+        least = np.minimum(few.weights[both], many.weights[at[both]]).sum()
+        weighted = least / (self.total + other.total - least)
+        return max(weighted, len(both) / (self.n + other.n - len(both))) >= SIMILARITY
 
 
 def to_bytes(vector: tuple[np.ndarray, np.ndarray]) -> bytes:
@@ -188,18 +209,25 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[str | Non
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
     """shingle, n (its exact df) of all shingles in two or more documents; of all others df is 1. A row without a
-    shingle has the number of documents as n and the sum of all df as ``sums``."""
+    shingle has the number of documents as n and the sum of all df as ``sums``.
+
+    Tasks hand on sorted counts cut at the borders of hash ranges, one row per range; a range is added up in a task."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, size, documents, sums = [], 0, 0, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             found, n = np.unique(np.concatenate(pending), return_counts=True)
             pending.clear()
-            for at in range(0, len(found), SENT_ROWS):
-                some = found[at:at + SENT_ROWS].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.array(n[at:at + SENT_ROWS]), pa.nulls(len(some), pa.int64())],
-                    names=["shingle", "n", "sums"])
+            of = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            ends = [*starts[1:], len(found)]
+            for at in range(0, len(starts), SENT_RANGES):
+                spans = list(zip(starts[at:at + SENT_RANGES], ends[at:at + SENT_RANGES]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([int(of[i]) for i, _ in spans], pa.int64()),
+                    pa.array([found[i:j].tobytes() for i, j in spans], pa.binary()),
+                    pa.array([n[i:j].astype("<u4").tobytes() for i, j in spans], pa.binary()),
+                    pa.nulls(len(spans), pa.int64()), pa.nulls(len(spans), pa.int64())], names=names)
 
         for text in _texts(batches, 0):
             documents += 1
@@ -211,15 +239,39 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
         if size:
             yield from flush()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([x], pa.int64()) for x in (None, documents, sums)], names=["shingle", "n", "sums"])
+            [pa.array([-1], pa.int64()), *[pa.nulls(1, pa.binary())] * 2, pa.array([documents], pa.int64()),
+             pa.array([sums], pa.int64())], names=names)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*batch.columns))
+        for part, group in groupby(rows, key=lambda row: row[0].as_py()):
+            if part < 0:
+                totals = [[x[k].as_py() for x in group] for group in [list(group)] for k in (3, 4)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], pa.int64()) for x in (None, *map(sum, totals))], names=["shingle", "n", "sums"])
+                continue
+            hashes, counts = zip(*((x[1].as_buffer(), x[2].as_buffer()) for x in group))
+            hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in hashes])
+            counts = np.concatenate([np.frombuffer(x, "<u4") for x in counts])
+            order = np.argsort(hashes, kind="stable")
+            hashes, counts = hashes[order], counts[order]
+            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            n = np.add.reduceat(counts, first, dtype=np.int64)
+            found, n = hashes[first][n >= 2].view(np.int64), n[n >= 2]
+            for at in range(0, len(found), SENT_ROWS):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[at:at + SENT_ROWS]), pa.array(n[at:at + SENT_ROWS]),
+                     pa.nulls(len(found[at:at + SENT_ROWS]), pa.int64())], names=["shingle", "n", "sums"])
 
+    names = ["part", "shingles", "counts", "documents", "sums"]
     # small splits are counted together, so that fewer counts of one shingle are shuffled
     texts = docs.select(F.col("text").cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / COUNTED_BYTES))
-    counted = texts.coalesce(parts).mapInArrow(count, "shingle long, n long, sums long").groupBy("shingle").agg(
-        F.sum("n").alias("n"), F.sum("sums").alias("sums"))
-    return stage(counted.filter("n >= 2 OR shingle IS NULL"), "document-frequencies")
+    splits = max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / COUNTED_BYTES))
+    bits = max(splits, size // (WORD_BYTES * RANGE)).bit_length()
+    counted = texts.coalesce(splits).mapInArrow(count, "part long, shingles binary, counts binary, documents long, sums long")
+    return stage(counted.repartition("part").sortWithinPartitions("part").mapInArrow(
+        add_up, "shingle long, n long, sums long"), "document-frequencies")
 
 
 def corpus_weights(docs: DataFrame, frequencies: DataFrame | None = None) -> Weights:
@@ -317,7 +369,7 @@ def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """a, b, linked for pairs of contents."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = [similarity(from_bytes(x), from_bytes(y)) >= SIMILARITY
+            linked = [Vector(x).links(Vector(y))
                       for x, y in zip(_texts([batch], 2), _texts([batch], 3))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
@@ -347,7 +399,8 @@ def _links_inside(members: DataFrame, vectors: DataFrame) -> DataFrame:
     """a, b of the links that join the members of a bucket (bucket, content, label), as far as they are similar.
 
     Members with one label are linked already. A large bucket is cut into blocks; each task has two of them."""
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = members.join(vectors.select("content", F.octet_length("vector").alias("bytes")), "content").groupBy("bucket").agg(
+        F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
     rows = members.join(sizes, "bucket").withColumn(
         "own", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -357,7 +410,7 @@ def _links_inside(members: DataFrame, vectors: DataFrame) -> DataFrame:
     def link(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("content")
         names, own = group["content"].tolist(), group["own"].tolist()
-        vectors = [from_bytes(v) for v in group["vector"]]
+        vectors = list(map(Vector, group["vector"]))
         sets, out = _Sets(len(group)), []
         for places in group.reset_index(drop=True).groupby("label").indices.values():
             for i in places[1:]:
@@ -365,8 +418,8 @@ def _links_inside(members: DataFrame, vectors: DataFrame) -> DataFrame:
         whole = group["low"].iloc[0] == group["high"].iloc[0]
         for i in range(len(names)):
             for j in range(i):
-                if (whole or own[i] != own[j]) and sets.find(i) != sets.find(j) and (
-                        similarity(vectors[i], vectors[j]) >= SIMILARITY):
+                if (whole or own[i] != own[j]) and vectors[i].may_link(vectors[j]) and (
+                        sets.find(i) != sets.find(j)) and vectors[i].links(vectors[j]):
                     sets.join(i, j)
                     out.append((names[j], names[i]))
         return pd.DataFrame(out, columns=["a", "b"])
