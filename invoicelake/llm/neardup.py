@@ -49,7 +49,7 @@ SENT_RANGES = 256
 WORD_BYTES = 6              # of a usual word and the space behind it; only sizes the ranges
 COUNTED_BYTES = 16 << 20    # smaller splits are counted together
 RANGE = 2_000_000           # shingles that are added up together, about
-TOGETHER = 200_000          # random numbers at a time, so that they stay in the processor's cache
+TOGETHER = 100_000          # random numbers at a time, in memory that is used again
 CACHED_WORDS = 250_000
 BLOCK_BYTES = 2 << 20  # vectors of a bucket that are compared with those of another block in one task, about
 
@@ -120,12 +120,19 @@ class Sampler:
         self.c = random.gamma(2, 1, 1 << _TABLE_BITS)
         self.beta = random.random(1 << _TABLE_BITS)
         # all that depends on the usual weight is computed once
+        self.numbers, self.keys = np.empty(TOGETHER, np.uint64), np.empty(TOGETHER, np.float32)
         self.usual, usual_t = usual, np.floor(np.log(usual) / self.r + self.beta)
         self.usual_key = self._key(usual_t, slice(None)).astype(np.float32)
         self.usual_t = usual_t.astype(np.int64)
         self.plain_factors = np.random.default_rng(20240301).integers(
             1, 2 ** 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+    def _memory(self, samples: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Room for a number and a key per sample and shingle; new memory each time would cost more than the work."""
+        if samples * n > len(self.numbers):
+            self.numbers, self.keys = np.empty(samples * n, np.uint64), np.empty(samples * n, np.float32)
+        return tuple(x[:samples * n].reshape(samples, n) for x in (self.numbers, self.keys))
+
     def _key(self, t: np.ndarray, place) -> np.ndarray:
         r = self.r[place]
         return np.log(self.c[place]) - r * (t - self.beta[place]) - r
@@ -137,8 +144,10 @@ class Sampler:
         step = max(1, TOGETHER // len(hashes))
         for at in range(0, len(out), step):
             factors = self.factors[at:at + step]
-            place = ((hashes[None, :] * factors[:, None]) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
-            key = self.usual_key[place]
+            numbers, key = self._memory(len(factors), len(hashes))
+            np.multiply(hashes[None, :], factors[:, None], out=numbers)
+            place = np.right_shift(numbers, np.uint64(64 - _TABLE_BITS), out=numbers).view(np.int64)
+            np.take(self.usual_key, place, out=key, mode="clip")
             if len(odd):
                 odd_place = place[:, odd]
                 odd_t = np.floor(np.log(weights[odd]) / self.r[odd_place] + self.beta[odd_place])
@@ -157,7 +166,9 @@ class Sampler:
         out = np.empty(len(self.plain_factors), np.uint64)
         step = max(1, TOGETHER // len(hashes))
         for at in range(0, len(out), step):
-            out[at:at + step] = (hashes[None, :] * self.plain_factors[at:at + step, None]).min(axis=1)
+            factors = self.plain_factors[at:at + step]
+            numbers, _ = self._memory(len(factors), len(hashes))
+            np.multiply(hashes[None, :], factors[:, None], out=numbers).min(axis=1, out=out[at:at + step])
         return out
 
     def bands(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
