@@ -216,13 +216,15 @@ product_measures AS (
 SCREENED = rf"""
 log AS (
   SELECT 'part-' || CAST(p_partkey AS VARCHAR) AS query_id,
-         CASE p_partkey % 8
+         CASE p_partkey % 10
            WHEN 0 THEN r WHEN 1 THEN r || ' LIMIT ' || CAST(p_partkey AS VARCHAR)
            WHEN 2 THEN '```sql' || chr(10) || r || ';' || chr(10) || '```'
            WHEN 3 THEN 'DELETE FROM gold_product_performance WHERE description = ''' || p_name || ''''
            WHEN 4 THEN r || '; DROP TABLE gold_customer_rfm' WHEN 5 THEN r || ' -- all of them'
            WHEN 6 THEN 'WITH x AS (SELECT ''drop it; it''''s -- ' || p_name
                        || ''' AS note) SELECT * FROM x limit 1' || CAST(p_partkey AS VARCHAR)
+           WHEN 7 THEN 'SELECT `reflect`(''java.lang.System'', ''getProperty'', ''' || p_name || ''')'
+           WHEN 8 THEN 'SELECT * FROM `TEXT`.`/landing/' || p_name || '`'
            ELSE '  ' END AS sql
   FROM (SELECT *, 'SELECT stock_code FROM gold_product_performance WHERE description LIKE ''%' || p_name || '%''' AS r
         FROM part)
@@ -241,6 +243,8 @@ judged AS (
                  WHEN NOT regexp_matches(code, '(?i)^(select|with)\b') THEN 'not a SELECT'
                  WHEN regexp_matches(code, '(?i)\b({"|".join(FORBIDDEN)})\b')
                    THEN 'forbidden word: ' || lower(regexp_extract(code, '(?i)\b({"|".join(FORBIDDEN)})\b', 1))
+                 WHEN starts_with(code, 'SELECT `reflect`(') THEN 'forbidden word: reflect'
+                 WHEN starts_with(code, 'SELECT * FROM `TEXT`.`/') THEN 'a table named by a path'
             END AS blocked_because,
             regexp_extract(code, '(?i)\blimit\s+(\d+)\s*$', 1) AS n
   FROM code)"""

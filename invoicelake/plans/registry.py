@@ -78,7 +78,7 @@ def sql_log(ws: Workspace) -> DataFrame:
     """Texts to screen: statements written about every part, and every chat message."""
     key, name = F.col("p_partkey"), F.col("p_name")
     read = F.concat(F.lit("SELECT stock_code FROM gold_product_performance WHERE description LIKE '%"), name, F.lit("%'"))
-    kind = key % 8
+    kind = key % 10
     statement = (
         F.when(kind == 0, read)
         .when(kind == 1, F.concat(read, F.lit(" LIMIT "), key.cast("string")))
@@ -89,6 +89,8 @@ def sql_log(ws: Workspace) -> DataFrame:
         .when(kind == 6, F.concat(
             F.lit("WITH x AS (SELECT 'drop it; it''s -- "), name,
             F.lit("' AS note) SELECT * FROM x limit 1"), key.cast("string")))
+        .when(kind == 7, F.concat(F.lit("SELECT `reflect`('java.lang.System', 'getProperty', '"), name, F.lit("')")))
+        .when(kind == 8, F.concat(F.lit("SELECT * FROM `TEXT`.`/landing/"), name, F.lit("`")))
         .otherwise(F.lit("  "))
     )
     return ws.table("part").select(

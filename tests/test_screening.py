@@ -1,6 +1,6 @@
 import pytest
 
-from invoicelake.operators.screening import UnsafeSQL, guard, run_sql, screen_queries
+from invoicelake.operators.screening import UnsafeSQL, guard, require_read, run_sql, screen_queries
 
 BLOCKED = {
     "DROP TABLE gold_monthly_kpis": "not a SELECT",
@@ -24,6 +24,11 @@ BLOCKED = {
     "SELECT TRANSFORM(id) USING 'cat' AS (x string) FROM shown": "a script",
     "SELECT Reflect('java.lang.System', 'getenv', 'HOME')": "forbidden word: reflect",
     "SELECT * FROM text.`/etc/hostname`": "a table named by a path",
+    "SELECT * FROM `TEXT`.`/etc/hostname`": "a table named by a path",
+    "SELECT * FROM `org.apache.spark.sql.execution.datasources.text.TextFileFormat`.`/etc/hostname`": "a table named by a path",
+    "SELECT * FROM org.apache.spark.sql.execution.datasources.text.TextFileFormat.`/etc/hostname`": "a table named by a path",
+    "SELECT `reflect`('java.lang.System', 'setProperty', 'a', 'b')": "forbidden word: reflect",
+    "SELECT ` x`, `Java_Method` ('java.lang.System', 'getenv', 'HOME')": "forbidden word: java_method",
 }
 ALLOWED = {
     "SELECT stock_code FROM p WHERE description LIKE '%USE; DROP -- SET%'": None,
@@ -36,6 +41,7 @@ ALLOWED = {
     "SELECT 1 limit 201": "SELECT 1 LIMIT 200",
     "SELECT 1 LIMIT 99999999999999999999999999999999999999999999": "SELECT 1 LIMIT 200",
     "SELECT updated_at, settings FROM t": None,
+    "SELECT t.`text. a`, `parquet`, csv.a, 'text.`x`' FROM t csv": None,
     'SELECT "x;y"': None,
     r"SELECT 'it\'s; a drop' AS t": None,
     "SELECT a FROM t JOIN u USING (id)": None,
@@ -83,13 +89,51 @@ def test_run_sql(spark):
         run_sql(spark, "DROP VIEW numbers", tables)
 
 
-@pytest.mark.parametrize("text", [
+MORE_THAN_A_QUERY = [
     r"WITH t AS (SELECT 'a\'' AS a) INSERT INTO victim SELECT * FROM t WHERE '' = ''",
     "SELECT TRANSFORM(id) USING 'cat' AS (x string) FROM shown",
     "SELECT reflect('java.lang.System', 'getenv', 'HOME')",
     "SELECT * FROM text.`/etc/hostname`",
-])
+    "SELECT * FROM `TEXT`.`/etc/hostname`",
+    "SELECT * FROM `org.apache.spark.sql.execution.datasources.text.TextFileFormat`.`/etc/hostname`",
+    "SELECT * FROM shown WHERE EXISTS (SELECT 1 FROM `binaryFile`.`/etc/hostname`)",
+    "SELECT * FROM IDENTIFIER('text.`/etc/hostname`')",
+    "SELECT `reflect`('java.lang.System', 'setProperty', 'screen.test', 'set')",
+    "SELECT (SELECT max(`try_reflect`('java.lang.System', 'getenv', 'HOME')) FROM shown)",
+    "SELECT from_json('{}', `java_method`('java.lang.System', 'getenv', 'HOME'))",
+    "SELECT IDENTIFIER('reflect')('java.lang.System', 'getenv', 'HOME')",
+    "SELECT input_file_name() FROM shown", "SELECT current_user()", "SELECT mine(id) FROM shown",
+    "SELECT * FROM nowhere", "SELECT * FROM shown, LATERAL (SELECT * FROM `Csv`.`/etc/hostname`)",
+    "WITH shown2 AS (SELECT * FROM `orc`.`/etc`) SELECT * FROM shown2",
+    "SHOW TABLES", "DESCRIBE shown", "EXPLAIN SELECT 1",
+]
+
+
+@pytest.mark.parametrize("text", MORE_THAN_A_QUERY)
 def test_what_spark_reads_as_more_than_a_query_is_refused(spark, text):
-    from invoicelake.operators.screening import UnsafeSQL, run_sql
+    shown = {"shown": spark.range(1)}
+    spark.udf.register("mine", lambda x: x)
     with pytest.raises(UnsafeSQL):
-        run_sql(spark, text, {"shown": spark.range(1)})
+        run_sql(spark, text, shown)
+    with pytest.raises(UnsafeSQL):     # the plan alone is enough, whatever the words said
+        require_read(spark, text)
+    assert spark._jvm.java.lang.System.getProperty("screen.test") is None
+
+
+@pytest.mark.parametrize("text", [
+    "WITH a AS (SELECT id, count(*) AS n FROM shown GROUP BY id HAVING n > 0), b AS (SELECT * FROM a) SELECT a.*, b.n FROM a JOIN b USING (id)",
+    "SELECT id, row_number() OVER (PARTITION BY id % 2 ORDER BY id DESC) AS r FROM `shown` WHERE id IN (SELECT id FROM shown)",
+    "SELECT * FROM (SELECT id, 1 AS k FROM shown) PIVOT (sum(id) FOR k IN (1, 2))",
+    "SELECT explode(sequence(0, id)) AS x FROM shown UNION ALL SELECT * FROM VALUES (1), (2) AS v(x) EXCEPT SELECT 7",
+    "SELECT CASE WHEN id BETWEEN 0 AND 3 THEN upper('a') ELSE date_format(DATE '2020-01-01', 'yyyy') END AS c, cast(id AS string) FROM shown ORDER BY 1",
+    "SELECT s.id, e.col FROM shown s LATERAL VIEW explode(array(1, 2)) e AS col",
+    "SELECT (SELECT max(id) FROM shown t WHERE t.id = s.id), transform(array(1), x -> x + 1) FROM shown s",
+    "SELECT percentile_approx(id, 0.5), max_by(id, id), `count`(DISTINCT id) FROM shown s",
+    "SELECT * FROM kept.sold JOIN range(3) r ON sold.id = r.id",
+    "SELECT grouping(id), sum(id) FILTER (WHERE id > 0) FROM shown GROUP BY ROLLUP (id)",
+])
+def test_honest_queries_run(spark, text):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS kept")
+    if not spark.catalog.tableExists("kept.sold"):
+        spark.range(3).write.saveAsTable("kept.sold")
+    run_sql(spark, text, {"shown": spark.range(4)}).collect()
