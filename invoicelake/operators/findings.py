@@ -17,52 +17,43 @@ def _minute(ts: str) -> Column:
 
 
 def reversal_pairs(silver: DataFrame, minutes: int = REVERSAL_MINUTES) -> DataFrame:
-    """Cancellations that undo a sale of the same customer, product and units shortly before.
+    """Cancellations that undo a sale of the same customer, product and units shortly before, one to one.
 
-    Each cancellation takes the latest such sale (of one instant, the highest invoice, then the
-    highest value). Time is cut into slots of the window's width, so a pair lies in one slot or in
-    two neighbours. Sales are first reduced to the slots that hold a cancellation at all; the rest
-    is an as-of lookup with a window per slot. No list of candidate pairs is ever made, and a busy
-    (customer, product, units) is spread over its slots.
+    A sale is undone once, the last one first: sales open a bracket and cancellations close one. A cancellation whose
+    bracket was opened longer ago than ``minutes``, or never, undoes nothing. Whether two lines are a pair depends only on
+    what lies between them, so time is cut into slots of the window's width and brackets are matched in every two
+    neighbouring slots with a cancellation in the second; no list of candidate pairs is made, and a busy (customer, product,
+    units) is spread over its slots. Within one instant sales come before cancellations, each by invoice and value.
     """
     key = ["customer_id", "stock_code", "units"]
     lines = silver.filter(
-        F.col("customer_id").isNotNull() & F.col("stock_code").isNotNull()
+        F.col("customer_id").isNotNull() & F.col("stock_code").isNotNull() & F.col("is_cancellation").isNotNull()
     ).select(
         "customer_id", "stock_code", F.abs("quantity").alias("units"), "invoice_ts", "invoice",
         "line_value", "is_cancellation", F.floor(_minute("invoice_ts") / minutes).alias("slot"))
-    cancelled = lines.filter(F.col("is_cancellation"))
-
-    slots = cancelled.select(
-        *key, F.explode(F.array(F.col("slot"), F.col("slot") - 1)).alias("slot")).distinct()
-    sold_at = (
-        lines.filter(~F.col("is_cancellation"))
-        .join(slots, [*key, "slot"], "left_semi")
-        .groupBy(*key, "slot", "invoice_ts")
-        .agg(F.max(F.struct("invoice", "line_value")).alias("sale"))
-    )
-    events = sold_at.select(
-        *key, F.explode(F.array(F.col("slot"), F.col("slot") + 1)).alias("slot"), "invoice_ts",
-        F.struct(F.col("invoice_ts").alias("ts"), "sale").alias("sold"),
-    ).unionByName(
-        cancelled.select(*key, "slot", "invoice_ts").distinct(), allowMissingColumns=True)
-    # at one instant the sale (not NULL) comes before the cancellation that may undo it
-    order = Window.partitionBy(*key, "slot").orderBy("invoice_ts", F.col("sold").isNull())
-    found = (
-        events.withColumn("latest", F.last("sold", ignorenulls=True).over(
-            order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .filter(F.col("sold").isNull()
-                & (F.col("invoice_ts") <= F.col("latest.ts") + F.expr(f"INTERVAL {minutes} MINUTES")))
-        .select(*key, "invoice_ts", "latest")
+    spans = lines.filter("is_cancellation").select(*key, F.col("slot").alias("span")).distinct()
+    events = lines.withColumn("span", F.explode(F.array(F.col("slot"), F.col("slot") + 1))).join(
+        spans, [*key, "span"], "left_semi")
+    order = ["invoice_ts", "is_cancellation", "invoice", "line_value"]
+    depth = F.sum(F.when(F.col("is_cancellation"), -1).otherwise(1)).over(
+        Window.partitionBy(*key, "span").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # a sale and the cancellation that closes it have one level, and nothing of that level lies between them
+    levelled = events.withColumn("level", depth + F.col("is_cancellation").cast("int"))
+    before = F.lag(F.struct("is_cancellation", "invoice", "invoice_ts", "line_value")).over(
+        Window.partitionBy(*key, "span", "level").orderBy(*order))
+    return (
+        levelled.withColumn("sale", before)
+        .filter(F.col("is_cancellation") & (F.col("slot") == F.col("span")) & ~F.col("sale.is_cancellation")
+                & (F.col("invoice_ts") <= F.col("sale.invoice_ts") + F.expr(f"INTERVAL {minutes} MINUTES")))
+        .select(
+            *key,
+            F.col("sale.invoice").alias("sale_invoice"),
+            F.col("invoice").alias("cancel_invoice"),
+            F.col("sale.invoice_ts").alias("sale_ts"),
+            F.col("invoice_ts").alias("cancel_ts"),
+            as_double(F.col("sale.line_value")).alias("sale_value"),
+            as_double(-F.col("line_value")).alias("cancelled_value"))
     )
-    return cancelled.join(found, [*key, "invoice_ts"]).select(
-        *key,
-        F.col("latest.sale.invoice").alias("sale_invoice"),
-        F.col("invoice").alias("cancel_invoice"),
-        F.col("latest.ts").alias("sale_ts"),
-        F.col("invoice_ts").alias("cancel_ts"),
-        as_double(F.col("latest.sale.line_value")).alias("sale_value"),
-        as_double(-F.col("line_value")).alias("cancelled_value"))
 
 
 def reversal_share(pairs: DataFrame, kpis: DataFrame) -> DataFrame:
@@ -89,9 +80,7 @@ def leakage_adjusted(pairs: DataFrame, kpis: DataFrame) -> DataFrame:
     reported = kpis.select(
         F.year("month").alias("year"), money("gross_revenue").alias("gross"),
         money("cancelled_value").alias("cancelled"))
-    sales = pairs.select(
-        "customer_id", "stock_code", "units", "sale_ts", "sale_invoice", "sale_value").distinct()
-    flagged = sales.select(
+    flagged = pairs.select(
         F.year("sale_ts").alias("year"), money("sale_value").alias("flagged_gross")
     ).unionByName(
         pairs.select(F.year("cancel_ts").alias("year"),

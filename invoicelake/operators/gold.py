@@ -145,7 +145,7 @@ def _customer_totals(silver: DataFrame, as_of: Column, horizon: int) -> DataFram
         .groupBy("customer_id")
         .agg(*[total(F.col(c)).alias(c) for c in ("frequency", "orders_90d", "distinct_products")])
     )
-    # customers who only ever cancelled have no behaviour to model: they are absent from counts
+    # an inner join: who never bought has no row in counts and so no features
     return sums.join(counts, "customer_id")
 
 

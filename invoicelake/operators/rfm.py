@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.functions.expressions import segment
+from invoicelake.functions.expressions import first_that_holds
 from invoicelake.functions.ordering import ntile_columns
-from invoicelake.schema import CUSTOMER_RFM, conform
+from invoicelake.schema import CUSTOMER_RFM, SEGMENT_RULES, conform
 
 
 def rfm_scores(features: DataFrame) -> DataFrame:
@@ -26,10 +28,9 @@ def rfm_scores(features: DataFrame) -> DataFrame:
     )
 
 
-def rfm_segments(features: DataFrame) -> DataFrame:
-    scored = rfm_scores(features).withColumn(
-        "segment", segment(F.col("r_score"), F.col("f_score")))
-    return conform(scored, CUSTOMER_RFM)
+def rfm_segments(features: DataFrame, rules: Iterable[tuple[str, str]] = SEGMENT_RULES) -> DataFrame:
+    """Scores and the segment: the first rule (name and SQL condition on the scores) that holds."""
+    return conform(rfm_scores(features).withColumn("segment", first_that_holds(rules)), CUSTOMER_RFM)
 
 
 def segment_rollup(rfm: DataFrame) -> DataFrame:

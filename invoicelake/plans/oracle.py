@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from invoicelake.plans.registry import HOME, YEAR
 
 # fixed values: the words a screened text may not hold, written down apart from the code that is checked
@@ -41,10 +44,14 @@ planted AS (
 bronze AS (
   SELECT * EXCLUDE (h) FROM lines
   UNION ALL SELECT * EXCLUDE (h) FROM lines WHERE h = 8
-  UNION ALL SELECT CAST(900000000 + ok AS VARCHAR), '23843', 'PAPER CRAFT', '80000',
-                   od || ' 09:15:00', '2.08', ck, 'NATION_0' FROM planted
-  UNION ALL SELECT 'C' || CAST(900000000 + ok AS VARCHAR), '23843', 'PAPER CRAFT', '-80000',
-                   od || ' 09:27:00', '2.08', ck, 'NATION_0' FROM planted)"""
+  UNION ALL SELECT mark || CAST(900000000 + ok AS VARCHAR) || suffix, '23843', 'PAPER CRAFT', units,
+                   od || clock, '2.08', ck, 'NATION_0'
+  FROM planted, (VALUES ('', '80000', ' 09:15:00', '', -1), ('C', '-80000', ' 09:27:00', '', -1),
+                        ('C', '-80000', ' 09:28:00', 'b', 3),
+                        ('', '80000', ' 10:00:00', 'n', 1003), ('C', '-80000', ' 10:17:00', 'n', 1003),
+                        ('', '80000', ' 09:20:00', 's', 2003), ('C', '-80000', ' 09:30:00', 's', 2003)
+                ) AS e(mark, units, clock, suffix, kind)
+  WHERE kind = -1 OR ok % 4000 = kind)"""
 
 TYPED = """
 typed AS (
@@ -170,17 +177,24 @@ called AS (SELECT customer_id, country, revenue_365d, churn_probability, revenue
            FROM gold_customer_churn_risk ORDER BY revenue_at_risk DESC, customer_id LIMIT 100)"""
 
 PAIRS = """
+brackets AS (
+  SELECT *, SUM(CASE WHEN is_cancellation THEN -1 ELSE 1 END) OVER (
+           PARTITION BY customer_id, stock_code, abs(quantity)
+           ORDER BY invoice_ts, is_cancellation, invoice, line_value ROWS UNBOUNDED PRECEDING)
+         + CASE WHEN is_cancellation THEN 1 ELSE 0 END AS depth
+  FROM silver WHERE customer_id IS NOT NULL AND stock_code IS NOT NULL AND is_cancellation IS NOT NULL),
+closed AS (
+  SELECT *, lag(is_cancellation) OVER w AS before_cancels, lag(invoice) OVER w AS before_invoice,
+         lag(invoice_ts) OVER w AS before_ts, lag(line_value) OVER w AS before_value
+  FROM brackets
+  WINDOW w AS (PARTITION BY customer_id, stock_code, abs(quantity), depth
+               ORDER BY invoice_ts, is_cancellation, invoice, line_value)),
 pairs AS (
-  SELECT c.customer_id, c.stock_code, abs(c.quantity) AS units, s.invoice AS sale_invoice,
-         c.invoice AS cancel_invoice, s.invoice_ts AS sale_ts, c.invoice_ts AS cancel_ts,
-         CAST(s.line_value AS DOUBLE) AS sale_value, CAST(-c.line_value AS DOUBLE) AS cancelled_value
-  FROM silver c JOIN silver s
-    ON c.customer_id = s.customer_id AND c.stock_code = s.stock_code AND abs(c.quantity) = abs(s.quantity)
-   AND c.invoice_ts BETWEEN s.invoice_ts AND s.invoice_ts + INTERVAL 16 MINUTES
-  WHERE c.is_cancellation AND NOT s.is_cancellation
-  QUALIFY row_number() OVER (
-    PARTITION BY c.invoice, c.stock_code, c.description, c.quantity, c.invoice_ts, c.price, c.customer_id, c.country
-    ORDER BY s.invoice_ts DESC, s.invoice DESC, s.line_value DESC) = 1)"""
+  SELECT customer_id, stock_code, abs(quantity) AS units, before_invoice AS sale_invoice,
+         invoice AS cancel_invoice, before_ts AS sale_ts, invoice_ts AS cancel_ts,
+         CAST(before_value AS DOUBLE) AS sale_value, CAST(-line_value AS DOUBLE) AS cancelled_value
+  FROM closed
+  WHERE is_cancellation AND NOT before_cancels AND invoice_ts <= before_ts + INTERVAL 16 MINUTES)"""
 
 MEASURES = """
        CAST(SUM(CAST(gross_revenue AS DECIMAL(28,2))) AS DOUBLE) AS gross_revenue,
@@ -249,6 +263,39 @@ judged AS (
             regexp_extract(code, '(?i)\blimit\s+(\d+)\s*$', 1) AS n
   FROM code)"""
 
+# per case, the columns of the reference and of the candidate that hold the same: (reference, candidate, a number)
+CASE_COLUMNS = (
+    (("country", "country", False), ("v", "monthly", True)),
+    (("q", "quarter", True), ("v", "net", True)),
+    (("country", "country", False),),
+    (("month", "month", False), ("v", "lost", True)),
+    (("country", "country", False), ("n", "champions", True)),
+    (("segment", "segment", False), ("v", "loss", True)),
+    (("v", "safe", True),),
+    (("stock_code", "code", False), ("cancelled_value", "lost", True)),
+)
+
+
+def _judged_cases() -> str:
+    """Every case as (question, ok, sql): column by column in sorted order, numbers within half a percent."""
+    cases = json.loads((Path(__file__).parent / "eval_cases.json").read_text())
+
+    def same(case: dict, wanted: str, found: str, number: bool) -> str:
+        sides = [f"(SELECT *, row_number() OVER (ORDER BY {c} NULLS FIRST) AS i FROM ({case[k]}))"
+                 for k, c in (("sql", wanted), ("candidate", found))]
+        w, g = f"w.{wanted}", f"g.{found}"
+        equal = (f"abs(round_even(CAST({g} AS DOUBLE), 2) - round_even(CAST({w} AS DOUBLE), 2)) "
+                 f"<= 1e-8 + 0.005 * abs(round_even(CAST({w} AS DOUBLE), 2))" if number else f"{g} = {w}")
+        return f"(SELECT bool_and(coalesce({equal}, {g} IS NULL AND {w} IS NULL)) FROM {sides[0]} w FULL JOIN {sides[1]} g USING (i))"
+
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    return " UNION ALL ".join(
+        f"SELECT {text(case['question'])} AS question, {' AND '.join(same(case, *c) for c in columns)} AS ok, "
+        f"{text(case['candidate'])} AS sql" for case, columns in zip(cases, CASE_COLUMNS, strict=True))
+
+
 MATCHES = """
 reference AS (
   SELECT country, CAST(SUM(CAST(gross_revenue AS DECIMAL(28,2))) AS DOUBLE) AS gross
@@ -442,6 +489,17 @@ def all_oracles() -> dict[str, str]:
         UNION ALL SELECT 'gold_customer_rfm', COUNT(*) FROM gold_customer_rfm
         UNION ALL SELECT 'gold_customer_churn_risk', COUNT(*) FROM gold_customer_churn_risk""")
 
+    sqls["eval_cases"] = _sql([*ALL_GOLD, TEST, RISK], _judged_cases())
+    sqls["eval_accuracy"] = _sql([*ALL_GOLD, TEST, RISK], f"""
+        SELECT COUNT(*) AS cases, COUNT(*) FILTER (ok) AS passed, AVG(CASE WHEN ok THEN 1.0::DOUBLE ELSE 0 END) AS accuracy
+        FROM ({_judged_cases()})""")
+    sqls["extract_lines"] = """
+        SELECT CAST(o_orderkey AS VARCHAR) AS invoice,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'two' || chr(10) || 'lines, "quoted"' WHEN o_orderkey % 3 = 1 THEN 'plain' END AS description,
+               CAST(NULL AS VARCHAR) AS damaged
+        FROM orders WHERE o_orderkey % 5 <> 0
+        UNION ALL SELECT NULL, NULL, CAST(o_orderkey AS VARCHAR) || ',cut short' FROM orders WHERE o_orderkey % 5 = 0"""
+
     def added(column: str) -> str:
         return f"CAST(SUM(CAST({column} AS DECIMAL(28,2))) AS DOUBLE) AS {column}"
 

@@ -59,16 +59,6 @@ def publish_layer(spark: SparkSession, version: str, name: str, view: str) -> Da
     return save_view(spark, view, version, columns, f"layer = '{name}'", COMMENTS[view.split(".")[-1]])
 
 
-def require_retention(counts: DataFrame, minimum: float) -> None:
-    """The quality gate on the stored layers, before any table is replaced."""
-    row = counts.agg(
-        F.sum("lines").alias("total"),
-        F.sum(F.when(F.col("reject_reason").isNull(), F.col("lines"))).alias("kept")).first()
-    kept, total = row.kept or 0, row.total or 0
-    if not total or kept / total < minimum:
-        raise silver.QualityGateFailed(f"{kept} of {total} lines are clean, below {minimum:.0%}")
-
-
 def evaluate_model(
     clean: DataFrame, days: dict[str, dt.date], rounds: int = churn.ROUNDS,
     horizon: int = HORIZON_DAYS,
@@ -120,10 +110,11 @@ def run_pipeline(
     create_schema(spark, schema, "Retail invoices: bronze, silver and gold tables")
     bronze = save_table(with_audit(spark, landing), f"{schema}.bronze_transactions", COMMENTS["bronze_transactions"])
     version = version_name(f"{schema}.lines")
-    stored = save_table(layered(silver.label_rows(bronze)), version, COMMENTS["lines"], partition_by="layer")
+    watched, seen = silver.watched(layered(silver.label_rows(bronze)))
+    stored = save_table(watched, version, COMMENTS["lines"], partition_by="layer")
     counts = layer_counts(stored)
     try:
-        require_retention(counts, minimum_retention)
+        silver.require_quality(silver.quality_gate(spark, seen, minimum_retention), minimum_retention)
     except silver.QualityGateFailed:
         spark.sql(f"DROP TABLE {version}")
         raise

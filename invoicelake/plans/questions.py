@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake.functions.expressions import round_half_up
 from invoicelake.operators import findings, measures
 from invoicelake.operators.compare import outcome_table, results_match
-from invoicelake.operators.screening import screen_queries
+from invoicelake.operators.screening import UnsafeSQL, require_read, screen_queries
 from invoicelake.schema import HIGH_RISK
 from invoicelake.sources.catalog import register_views
 
@@ -71,6 +75,9 @@ QUESTIONS: dict[str, Callable[[Gold], DataFrame]] = {
 }
 
 
+AT_ONCE = 4          # cases that are scored at the same time
+CASE_SECONDS = 600.0
+
 CASE = "question string, sql string, candidate string"
 
 
@@ -80,25 +87,74 @@ def read_cases(spark: SparkSession, path: str) -> DataFrame:
         "multiLine", True).json(path)
 
 
+class _Limit:
+    """Cancels the Spark jobs that a thread starts from now on, once its time is up."""
+
+    def __init__(self, spark: SparkSession, seconds: float):
+        self.sc, self.seconds, self.tag = spark.sparkContext, seconds, f"case-{uuid.uuid4().hex}"
+        self.done, self.over = threading.Event(), False
+
+    def _watch(self) -> None:
+        self.over = not self.done.wait(self.seconds)
+        while not self.done.wait(0.2):     # a case may start several jobs
+            self.sc.cancelJobsWithTag(self.tag)
+
+    def __enter__(self) -> _Limit:
+        self.sc.addJobTag(self.tag)
+        self.sc.setInterruptOnCancel(True)
+        threading.Thread(target=self._watch, daemon=True).start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.done.set()
+        self.sc.removeJobTag(self.tag)
+
+
+def _score(spark: SparkSession, case: Row, seconds: float) -> tuple[str, bool, str | None]:
+    """Question, verdict and SQL; no SQL if the time ran out."""
+    if case.blocked_because:
+        return case.question, False, f"BLOCKED: {case.blocked_because}"
+    with _Limit(spark, seconds) as limit:
+        try:
+            require_read(spark, case.safe_sql)
+            return case.question, results_match(spark.sql(case.sql), spark.sql(case.safe_sql)), case.safe_sql
+        except UnsafeSQL as problem:
+            return case.question, False, f"BLOCKED: {problem}"
+        except Exception as problem:  # a candidate may be wrong SQL: it fails, the run goes on
+            if limit.over:
+                return case.question, False, None
+            return case.question, False, f"ERROR: {type(problem).__name__}: {str(problem)[:200]}"
+
+
 def score_answers(
-    spark: SparkSession, cases: DataFrame, tables: dict[str, DataFrame]
+    spark: SparkSession, cases: DataFrame, tables: dict[str, DataFrame], at_once: int = AT_ONCE, seconds: float = CASE_SECONDS
 ) -> DataFrame:
     """Run every candidate through the screen and compare its result with the reference query's.
 
-    The whole result counts: no row limit is added. The case list is a handful of rows (one per question); the comparisons are Spark jobs.
+    The whole result counts: no row limit is added. A few cases run at a time; each has its own job tag, and the jobs of
+    one that takes longer than ``seconds`` are cancelled while the others go on. As a runaway may have held the cores that
+    another case waited for, those out of time are run once more, one after the other, before they fail. Only cases and
+    verdicts pass through the driver, ``at_once`` of them ahead; the comparisons are Spark jobs.
     """
     register_views(tables)
-    outcomes = []
-    for case in screen_queries(cases, "candidate", row_limit=None).orderBy("question").toLocalIterator():
-        if case.blocked_because:
-            outcomes.append((case.question, False, f"BLOCKED: {case.blocked_because}"))
-            continue
-        try:
-            ok = results_match(spark.sql(case.sql), spark.sql(case.safe_sql))
-            outcomes.append((case.question, ok, case.safe_sql))
-        except Exception as problem:  # a candidate may be wrong SQL: it fails, the run goes on
-            outcomes.append((case.question, False, f"ERROR: {type(problem).__name__}: {str(problem)[:200]}"))
-    return outcome_table(outcomes, cases)
+    rows = screen_queries(cases, "candidate", row_limit=None).orderBy("question").toLocalIterator()
+    outcomes, waiting, late = [], [], []
+
+    def finish() -> None:
+        case, result = waiting.pop(0)
+        outcome = result.result()
+        (late.append(case) if outcome[2] is None else outcomes.append(outcome))
+
+    with ThreadPoolExecutor(at_once) as pool:
+        for case in rows:
+            waiting.append((case, pool.submit(inheritable_thread_target(spark)(_score), spark, case, seconds)))
+            if len(waiting) > 2 * at_once:
+                finish()
+        while waiting:
+            finish()
+    for question, ok, sql in (_score(spark, case, seconds) for case in late):
+        outcomes.append((question, ok, f"ERROR: not done within {seconds:g} s" if sql is None else sql))
+    return outcome_table(sorted(outcomes), cases)
 
 
 def write_outcomes(outcomes: DataFrame, path: str) -> None:

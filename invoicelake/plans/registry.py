@@ -16,7 +16,7 @@ from invoicelake.plans.workspace import Workspace, over
 from invoicelake.schema import FEATURES
 from invoicelake.session import staging_path
 from invoicelake.sources.catalog import register_gold_folder, save_parquet
-from invoicelake.sources.landing import read_text_extract, union_extracts, with_audit
+from invoicelake.sources.landing import read_extract_lines, read_text_extract, union_extracts, with_audit
 
 YEAR = 2000
 HOME = "NATION_0"
@@ -40,7 +40,22 @@ def bronze_union(ws: Workspace) -> DataFrame:
     other.toDF(*[f"Column {i}" for i, _ in enumerate(other.columns)]).write.parquet(parquet)
     return union_extracts([
         read_text_extract(ws.spark, csv), read_text_extract(ws.spark, parquet, "parquet"),
-    ]).withColumn("price", F.nullif("price", F.lit("")))  # a blank cell is missing in CSV
+    ])
+
+
+def extract_lines(ws: Workspace) -> DataFrame:
+    """Files of different headings in one folder: quoted line breaks, blank cells, and lines cut short."""
+    folder, key = staging_path(ws.spark, "extract_lines"), F.col("o_orderkey")
+    orders = ws.table("orders").select("o_orderkey")
+    text = key.cast("string")
+    note = F.when(key % 3 == 0, 'two\nlines, "quoted"').when(key % 3 == 1, "plain").otherwise("")
+    whole = orders.filter(key % 5 != 0).select(
+        text.alias("Number"), F.lit("71001").alias("Code"), note.alias("What"), F.lit("1").alias("Units"),
+        F.lit("2015-01-01").alias("On"), F.lit("2.5").alias("At"), F.lit("c").alias("For"), F.lit("Norway").alias("In"))
+    cut = orders.filter(key % 5 == 0).select(text.alias("Invoice"), F.lit("cut short").alias("Rest"))
+    for lines in (whole, cut):
+        lines.write.mode("append").csv(folder, header=True, quote='"', escape='"', emptyValue="")
+    return read_extract_lines(ws.spark, folder).select("invoice", "description", F.col("_damaged").alias("damaged"))
 
 
 def bronze_audit(ws: Workspace) -> DataFrame:
@@ -152,14 +167,16 @@ BRONZE_AND_SILVER = {
     "bronze_audit": bronze_audit,
     "bronze_provenance": bronze_provenance,
     "bronze_union": bronze_union,
+    "extract_lines": extract_lines,
     "dedupe_lines": lambda ws: published(silver.dedupe_lines(ws.bronze)),
     "label_rows": lambda ws: published(ws.labelled),
     "silver": lambda ws: published(silver.to_silver(ws.labelled)),
     "quarantine": lambda ws: published(silver.to_quarantine(ws.labelled)),
     "reject_report": lambda ws: silver.reject_report(ws.labelled),
     "retention": lambda ws: silver.retention(ws.labelled),
-    "quality_gate": lambda ws: silver.quality_gate(ws.labelled),
-    "split_reconcile": lambda ws: silver.split_reconcile(ws.labelled),
+    "quality_gate": lambda ws: silver.quality_gate(ws.spark, ws.written[1]),
+    "split_reconcile": lambda ws: silver.split_reconcile(
+        ws.written[1], {name: pipeline.layer(ws.lines, name) for name in ("silver", "quarantine")}),
 }
 
 GOLD = {

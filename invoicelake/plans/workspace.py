@@ -8,7 +8,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from invoicelake.operators import churn, findings, gold, rfm, silver
 from invoicelake.plans import pipeline
@@ -49,9 +49,15 @@ class Workspace:
         return silver.label_rows(self.bronze)
 
     @cached_property
+    def written(self) -> tuple[DataFrame, Observation]:
+        """The stored lines of both layers, and what was counted while they were written."""
+        watched, seen = silver.watched(pipeline.layered(self.labelled))
+        return stage(watched, "lines", partition_by="layer"), seen
+
+    @property
     def lines(self) -> DataFrame:
         """Typed, deduplicated, labelled lines of both layers."""
-        return stage(pipeline.layered(self.labelled), "lines", partition_by="layer")
+        return self.written[0]
 
     @property
     def silver(self) -> DataFrame:

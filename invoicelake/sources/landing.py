@@ -25,16 +25,43 @@ def with_audit(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_text_extract(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """One extract with whatever headings it has; columns are taken by position, all as text."""
+DAMAGED = "_damaged"
+
+
+def read_extract_lines(spark: SparkSession, path: str, fmt: str = "csv", quoted_breaks: bool = True) -> DataFrame:
+    """All lines of one extract (a file or a folder of files, each with whatever headings it has), as text by position.
+
+    A line without exactly the declared number of cells is kept whole in ``_damaged`` and has no cells; of all other
+    lines ``_damaged`` is NULL and blank cells are NULL. ``quoted_breaks`` reads line breaks inside quotes as text; Spark
+    then reads each file in one task, so turn it off for large files known to have none.
+    """
     if fmt == "csv":
-        # An all-text schema by position: headings are skipped, types never guessed.
-        return spark.read.csv(path, header=True, schema=BRONZE, enforceSchema=True,
-                              quote='"', escape='"', multiLine=False)
-    raw = spark.read.format(fmt).load(path)
-    if len(raw.columns) != len(BRONZE):
-        raise ValueError(f"{path}: {len(raw.columns)} columns, expected {len(BRONZE)}")
-    return raw.select([F.col(f"`{c}`").cast(T.StringType()) for c in raw.columns]).toDF(*BRONZE.names)
+        # An all-text schema by position: headings are skipped, types never guessed. All cells are parsed whatever a query
+        # needs, since a line is damaged or not whatever is asked of it.
+        lines = T.StructType([*BRONZE.fields, T.StructField(DAMAGED, T.StringType())])
+        raw = spark.read.schema(lines).option("columnPruning", "false").csv(
+            path, header=True, enforceSchema=True, quote='"', escape='"', multiLine=quoted_breaks, mode="PERMISSIVE",
+            columnNameOfCorruptRecord=DAMAGED)
+    else:
+        raw = spark.read.format(fmt).load(path)
+        if len(raw.columns) != len(BRONZE):
+            raise ValueError(f"{path}: {len(raw.columns)} columns, expected {len(BRONZE)}")
+        raw = raw.select([F.col(f"`{c}`").cast(T.StringType()) for c in raw.columns]).toDF(*BRONZE.names).withColumn(
+            DAMAGED, F.lit(None).cast(T.StringType()))
+    # Spark refuses to read nothing but the damaged lines, as in a count; a second column in the condition lets it
+    damaged = F.coalesce(F.col(DAMAGED), F.when(F.length(BRONZE.names[0]) < 0, F.lit("")))
+    return raw.select(*[
+        F.when(F.col(DAMAGED).isNull(), F.nullif(F.col(c), F.lit(""))).alias(c) for c in BRONZE.names], damaged.alias(DAMAGED))
+
+
+def read_text_extract(spark: SparkSession, path: str, fmt: str = "csv", quoted_breaks: bool = True) -> DataFrame:
+    """The whole lines of one extract; see ``damaged_lines`` for the rest."""
+    return read_extract_lines(spark, path, fmt, quoted_breaks).filter(F.col(DAMAGED).isNull()).drop(DAMAGED)
+
+
+def damaged_lines(extract: DataFrame) -> DataFrame:
+    """The lines an extract holds that are no lines of the declared table, as they were found: they go to quarantine."""
+    return extract.filter(F.col(DAMAGED).isNotNull())
 
 
 def union_extracts(extracts: list[DataFrame]) -> DataFrame:

@@ -71,16 +71,24 @@ def derive_bronze(spark: SparkSession, folder: str) -> DataFrame:
             F.col("n_name").alias("country"),
         )
     )
-    # planted keying errors: 80,000 units, reversed 12 minutes later
-    error = F.explode(F.array(
-        F.struct(F.lit("").alias("mark"), F.lit("80000").alias("units"), F.lit(" 09:15:00").alias("at")),
-        F.struct(F.lit("C").alias("mark"), F.lit("-80000").alias("units"), F.lit(" 09:27:00").alias("at")),
-    ))
+    # planted keying errors: 80,000 units, reversed 12 minutes later; some reversed twice, some a minute too late, and some
+    # with a second error and reversal in between
+    def event(sale: bool, at: str, suffix: str = "") -> Column:
+        return F.struct(
+            F.lit("" if sale else "C").alias("mark"), F.lit("80000" if sale else "-80000").alias("units"),
+            F.lit(f" {at}:00").alias("at"), F.lit(suffix).alias("suffix"))
+
+    usual = [event(True, "09:15"), event(False, "09:27")]
+    error = F.explode(
+        F.when(ok % 4000 == 3, F.array(*usual, event(False, "09:28", "b")))
+        .when(ok % 4000 == 1003, F.array(*usual, event(True, "10:00", "n"), event(False, "10:17", "n")))
+        .when(ok % 4000 == 2003, F.array(*usual, event(True, "09:20", "s"), event(False, "09:30", "s")))
+        .otherwise(F.array(*usual)))
     planted = (
         orders.filter(ok % 1000 == 3)
         .select("*", error.alias("e"))
         .select(
-            F.concat("e.mark", _text(900000000 + ok)).alias("invoice"),
+            F.concat("e.mark", _text(900000000 + ok), "e.suffix").alias("invoice"),
             F.lit("23843").alias("stock_code"), F.lit("PAPER CRAFT").alias("description"),
             F.col("e.units").alias("quantity"), F.concat("day", "e.at").alias("invoice_date"),
             F.lit("2.08").alias("price"), _text(F.col("ck")).alias("customer_id"),

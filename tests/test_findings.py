@@ -19,16 +19,16 @@ def line(invoice, minutes, units, customer="x", code="71001", price="2"):
 
 
 def brute_force(rows):
-    """For every cancellation the latest sale of the same customer, code and units within 16 minutes."""
-    found = []
-    for c in (r for r in rows if r.is_cancellation and r.customer_id and r.stock_code):
-        sales = [
-            r for r in rows
-            if not r.is_cancellation and (r.customer_id, r.stock_code, r.quantity) == (c.customer_id, c.stock_code, -c.quantity)
-            and dt.timedelta(0) <= c.invoice_ts - r.invoice_ts <= dt.timedelta(minutes=16)]
-        if sales:
-            best = max(sales, key=lambda r: (r.invoice_ts, r.invoice, r.line_value))
-            found.append((best.invoice, c.invoice, best.invoice_ts, c.invoice_ts))
+    """Every cancellation takes the last sale that is left, if it is at most 16 minutes old."""
+    found, open_sales = [], {}
+    known = [r for r in rows if r.customer_id and r.stock_code]
+    for r in sorted(known, key=lambda r: (r.invoice_ts, r.is_cancellation, r.invoice, r.line_value)):
+        left = open_sales.setdefault((r.customer_id, r.stock_code, abs(r.quantity)), [])
+        if not r.is_cancellation:
+            left.append(r)
+        elif left and r.invoice_ts - left[-1].invoice_ts <= dt.timedelta(minutes=16):
+            sale = left.pop()
+            found.append((sale.invoice, r.invoice, sale.invoice_ts, r.invoice_ts))
     return sorted(found)
 
 
@@ -44,6 +44,17 @@ def test_window_borders(spark):
     assert {(r.sale_invoice, r.cancel_invoice) for r in f.reversal_pairs(clean).collect()} == {("1", "C1"), ("4", "C4")}
 
 
+def test_a_sale_is_undone_once_and_the_last_one_first(spark):
+    clean = lines_to_silver(spark, [
+        line("1", 0, 5), line("C1", 5, -5), line("C2", 6, -5),                                  # cancelled twice
+        line("3", 0, 6), line("4", 4, 6), line("C4", 8, -6), line("C3", 9, -6),                 # one inside the other
+        line("5", 0, 7), line("6", 10, 7), line("C6", 12, -7), line("C5", 17, -7),              # the outer one is too late
+        line("C7", 0, -8), line("7", 1, 8), line("C8", 2, -8),                                  # nothing to undo at first
+    ])
+    assert {(r.sale_invoice, r.cancel_invoice) for r in f.reversal_pairs(clean).collect()} == {
+        ("1", "C1"), ("4", "C4"), ("3", "C3"), ("6", "C6"), ("7", "C8")}
+
+
 def test_pairs_equal_brute_force(spark, rng):
     lines = [
         line(f"{'C' if sign < 0 else ''}{i}", rng.randrange(0, 400) / 4, sign * rng.choice([1, 2]),
@@ -74,7 +85,7 @@ def test_leakage_without_the_errors(spark):
 def test_one_sale_undone_twice_is_taken_off_once(spark):
     clean = lines_to_silver(spark, [line("1", 0, 4), line("C1", 5, -4), line("C2", 6, -4), line("2", 0, 10)])
     year, = f.leakage_adjusted(f.reversal_pairs(clean), gold.monthly_kpis(clean)).collect()
-    assert year.leakage_adjusted == 0.0 and year.leakage_reported == 16 / 28
+    assert year.leakage_adjusted == 8 / 20 and year.leakage_reported == 16 / 28
 
 
 def test_entry_check(spark):

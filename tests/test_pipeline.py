@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from invoicelake.operators import churn, silver as s
@@ -16,11 +18,11 @@ def test_full_run(spark, landing, tmp_path, monkeypatch):
     report = pipeline.run_pipeline(spark, landing, "spark_catalog.full", str(tmp_path / "gold"), rounds=2,
                                    model_path=str(tmp_path / "model"))
     values = {(r.section, r.name): r.value for r in report.collect()}
-    assert values["lines", "clean"] == "5522" and values["lines", "unparseable"] == "198"
+    assert values["lines", "clean"] == "5525" and values["lines", "unparseable"] == "198"
     assert values["snapshot", "score_at"] == "2001-08-02"
-    assert spark.table("full.bronze_transactions").count() == 6065
+    assert spark.table("full.bronze_transactions").count() == 6068
     clean, rejected = spark.table("full.silver_transactions"), spark.table("full.silver_quarantine")
-    assert (clean.count(), rejected.count()) == (5522, 482)
+    assert (clean.count(), rejected.count()) == (5525, 482)
     risk = spark.table("full.gold_customer_churn_risk")
     run = spark.table("full.model_runs").first()
     assert risk.filter(f"model_run_id = '{run.run_id}'").count() == risk.count() > 0
@@ -77,3 +79,18 @@ def test_candidates_are_scored(spark, tmp_path):
         "right": True, "wrong": False, "unsafe": False, "broken": False}
     questions.write_outcomes(outcomes, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).count() == 4
+
+
+def test_a_runaway_case_is_stopped_and_the_others_are_scored(spark):
+    endless = "SELECT sum(a.id * b.id % 7) AS s FROM range(100000000) a JOIN range(100000000) b ON a.id <> b.id"
+    cases = spark.createDataFrame(
+        [("endless", "SELECT 1 AS s", endless), ("file", "SELECT 1 AS s", "SELECT * FROM `Text`.`/etc/hostname`")]
+        + [(f"case {i}", f"SELECT id FROM shown WHERE id > {i}", f"SELECT id AS n FROM shown WHERE id >= {i + 1 + i // 5}")
+           for i in range(6)], questions.CASE)
+    begin = time.monotonic()
+    found = {r.question: r for r in questions.score_answers(spark, cases, {"shown": spark.range(20)}, 3, 8).collect()}
+    assert [found[f"case {i}"].ok for i in range(6)] == [True] * 5 + [False]
+    assert not found["endless"].ok and "not done within" in found["endless"].sql
+    assert not found["file"].ok and found["file"].sql.startswith("BLOCKED")
+    assert time.monotonic() - begin < 120
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds()

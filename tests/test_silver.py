@@ -20,7 +20,8 @@ def test_each_bad_line_gets_its_reason(labelled):
 def test_layers_add_up_and_values_are_signed(labelled, silver):
     assert labelled.count() == 11 and silver.count() == 6
     assert s.to_quarantine(labelled).count() == 5
-    row = s.split_reconcile(labelled).first()
+    row = s.split_reconcile(
+        written(labelled), {"silver": s.to_silver(labelled), "quarantine": s.to_quarantine(labelled)}).first()
     assert (row.labelled, row.silver, row.quarantine, row.balanced) == (11, 6, 5, True)
     cancelled = silver.filter("invoice = 'C503'").first()
     assert cancelled.is_cancellation and float(cancelled.line_value) == -7.5
@@ -59,14 +60,30 @@ def test_edges(spark):
         "10": "non_product_code", "11": "unparseable"}
 
 
-def test_gate(labelled):
-    row = s.quality_gate(labelled).first()
+def written(labelled):
+    lines, seen = s.watched(labelled)
+    lines.write.format("noop").mode("overwrite").save()
+    return seen
+
+
+def test_gate(spark, labelled):
+    seen = written(labelled)
+    row = s.quality_gate(spark, seen).first()
     assert (row.total, row.kept, row.passed) == (11, 6, False)
     with pytest.raises(s.QualityGateFailed):
-        s.require_quality(labelled)
-    s.require_quality(labelled, minimum=0.5)
+        s.require_quality(s.quality_gate(spark, seen))
+    s.require_quality(s.quality_gate(spark, seen, 0.5), minimum=0.5)
     with pytest.raises(s.QualityGateFailed):
-        s.require_quality(labelled.limit(0))
+        s.require_quality(s.quality_gate(spark, written(labelled.limit(0))))
+
+
+def test_the_gate_counts_in_the_pass_that_writes(spark, bronze, tmp_path):
+    lines, seen = s.watched(s.label_rows(bronze))
+    plan, bare = (df._jdf.queryExecution().executedPlan().toString() for df in (lines, s.label_rows(bronze)))
+    assert plan.count("CollectMetrics") == 1
+    assert [plan.count(x) for x in ("Exchange", "Scan")] == [bare.count(x) for x in ("Exchange", "Scan")]
+    lines.write.parquet(str(tmp_path / "lines"))
+    assert seen.get == {"total": 11, "kept": 6, "quarantined": 5}
 
 
 def test_reject_report_counts_every_line(labelled):

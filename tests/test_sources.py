@@ -77,3 +77,26 @@ def test_version_clean_up_leaves_other_tables_alone(spark):
     drop_old_versions(spark, "versions", "lines_")
     left = {t.name for t in spark.catalog.listTables("versions") if t.name.startswith("lines_")}
     assert left == {"lines_archive", "lines_backup", *versions[1:]}
+
+
+def test_damaged_lines_are_kept_apart(spark, tmp_path):
+    from invoicelake.sources.landing import damaged_lines, read_extract_lines, read_text_extract
+    (tmp_path / "a.csv").write_text(
+        'Invoice,Code,What,Units,On,At,For,In\n'
+        '1,71001,"two\nlines, ""quoted""",4,2015-01-01,2.5,,Norway\n'
+        '2,71001,cut short\n'
+        '"","71002"," ",,2015-01-01,2.5,c,Norway\n')
+    (tmp_path / "b.csv").write_text(
+        'Nummer;x,B,C,D,E,F,G\n'
+        '3,71001,t,4,2015-01-01,2.5,c,Norway\n'
+        '4,71001,t,4,2015-01-01,2.5,c,Norway,one more\n')
+    extract = read_extract_lines(spark, str(tmp_path))
+    assert sorted(r._damaged for r in damaged_lines(extract).collect()) == [
+        "2,71001,cut short", "4,71001,t,4,2015-01-01,2.5,c,Norway,one more"]
+    assert all(r.invoice is None and r.country is None for r in damaged_lines(extract).collect())
+    good = read_text_extract(spark, str(tmp_path))
+    rows = sorted(good.collect(), key=lambda r: r.invoice or "")
+    assert [r.invoice for r in rows] == [None, "1", "3"] and good.count() == 3
+    assert rows[1].description == 'two\nlines, "quoted"' and rows[1].customer_id is None
+    assert (rows[0].stock_code, rows[0].quantity) == ("71002", None)
+    assert good.select("country").distinct().count() == 1      # whatever a query asks for, the same lines are damaged
