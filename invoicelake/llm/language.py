@@ -156,11 +156,16 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     return Model(families, {r[0]: np.frombuffer(r[1]) for r in fitted.collect()})
 
 
+def texts(column: pa.Array) -> Iterator[str | None]:
+    """One text after the other, without a list of them all."""
+    return (value.as_py() for value in column)
+
+
 def predictions(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score."""
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(t) for t in batch.column(2).to_pylist()]
+            found = [model.predict(t) for t in texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())],
@@ -183,6 +188,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(
-                [model.predict(t)[0] != UNDETERMINED for t in batch.column(place).to_pylist()], pa.bool_()))
+                [model.predict(t)[0] != UNDETERMINED for t in texts(batch.column(place))], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

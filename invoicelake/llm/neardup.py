@@ -25,13 +25,14 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake.session import stage
@@ -50,7 +51,8 @@ WORD_BYTES = 6              # of a usual word and the space behind it; only size
 COUNTED_BYTES = 16 << 20    # smaller splits are counted together
 RANGE = 2_000_000           # shingles that are added up together, about
 TOGETHER = 100_000          # random numbers at a time, in memory that is used again
-CACHED_WORDS = 250_000
+CACHED_WORDS = 100_000
+ROWS_AT_ONCE = 1000          # rows, each with a whole text or vector, that a Python worker is sent at once
 BLOCK_BYTES = 2 << 20  # vectors of a bucket that are compared with those of another block in one task, about
 
 _WORD = re.compile(r"\w+")
@@ -486,14 +488,27 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("content", "label")
 
 
+@contextmanager
+def _few_rows_at_once(spark: SparkSession) -> Iterator[None]:
+    """Smaller batches for the jobs that run meanwhile; the session's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(ROWS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, raw (xxhash64 of the text), label: one row per document.
 
     Rows of one class, and no others, have one label; it is missing for a missing or empty text, which is alone."""
-    frequencies = document_frequencies(docs)
-    weights = corpus_weights(docs, frequencies)
-    rows = stage(contents(docs, weights), "samples")
-    labels = components(links(docs, rows, weights, frequencies))
+    with _few_rows_at_once(docs.sparkSession):
+        frequencies = document_frequencies(docs)
+        weights = corpus_weights(docs, frequencies)
+        rows = stage(contents(docs, weights), "samples")
+        labels = components(links(docs, rows, weights, frequencies))
     labelled = rows.select("doc_id", "raw", "content").join(labels, "content", "left").withColumn(
         "label", F.coalesce("label", "content"))
     labelled = stage(labelled.select("doc_id", "raw", "label"), "classes")
