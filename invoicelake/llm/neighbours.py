@@ -57,7 +57,7 @@ def nearest_in_tile(queries: np.ndarray, candidates: np.ndarray, same: np.ndarra
             parts.append(best_of_rows(a, b, (q[a] * c[b]).sum(axis=1) / (q_norm[a] * c_norm[b]), k))
     if not parts:
         return np.empty(0, int), np.empty(0, int), np.empty(0)
-    return tuple(np.concatenate(x) for x in zip(*parts))
+    return best_of_rows(*(np.concatenate(x) for x in zip(*parts)), k)
 
 
 def nearest_neighbours(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",

@@ -35,7 +35,8 @@ def search_tiles(vectors: DataFrame, is_query: Column, search: Callable[[np.ndar
     """``query_id``, ``vec_id``, ``score`` of what ``search`` finds in every tile.
 
     ``search(queries, candidates, same)`` gets two matrices and says which pairs it kept; ``same`` marks pairs of one
-    vec_id. Only vectors of equal length meet. A vec_id that repeats is one query, by its smallest vector.
+    vec_id, and candidates come in the order of their vec_ids. Only vectors of equal length meet. A vec_id that
+    repeats is one query, by its smallest vector.
     """
     stored = stage(vectors.withColumn("is_query", is_query), "vectors")
     counts = stored.agg(F.count("*"), F.count_if("is_query")).first()
@@ -43,7 +44,8 @@ def search_tiles(vectors: DataFrame, is_query: Column, search: Callable[[np.ndar
     number = F.monotonically_increasing_id()
     block = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     other = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = stored.select("vec_id", "v", "dim", number.alias("row")).select(
+    # columns of their own: with attributes that both sides share, Spark prunes what the tiles need
+    candidates = stored.select(*[F.col(c).alias(c) for c in ("vec_id", "v", "dim")], number.alias("row")).select(
         "vec_id", "v", "dim", block(blocks[0]).alias("cb"), other(blocks[1]).alias("qb"))
     queries = (
         stored.filter("is_query").groupBy("vec_id").agg(F.min("v").alias("v")).select(
@@ -53,6 +55,7 @@ def search_tiles(vectors: DataFrame, is_query: Column, search: Callable[[np.ndar
     def tile(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        c = c.sort_values("vec_id", kind="stable")
         q_ids, c_ids = q["vec_id"].to_numpy(), c["vec_id"].to_numpy()
         kept_q, kept_c, score = search(np.stack(q["v"]), np.stack(c["v"]), q_ids[:, None] == c_ids)
         return pd.DataFrame({"query_id": q_ids[kept_q], "vec_id": c_ids[kept_c], "score": score})
@@ -117,10 +120,9 @@ def row_batches(counts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 
 def best_of_rows(rows: np.ndarray, columns: np.ndarray, scores: np.ndarray, k: int) -> Found:
-    """What may still be among the ``k`` best of its row (all ties of the last one stay)."""
-    order = np.lexsort((-scores, rows))
+    """The ``k`` best of each row; ties go to the smaller column."""
+    falling = ~scores if scores.dtype.kind == "i" else -scores      # the least long has no negative
+    order = np.lexsort((columns, falling, rows))
     rows, columns, scores = rows[order], columns[order], scores[order]
-    first = np.searchsorted(rows, rows, side="left")
-    last = np.minimum(first + k - 1, np.searchsorted(rows, rows, side="right") - 1)
-    keep = scores >= scores[last]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
     return rows[keep], columns[keep], scores[keep]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -23,7 +24,9 @@ _PUNCTUATION = re.compile(r"[.,;:!?](?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00
 _LINE_BREAK = re.compile(r"\n(?<=\S\n)(?=[^\W_])")
 
 SEGMENT_CHARS = 1_000_000    # longer texts are worked on in segments of about this many characters
-CACHED_PIECES = 600_000      # pieces a task remembers
+CACHED_BYTES = 100_000_000   # what a task remembers is forgotten once it holds more
+CACHED_CHARS = 64            # longer pieces are not remembered: text without spaces is one piece
+ENTRY_BYTES = 100            # of a dictionary
 LEARNT_TOGETHER = 200        # unseen pieces in one text for the library
 
 
@@ -46,6 +49,7 @@ class PieceEncoder:
         for token, i in vocabulary.items():
             self.n_bytes[i], self.ends_word[i] = len(token), token.endswith("</w>")
         self.known: dict[str, bytes] = {}
+        self.held = 0       # bytes
 
     def _segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """Parts of a text, and whether the space before the part was cut off."""
@@ -123,12 +127,21 @@ class PieceEncoder:
         cut = [[self._pieces(*s) for s in self._segments(t)] if t else [] for t in texts]
         every = [pieces for parts in cut for pieces in parts]
         unseen = set().union(*[set(pieces).difference(self.known) for pieces in every])
-        if len(self.known) + len(unseen) > CACHED_PIECES:
-            self.known.clear()
-            unseen = set().union(*every)
         self._learn(unseen)
         look = self.known.__getitem__
-        return [b"".join([b"".join(map(look, pieces)) for pieces in parts]) for parts in cut]
+        encoded = [b"".join([b"".join(map(look, pieces)) for pieces in parts]) for parts in cut]
+        self._remember(unseen)
+        return encoded
+
+    def _remember(self, learnt: set[str]) -> None:
+        for key in learnt:
+            if len(key) > CACHED_CHARS:
+                del self.known[key]
+            else:
+                self.held += ENTRY_BYTES + sys.getsizeof(key) + sys.getsizeof(self.known[key])
+        if self.held > CACHED_BYTES:
+            self.known.clear()
+            self.held = 0
 
 
 @lru_cache(maxsize=4)

@@ -1,6 +1,8 @@
 """The operators on small hard tables, against brute force."""
 
+import math
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from invoicelake.llm import language, mixing, neardup, neighbours, packing, pii, secrets, token_counts, token_files, topk
+from invoicelake.llm import (
+    language, mixing, neardup, neighbours, packing, pii, secrets, tiles, token_counts, token_files, tokens, topk)
 from invoicelake.llm.queries import reach_workers
 from invoicelake.llm.tokens import PieceEncoder
 
@@ -161,17 +164,74 @@ def test_nearest_neighbours(spark):
 
 def test_exact_top_k(spark):
     rows, df = vectors(spark)
-    kept = {i: [int(np.clip(np.floor(64 * x), -2 ** 26, 2 ** 26)) for x in v] for i, v in rows if good(v)}
+    rows += [(320, [1e7, -3.5, 2e9, 0.25, 1e7, 1.0]), (321, [1e7, 3e8, -1.0, 7.0, 0.1, 1e7]), (340, [4e7] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    kept = {i: [math.floor(64 * x) for x in v] for i, v in rows if good(v)}
+    long = lambda x: min(max(x, -2 ** 63), 2 ** 63 - 1)
     found = defaultdict(list)
     for r in topk.top_k(df, F.col("vec_id") % 20 == 0, 20).collect():
         found[r.query_id].append((r.rank, r.vec_id, r.score))
     for q in (i for i in kept if i % 20 == 0):
-        score = {i: sum(a * b for a, b in zip(kept[q], v)) for i, v in kept.items() if i != q and len(v) == len(kept[q])}
+        score = {i: long(sum(a * b for a, b in zip(kept[q], v)))
+                 for i, v in kept.items() if i != q and len(v) == len(kept[q])}
         best = sorted(score, key=lambda i: (-score[i], i))[:20]
         assert [(x[1], x[2]) for x in sorted(found[q])] == [(i, score[i]) for i in best]
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0, 20).count() == 0
 
 
+@pytest.mark.parametrize("best", [neighbours.nearest_in_tile, topk.best_in_tile])
+def test_a_tile_keeps_k_rows_of_a_query_whatever_the_ties(best, monkeypatch):
+    monkeypatch.setattr(neighbours, "EXACT_VALUES", 600)      # the survivors of one query come in several parts
+    monkeypatch.setattr(topk, "EXACT_VALUES", 600)
+    chance = np.random.default_rng(3)
+    candidates = chance.normal(size=(900, 6))
+    candidates[chance.permutation(900)[:300]] = candidates[0]
+    queries = np.vstack([candidates[:1], chance.normal(size=(20, 6))])
+    rows, columns, scores = best(queries, candidates, np.zeros((21, 900), bool), 20)
+    assert np.bincount(rows).tolist() == [20] * 21
+    equal = np.flatnonzero((candidates == candidates[0]).all(axis=1))
+    assert sorted(columns[rows == 0].tolist()) == equal[:20].tolist()
+
+
+def test_wide_components_are_scored_in_whole_numbers():
+    chance = np.random.default_rng(5)
+    for top in (1e7, 1e12, 1e200, 1.7e308):
+        candidates = chance.normal(size=(120, 5)) * 10.0 ** chance.integers(-1, 4, (120, 1))
+        candidates[::7] *= top / 1e5 / np.abs(candidates[::7]).max()
+        candidates[5] = top
+        queries = np.vstack([candidates[:8], chance.normal(size=(8, 5))])
+        whole = lambda m: [[int(x) for x in row] for row in topk.whole_numbers(m).tolist()]
+        wide = whole(candidates)
+        got = topk.best_in_tile(queries, candidates, np.zeros((16, 120), bool), 4)
+        for i, q in enumerate(whole(queries)):
+            scores = [min(max(sum(a * b for a, b in zip(q, c)), -2 ** 63), 2 ** 63 - 1) for c in wide]
+            best = sorted(range(120), key=lambda j: (-scores[j], j))[:4]
+            here = got[0] == i
+            assert got[1][here].tolist() == best and got[2][here].tolist() == [scores[j] for j in best]
+
+
+def test_text_without_spaces_leaves_little_in_memory(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_BYTES", 50_000)
+    chance = random.Random(9)
+    texts = ["".join(chr(chance.randrange(0x4e00, 0x9000)) for _ in range(4000)) for _ in range(20)]
+    texts += [" ".join("".join(chance.choices("abcdefgh", k=9)) for _ in range(300)) for _ in range(20)]
+    for name, drops_space in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        path = public_tokenizers.path(name)
+        library, encoder = Tokenizer.from_file(path), tokens.PieceEncoder(path, drops_space)
+        for text in texts:
+            ids = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+            assert ids == library.encode(text, add_special_tokens=False).ids
+            assert sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in encoder.known.items()) <= 50_000
+
+
+def test_found_rows_can_be_counted(spark):
+    rows, df = vectors(spark)
+    found = tiles.search_tiles(tiles.finite_vectors(df, "vec_id", "embedding"), F.col("vec_id") % 20 == 0,
+                               lambda q, c, same: topk.best_in_tile(q, c, same, 3), "long")
+    queries = [i for i, v in rows if good(v) and i % 20 == 0]
+    assert found.count() == 3 * len(queries)
+
+
 @pytest.mark.parametrize("search", [neighbours.nearest_neighbours, topk.top_k])
 def test_rows_without_vec_id_take_no_part(spark, search):
     big = 2 ** 60 + 1
