@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+from invoicelake import schema
+from invoicelake.plans.pipeline import COLUMN_COMMENTS
 from invoicelake.plans.registry import HOME, YEAR
 
 # fixed values: the words a screened text may not hold, written down apart from the code that is checked
@@ -493,6 +495,18 @@ def all_oracles() -> dict[str, str]:
     sqls["eval_accuracy"] = _sql([*ALL_GOLD, TEST, RISK], f"""
         SELECT COUNT(*) AS cases, COUNT(*) FILTER (ok) AS passed, AVG(CASE WHEN ok THEN 1.0::DOUBLE ELSE 0 END) AS accuracy
         FROM ({_judged_cases()})""")
+    sqls["data_dictionary"] = _sql(ALL_GOLD, " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, unnest(columns, recursive := true) FROM (SELECT ["
+        + ", ".join("{'column_name': '%s', 'comment': '%s', 'filled': COUNT(%s)}" % (
+            c, COLUMN_COMMENTS[c].replace("'", "''"), c) for c in columns) + f"] AS columns FROM {source})"
+        for table, source, columns in (
+            ("silver_transactions", "silver", schema.SILVER.names),
+            ("gold_monthly_kpis", "gold_monthly_kpis", schema.MONTHLY_KPIS.names),
+            ("gold_product_performance", "gold_product_performance", schema.PRODUCT_PERFORMANCE.names),
+            ("gold_customer_rfm", "gold_customer_rfm", schema.CUSTOMER_RFM.names))))
+    sqls["landing_status"] = _sql([BRONZE], """
+        SELECT 'loaded' AS status, COUNT(*) AS landed_rows, COUNT(*) AS bronze_rows FROM bronze WHERE length(invoice) % 2 = 0
+        UNION ALL SELECT 'missing', COUNT(*), 0 FROM bronze WHERE length(invoice) % 2 = 1""")
     sqls["extract_lines"] = """
         SELECT CAST(o_orderkey AS VARCHAR) AS invoice,
                CASE WHEN o_orderkey % 3 = 0 THEN 'two' || chr(10) || 'lines, "quoted"' WHEN o_orderkey % 3 = 1 THEN 'plain' END AS description,

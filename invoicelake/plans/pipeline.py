@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake.operators import churn, gold, rfm, silver
-from invoicelake.schema import CHURN_RISK, HORIZON_DAYS, LABELLED, MIN_RETENTION, SILVER, conform
+from invoicelake.schema import (
+    ACTIVE_DAYS, CHURN_RISK, FEATURES, HORIZON_DAYS, LABELLED, MIN_RETENTION, PRODUCT_CODE, RECENT_ORDER_DAYS, REJECT_RULES,
+    SEGMENT_RULES, SILVER, conform)
 from invoicelake.session import stage
 from invoicelake.sources.catalog import (
-    create_schema, drop_old_versions, publish_table, save_parquet, save_table, save_view, version_name)
-from invoicelake.sources.landing import with_audit
+    create_schema, documented, drop_old_versions, finished, publish_table, save_parquet, save_table, save_view, stage_key,
+    version_name)
+from invoicelake.sources.landing import landing_key, with_audit
 
 COMMENTS = {
     "bronze_transactions": "Invoice lines as received, all text, with source file and time of ingestion",
@@ -27,6 +31,49 @@ COMMENTS = {
     "model_runs": "One row per trained model: parameters and out-of-time metrics",
 }
 
+COLUMN_COMMENTS = {
+    "invoice": "Invoice number; C marks a cancellation, A a bad-debt correction",
+    "stock_code": "Product code in upper case; postage, fees and samples have codes of other forms",
+    "description": "Product text as received",
+    "quantity": "Units; below zero on cancellations",
+    "invoice_ts": "Time of the invoice by the shop's clock",
+    "invoice_date": "Day of the invoice; in bronze its time as received",
+    "price": "Price of one unit",
+    "customer_id": "Customer number; empty for sales without an account",
+    "country": "Country of the customer",
+    "is_cancellation": "Whether the invoice cancels an earlier sale",
+    "reject_reason": "The first rule that keeps the line out of silver",
+    "line_value": "quantity x price, rounded to the penny",
+    "month": "First day of the month",
+    "gross_revenue": "Value of sales before cancellations",
+    "cancelled_value": "Value of cancellations, above zero",
+    "net_revenue": "Sales less cancellations",
+    "orders": "Distinct sales invoices",
+    "customers": "Distinct buyers; not additive over months or countries",
+    "units": "Units sold before cancellations",
+    "units_sold": "Units sold before cancellations",
+    "first_purchase": "Day of the first sale",
+    "last_purchase": "Day of the last sale",
+    "frequency": "Distinct sales invoices up to the snapshot",
+    "monetary": "Net value up to the snapshot",
+    "revenue_365d": "Net value of the last 365 days before the snapshot",
+    "orders_90d": "Sales invoices of the last 90 days before the snapshot",
+    "distinct_products": "Distinct products bought",
+    "cancel_rate": "Cancelled invoices as a share of all invoices",
+    "avg_order_value": "Net value per sales invoice",
+    "recency_days": "Days from the last sale to the snapshot",
+    "tenure_days": "Days from the first sale to the snapshot",
+    "as_of": "Snapshot day; the features know nothing of it or later",
+    "r_score": "Quintile of recency, 5 for the latest buyers",
+    "f_score": "Quintile of frequency, 5 for the most orders",
+    "m_score": "Quintile of value, 5 for the highest",
+    "segment": "Name of the customer's group by its scores",
+    "churn_probability": "Modelled probability of no sale in the next 90 days",
+    "revenue_at_risk": "churn_probability x revenue_365d",
+    "model_run_id": "Run of model_runs the score comes from",
+    "_source_file": "Landed file the line was read from",
+    "_ingested_at": "Time the line was read",
+}
 
 LAYERS = {"silver": SILVER, "quarantine": LABELLED}
 
@@ -54,27 +101,40 @@ def layer_counts(stored: DataFrame) -> DataFrame:
     return stored.groupBy("reject_reason").agg(F.count("*").alias("lines"))
 
 
-def publish_layer(spark: SparkSession, version: str, name: str, view: str) -> DataFrame:
+def publish_layer(spark: SparkSession, version: str, name: str, view: str, key: str = "") -> DataFrame:
     columns = LAYERS[name].names
-    return save_view(spark, view, version, columns, f"layer = '{name}'", COMMENTS[view.split(".")[-1]])
+    return save_view(spark, view, version, columns, f"layer = '{name}'", COMMENTS[view.split(".")[-1]], key)
 
 
 def evaluate_model(
     clean: DataFrame, days: dict[str, dt.date], rounds: int = churn.ROUNDS,
-    horizon: int = HORIZON_DAYS,
+    horizon: int = HORIZON_DAYS, notes: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
-    """Train on the older snapshot, test on the newer: (newer snapshot, run record, metrics)."""
+    """Train on the older snapshot, test on the newer: (newer snapshot, run record, metrics). ``notes`` go into the record
+    with the parameters."""
     train_on = stage(gold.churn_snapshot(clean, days["train_at"], horizon), "train_snapshot")
-    test_on = stage(gold.churn_snapshot(clean, days["test_at"], horizon), "test_snapshot")
+    test_on = newest_snapshot(clean, days, horizon)
     metrics = churn.evaluate(churn.train(train_on, rounds), test_on)
     params = churn.model_params(rounds) | {
         "train_snapshot": str(days["train_at"]), "test_snapshot": str(days["test_at"]),
-        "horizon_days": horizon}
+        "horizon_days": horizon} | (notes or {})
     # stored, so that the record keeps its time and identifier on every later read
     record = stage(churn.run_record(clean, churn.new_run_id(), params, metrics), "model_run")
     return test_on, record, metrics
 
 
+def newest_snapshot(clean: DataFrame, days: dict[str, dt.date], horizon: int = HORIZON_DAYS) -> DataFrame:
+    return stage(gold.churn_snapshot(clean, days["test_at"], horizon), "test_snapshot")
+
+
+def earlier_record(spark: SparkSession, table: str, key: str) -> DataFrame | None:
+    """The run record of an evaluation that an interrupted run has finished; the first, if there are several."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.table(table).filter(F.col("params")["stage_key"] == key).orderBy("created_at", "run_id").limit(1)
+    return None if found.isEmpty() else found
+
+
 def score_customers(
     model: PipelineModel, customers: DataFrame, record: DataFrame
 ) -> DataFrame:
@@ -97,49 +157,61 @@ def run_report(counts: DataFrame, days: dict[str, dt.date], metrics: dict[str, f
 def run_pipeline(
     spark: SparkSession, landing: str, schema: str, gold_folder: str | None = None,
     rounds: int = churn.ROUNDS, minimum_retention: float = MIN_RETENTION,
-    model_path: str | None = None,
+    model_path: str | None = None, resume: bool = False,
 ) -> DataFrame:
     """Run every stage in order and return the run report.
 
     Nothing is replaced before the quality gate has passed, and churn scores are published only
     if the model beats the recency rule; the run record is kept either way.
+
+    Every published view names the key of its stage: the landed files, the rules and the parameters it depends on, and
+    the key of the stage before. With ``resume``, stages whose view shows their key are taken as they are, so a run
+    after a lost driver does again only what was not finished.
     """
-    def publish(df: DataFrame, name: str) -> DataFrame:
-        return publish_table(df, f"{schema}.{name}", COMMENTS[name])
+    def publish(name: str, key: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if resume and finished(spark, f"{schema}.{name}", key):
+            return spark.table(f"{schema}.{name}")
+        return publish_table(documented(make(), COLUMN_COMMENTS), f"{schema}.{name}", COMMENTS[name], key)
 
     create_schema(spark, schema, "Retail invoices: bronze, silver and gold tables")
-    bronze = save_table(with_audit(spark, landing), f"{schema}.bronze_transactions", COMMENTS["bronze_transactions"])
-    version = version_name(f"{schema}.lines")
-    watched, seen = silver.watched(layered(silver.label_rows(bronze)))
-    stored = save_table(watched, version, COMMENTS["lines"], partition_by="layer")
-    counts = layer_counts(stored)
-    try:
-        silver.require_quality(silver.quality_gate(spark, seen, minimum_retention), minimum_retention)
-    except silver.QualityGateFailed:
-        spark.sql(f"DROP TABLE {version}")
-        raise
-    # both layers are views of the version just checked: publishing copies no line
-    publish_layer(spark, version, "quarantine", f"{schema}.silver_quarantine")
-    lines = publish_layer(spark, version, "silver", f"{schema}.silver_transactions")
-    drop_old_versions(spark, schema, "lines_")
+    lines_key = stage_key("lines", landing_key(spark, landing), REJECT_RULES, PRODUCT_CODE, minimum_retention)
+    gold_key = stage_key("gold", lines_key, ACTIVE_DAYS, RECENT_ORDER_DAYS, SEGMENT_RULES)
+    model_key = stage_key("model", gold_key, FEATURES, rounds, HORIZON_DAYS, churn.model_params(rounds))
+    # the silver view is switched after the quarantine view: where it shows the key, both do
+    if not (resume and finished(spark, f"{schema}.silver_transactions", lines_key)):
+        write_lines(spark, landing, schema, minimum_retention, lines_key)
+    lines = spark.table(f"{schema}.silver_transactions")
+    counts = layer_counts(spark.table(f"{schema}.silver_quarantine")).unionByName(
+        lines.agg(F.lit(None).cast("string").alias("reject_reason"), F.count("*").alias("lines")))
 
     days = gold.snapshot_days(lines)
     tables = {
-        "gold_monthly_kpis": publish(gold.monthly_kpis(lines), "gold_monthly_kpis"),
-        "gold_product_performance": publish(gold.product_performance(lines), "gold_product_performance"),
+        "gold_monthly_kpis": publish("gold_monthly_kpis", gold_key, lambda: gold.monthly_kpis(lines)),
+        "gold_product_performance": publish(
+            "gold_product_performance", gold_key, lambda: gold.product_performance(lines)),
     }
-    features = stage(gold.customer_features(lines, days["score_at"]), "features")
-    customers = publish(rfm.rfm_segments(features), "gold_customer_rfm")
+    customers = publish("gold_customer_rfm", gold_key, lambda: rfm.rfm_segments(
+        stage(gold.customer_features(lines, days["score_at"]), "features")))
     tables["gold_customer_rfm"] = customers
 
-    test_on, record, metrics = evaluate_model(lines, days, rounds)
-    save_table(record, f"{schema}.model_runs", COMMENTS["model_runs"], mode="append")
+    test_on, runs = None, f"{schema}.model_runs"
+    record = earlier_record(spark, runs, model_key) if resume else None
+    if record is None:
+        test_on, record, metrics = evaluate_model(lines, days, rounds, HORIZON_DAYS, {"stage_key": model_key})
+        save_table(record, runs, COMMENTS["model_runs"], mode="append")
+    else:
+        metrics = record.first().metrics
     churn.require_publishable(metrics)
-    model = churn.train(test_on, rounds)  # refit on the newest labelled snapshot
-    if model_path:
-        churn.save_model(model, model_path)
+
+    def scored() -> DataFrame:
+        # refit on the newest labelled snapshot
+        model = churn.train(newest_snapshot(lines, days) if test_on is None else test_on, rounds)
+        if model_path:
+            churn.save_model(model, model_path)
+        return score_customers(model, customers, record)
+
     tables["gold_customer_churn_risk"] = publish(
-        score_customers(model, customers, record), "gold_customer_churn_risk")
+        "gold_customer_churn_risk", stage_key("risk", model_key, model_path), scored)
     if gold_folder:
         for name, df in tables.items():
             save_parquet(df, f"{gold_folder.rstrip('/')}/{name}")
@@ -147,3 +219,23 @@ def run_pipeline(
     if gold_folder:
         report.write.mode("overwrite").json(f"{gold_folder.rstrip('/')}/run_report")
     return report
+
+
+def write_lines(spark: SparkSession, landing: str, schema: str, minimum_retention: float, key: str) -> None:
+    """Bronze, and a version of the labelled lines that both silver views are switched to once the gate has passed."""
+    bronze = save_table(
+        documented(with_audit(spark, landing), COLUMN_COMMENTS), f"{schema}.bronze_transactions",
+        COMMENTS["bronze_transactions"])
+    version = version_name(f"{schema}.lines")
+    # documented before it is watched, so that the pass that writes the lines is the one that counts them
+    watched, seen = silver.watched(documented(layered(silver.label_rows(bronze)), COLUMN_COMMENTS))
+    save_table(watched, version, COMMENTS["lines"], partition_by="layer")
+    try:
+        silver.require_quality(silver.quality_gate(spark, seen, minimum_retention), minimum_retention)
+    except silver.QualityGateFailed:
+        spark.sql(f"DROP TABLE {version}")
+        raise
+    # both layers are views of the version just checked: publishing copies no line
+    publish_layer(spark, version, "quarantine", f"{schema}.silver_quarantine", key)
+    publish_layer(spark, version, "silver", f"{schema}.silver_transactions", key)
+    drop_old_versions(spark, schema, "lines_")

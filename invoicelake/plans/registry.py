@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -14,7 +15,8 @@ from invoicelake.operators import churn, compare, findings, gold, measures, rfm,
 from invoicelake.plans import pipeline, questions
 from invoicelake.plans.workspace import Workspace, over
 from invoicelake.schema import FEATURES
-from invoicelake.session import staging_path
+from invoicelake.session import stage, staging_path
+from invoicelake.sources import catalog, landing
 from invoicelake.sources.catalog import register_gold_folder, save_parquet
 from invoicelake.sources.landing import read_extract_lines, read_text_extract, union_extracts, with_audit
 
@@ -69,6 +71,30 @@ def bronze_provenance(ws: Workspace) -> DataFrame:
         "has_time": F.col("_ingested_at").isNotNull()}).drop("_source_file", "_ingested_at")
 
 
+def landing_status(ws: Workspace) -> DataFrame:
+    """Two deliveries into one folder, of which bronze has loaded the first, with the even lengths of invoice numbers."""
+    folder = staging_path(ws.spark, "deliveries")
+    even = F.coalesce(F.length("invoice") % 2 == 0, F.lit(False))
+    ws.bronze.filter(even).write.parquet(folder)
+    bronze = stage(with_audit(ws.spark, folder), "first_delivery")
+    ws.bronze.filter(~even).write.mode("append").parquet(folder)
+    return landing.landing_status(landing.landing_manifest(ws.spark, folder), bronze)
+
+
+def data_dictionary(ws: Workspace) -> DataFrame:
+    """Comments and filled rows of every column, read back from the catalog's silver and gold tables."""
+    schema = f"dictionary_{uuid.uuid4().hex[:12]}"
+    tables = {"silver_transactions": ws.silver, "gold_monthly_kpis": ws.kpis,
+              "gold_product_performance": ws.products, "gold_customer_rfm": ws.rfm}
+    catalog.create_schema(ws.spark, schema, "Tables of one data dictionary")
+    for name, df in tables.items():
+        catalog.publish_table(
+            catalog.documented(df, pipeline.COLUMN_COMMENTS), f"{schema}.{name}", pipeline.COMMENTS[name])
+    found = stage(catalog.data_dictionary(ws.spark, schema, list(tables)), "data_dictionary")
+    ws.spark.sql(f"DROP SCHEMA `{schema}` CASCADE")
+    return found.select("table_name", "column_name", "comment", "filled")
+
+
 def parquet_sink(ws: Workspace) -> DataFrame:
     return save_parquet(ws.kpis, staging_path(ws.spark, "sink"))
 
@@ -167,6 +193,7 @@ BRONZE_AND_SILVER = {
     "bronze_audit": bronze_audit,
     "bronze_provenance": bronze_provenance,
     "bronze_union": bronze_union,
+    "landing_status": landing_status,
     "extract_lines": extract_lines,
     "dedupe_lines": lambda ws: published(silver.dedupe_lines(ws.bronze)),
     "label_rows": lambda ws: published(ws.labelled),
@@ -245,7 +272,7 @@ ON_SCORES = {
     "risk_share": lambda ws, risk: findings.risk_share(risk),
 }
 
-SINKS = {"parquet_sink": parquet_sink, "gold_views": gold_views}
+SINKS = {"parquet_sink": parquet_sink, "gold_views": gold_views, "data_dictionary": data_dictionary}
 
 CHECKS = {
     "screen_queries": lambda ws: screening.screen_queries(sql_log(ws)),

@@ -25,6 +25,48 @@ def with_audit(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes, modified) of every file of a landing folder, from the listing alone: no content is read."""
+    return (
+        spark.read.format("binaryFile").load(path)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"),
+                F.col("modificationTime").alias("modified")))
+
+
+def landing_key(spark: SparkSession, path: str) -> str:
+    """A text that changes whenever a file of the folder is added, removed, replaced or rewritten."""
+    row = landed_files(spark, path).agg(
+        F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.sum(F.xxhash64("file", "bytes", "modified").cast("decimal(20,0)")).alias("digest")).first()
+    return f"{row.files}-{row.bytes}-{row.digest}"
+
+
+def landing_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Name, size, time and number of rows of every landed file; a file without rows has 0."""
+    rows = read_landing(spark, path).select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(
+        F.count("*").alias("rows"))
+    return landed_files(spark, path).join(rows, "file", "left").fillna(0, ["rows"])
+
+
+def reconcile(manifest: DataFrame, bronze: DataFrame) -> DataFrame:
+    """What became of each file: ``loaded`` whole, ``missing`` from bronze, ``gone`` from the folder since it was loaded,
+    or ``differs`` in rows. A landed file without rows counts as loaded."""
+    loaded = bronze.groupBy(F.col("_source_file").alias("file")).agg(F.count("*").alias("bronze_rows"))
+    landed = manifest.withColumnRenamed("rows", "landed_rows")
+    status = (
+        F.when(F.col("landed_rows").isNull(), "gone")
+        .when(F.col("landed_rows") == F.coalesce("bronze_rows", F.lit(0)), "loaded")
+        .when(F.col("bronze_rows").isNull(), "missing").otherwise("differs"))
+    return landed.join(loaded, "file", "full").withColumn("status", status)
+
+
+def landing_status(manifest: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Rows landed and loaded, per fate of their files."""
+    return reconcile(manifest, bronze).groupBy("status").agg(
+        F.coalesce(F.sum("landed_rows"), F.lit(0)).alias("landed_rows"),
+        F.coalesce(F.sum("bronze_rows"), F.lit(0)).alias("bronze_rows"))
+
+
 DAMAGED = "_damaged"
 
 

@@ -32,6 +32,9 @@ def test_full_run(spark, landing, tmp_path, monkeypatch):
         assert stored.exceptAll(spark.table(f"full.{name}")).count() == 0 and stored.count() > 0
     assert spark.read.json(str(tmp_path / "gold" / "run_report")).count() == report.count()
     assert churn.load_model(str(tmp_path / "model")).stages
+    for name in pipeline.COMMENTS.keys() - {"lines", "model_runs"}:
+        described = {c.name: c.description for c in spark.catalog.listColumns(f"full.{name}")}
+        assert described == {c: pipeline.COLUMN_COMMENTS[c] for c in described}
 
 
 def test_bad_extract_replaces_nothing(spark, landing):
@@ -57,6 +60,43 @@ def test_rerun_switches_to_the_new_version(spark, bronze, tmp_path, monkeypatch)
     assert spark.table("again.silver_quarantine").count() == 5
 
 
+def test_a_resumed_run_does_only_what_was_not_finished(spark, landing, tmp_path, monkeypatch):
+    monkeypatch.setattr(churn, "publishable", lambda metrics: True)
+    done, lost = [], {"scores"}
+    def watch(owner, name, label):
+        inner = getattr(owner, name)
+        def run(*args, **kwargs):
+            done.append(label)
+            if label in lost:
+                raise RuntimeError(f"the driver is lost before {label}")
+            return inner(*args, **kwargs)
+        monkeypatch.setattr(owner, name, run)
+    for owner, name, label in (
+            (pipeline, "write_lines", "lines"), (pipeline.gold, "monthly_kpis", "kpis"),
+            (pipeline.gold, "product_performance", "products"), (pipeline.rfm, "rfm_segments", "customers"),
+            (pipeline, "evaluate_model", "model"), (pipeline, "score_customers", "scores")):
+        watch(owner, name, label)
+    folder = str(tmp_path / "landing")
+    spark.read.parquet(landing).write.parquet(folder)
+    run = lambda rounds=1: pipeline.run_pipeline(spark, folder, "resumed", rounds=rounds, resume=True)
+    every = ["lines", "kpis", "products", "customers", "model", "scores"]
+    with pytest.raises(RuntimeError, match="before scores"):
+        run()
+    assert done == every
+    lost, done[:] = set(), []
+    first = sorted(map(tuple, run().collect()))
+    assert done == ["scores"] and spark.table("resumed.model_runs").count() == 1
+    done.clear()
+    assert sorted(map(tuple, run().collect())) == first and done == []         # nothing is left to do
+    run(rounds=2)
+    assert done == ["model", "scores"]                                         # another parameter of the model
+    done.clear()
+    one = spark.read.parquet(landing).limit(1)
+    one.selectExpr("'777777' AS invoice", *one.columns[1:]).write.mode("append").parquet(folder)
+    run(rounds=2)
+    assert done == every                                                       # another delivery
+
+
 def test_weak_model_publishes_no_scores(spark, landing, monkeypatch):
     monkeypatch.setattr(churn, "publishable", lambda metrics: False)
     with pytest.raises(churn.PublishRefused):

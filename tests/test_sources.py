@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from invoicelake.schema import BRONZE
 from invoicelake.session import shared_folder, stage
+from invoicelake.sources import catalog, landing
 from invoicelake.sources.catalog import (
     create_schema, preview, publish_table, register_gold_folder, save_parquet, save_table)
 from invoicelake.sources.landing import read_landing, read_text_extract, union_extracts, with_audit
@@ -100,3 +102,37 @@ def test_damaged_lines_are_kept_apart(spark, tmp_path):
     assert rows[1].description == 'two\nlines, "quoted"' and rows[1].customer_id is None
     assert (rows[0].stock_code, rows[0].quantity) == ("71002", None)
     assert good.select("country").distinct().count() == 1      # whatever a query asks for, the same lines are damaged
+
+
+def test_files_are_reconciled_with_bronze(spark, bronze, tmp_path):
+    folder = str(tmp_path / "landing")
+    bronze.limit(4).coalesce(1).write.parquet(folder)
+    first = landing.landing_key(spark, folder)
+    loaded = stage(landing.with_audit(spark, folder), "loaded")
+    assert landing.landing_key(spark, folder) == first
+    bronze.limit(3).coalesce(1).write.mode("append").parquet(folder)
+    bronze.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    assert landing.landing_key(spark, folder) != first
+    files = landing.landing_manifest(spark, folder)
+    assert sorted(r.rows for r in files.collect()) == [0, 3, 4] and files.filter("bytes <= 0 OR modified IS NULL").isEmpty()
+    file = loaded.first()._source_file
+    odd = loaded.filter("stock_code <> 'POST'").limit(2).unionByName(loaded.limit(1).withColumn("_source_file", F.lit("old")))
+    fate = lambda rows: {
+        (r.status, r.landed_rows, r.bronze_rows) for r in landing.reconcile(files, rows).collect()}
+    assert fate(loaded) == {("loaded", 4, 4), ("missing", 3, None), ("loaded", 0, None)}
+    assert fate(odd) == {("differs", 4, 2), ("missing", 3, None), ("loaded", 0, None), ("gone", None, 1)}
+    empty = str(tmp_path / "empty")
+    bronze.limit(0).write.parquet(empty)
+    assert {r.rows for r in landing.landing_manifest(spark, empty).collect()} <= {0}
+    assert landing.landing_status(landing.landing_manifest(spark, empty), loaded.limit(0)).agg(
+        F.sum("bronze_rows")).first()[0] in (0, None)
+
+
+def test_comments_travel_with_columns(spark):
+    create_schema(spark, "described")
+    df = catalog.documented(spark.range(3).selectExpr("id", "nullif(id, 1) AS `odd name`"), {"odd name": "it's \\ odd"})
+    publish_table(df, "described.gold_t", "a table")
+    found = catalog.data_dictionary(spark, "described", ["gold_t"]).collect()
+    assert {(r.column_name, r.comment, r.filled) for r in found} == {("id", None, 3), ("odd name", "it's \\ odd", 2)}
+    assert catalog.finished(spark, "described.gold_t", "") and not catalog.finished(spark, "described.gold_t", "x")
+    assert not catalog.finished(spark, "described.other", "")
