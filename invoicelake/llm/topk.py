@@ -115,11 +115,13 @@ def best_in_tile(queries: np.ndarray, candidates: np.ndarray, same: np.ndarray,
         if not len(open_):
             break
         values = np.ldexp(values, shift)
-        held, rows = np.unique(vectors, return_inverse=True)
-        used, places = np.unique(columns, return_inverse=True)
-        segment = np.zeros((len(used), len(held)), number)
-        segment[places, rows] = values
-        score[np.ix_(open_, held)] += scaled[np.ix_(open_, used)].astype(number) @ segment
+        held, used = np.unique(vectors), np.unique(columns)
+        segment = np.zeros(c.shape, number)
+        segment[vectors, columns] = values
+        if 2 * len(held) * len(used) > c.size:
+            score[open_] += scaled[open_].astype(number) @ segment.T
+        else:
+            score[np.ix_(open_, held)] += scaled[np.ix_(open_, used)].astype(number) @ segment[np.ix_(held, used)].T
         rest = np.maximum(rest - np.bincount(vectors, values * values, minlength=n), 0)
         stop(False)
     rest = np.zeros(n)
