@@ -45,6 +45,7 @@ ROUNDS = 15
 DEPTH = 4
 PRECISION = 0.95
 BINS = 200
+STRETCH = 128         # matches of a text whose positions are counted together
 
 SPAN = "array<struct<start:bigint,end:bigint,m:string>>"
 
@@ -58,15 +59,26 @@ def _matches(df: DataFrame, name: str, pattern: str, gate: Column) -> DataFrame:
     df = df.withColumn(between, F.when(F.size(found) > 0, F.split("text", pattern, -1)))
     pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda g, m: F.struct(
         F.length(g).cast("long").alias("gap"), F.length(m).cast("long").alias("n"), m.alias("m")))
-    grown = F.aggregate(
-        pairs, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans")),
+    # An array that grows in an aggregate is copied at every step. Positions are therefore counted within stretches of
+    # STRETCH matches, and then those of the stretches.
+    last = F.floor((F.size(found) - 1) / STRETCH).cast("int")
+    stretches, local, starts = f"__{name}_stretches", f"__{name}_local", f"__{name}_starts"
+    df = df.withColumn(found, F.when(F.size(found) > 0, pairs)).drop(between)
+    df = df.withColumn(stretches, F.when(F.col(found).isNotNull(), F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.slice(found, i * STRETCH + 1, STRETCH))))
+    df = df.withColumn(local, F.transform(stretches, lambda stretch: F.aggregate(
+        stretch, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans")),
         lambda a, p: F.struct(
             (a["at"] + p["gap"] + p["n"]).alias("at"),
             F.concat(a["spans"], F.array(F.struct(
                 (a["at"] + p["gap"]).alias("start"), (a["at"] + p["gap"] + p["n"]).alias("end"),
-                p["m"].alias("m")))).alias("spans")),
-        lambda a: a["spans"])
-    return df.withColumn(name, F.when(F.size(found) > 0, grown).otherwise(F.array().cast(SPAN))).drop(found, between)
+                p["m"].alias("m")))).alias("spans"))))).drop(found, stretches)
+    df = df.withColumn(starts, F.aggregate(
+        local, F.array(F.lit(0).cast("long")), lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + s["at"]))))
+    grown = F.flatten(F.zip_with(local, F.slice(starts, 1, F.size(local)), lambda s, at: F.transform(
+        s["spans"], lambda x: F.struct(
+            (x["start"] + at).alias("start"), (x["end"] + at).alias("end"), x["m"].alias("m")))))
+    return df.withColumn(name, F.when(F.size(local) > 0, grown).otherwise(F.array().cast(SPAN))).drop(local, starts)
 
 
 def _luhn(digits: Column) -> Column:
