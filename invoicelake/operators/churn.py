@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,6 +15,7 @@ from invoicelake.functions.expressions import as_double, round_half_even, round_
 from invoicelake.functions.ordering import running_totals, top_rows
 from invoicelake.operators.gold import active_customers
 from invoicelake.operators.rfm import rfm_scores
+from invoicelake.operators.tree_scoring import with_probability
 from invoicelake.schema import FEATURES
 from invoicelake.session import shared_folder, stage
 
@@ -50,11 +50,24 @@ def train(snapshot: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
 
 
 def probabilities(model: PipelineModel, customers: DataFrame) -> DataFrame:
-    """The customers with their unrounded churn probability ``p``."""
+    """The customers with their unrounded churn probability ``p``, from the fitted trees as column expressions."""
+    return with_probability(customers, model.stages[-1], FEATURES)
+
+
+def transformed(model: PipelineModel, customers: DataFrame) -> DataFrame:
+    """The same by the fitted pipeline's own vectors: what ``probabilities`` is checked against."""
     return model.transform(customers).select(
         *customers.columns, vector_to_array("_probability")[1].alias("p"))
 
 
+def scoring_check(model: PipelineModel, customers: DataFrame) -> DataFrame:
+    """One row: customers scored, and how many of them the two ways of scoring put more than 1e-9 apart."""
+    both = transformed(model, probabilities(model, customers).withColumnRenamed("p", "expected"))
+    return both.agg(
+        F.count("*").alias("customers"),
+        F.count_if(F.abs(F.col("p") - F.col("expected")) > 1e-9).alias("apart"))
+
+
 def at_risk(p: Column) -> list[Column]:
     """Published probability and expected loss, both from the unrounded probability."""
     spend = F.greatest(F.col("revenue_365d"), F.lit(0.0))
@@ -109,11 +122,9 @@ def evaluate(model: PipelineModel, snapshot: DataFrame) -> dict[str, float]:
     """Five figures for a labelled snapshot the model has not seen."""
     scored = stage(
         probabilities(model, snapshot).select("customer_id", "recency_days", "churned", "p"), "scored")
-    auc = BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="churned", numBins=0).evaluate(
-        scored.withColumn("churned", as_double(F.col("churned"))))
     base = churn_base_rate(scored).first()
     return {
-        "auc": auc,
+        "auc": rank_auc(scored, "p").first().auc,
         "baseline_recency_auc": rank_auc(scored, "recency_days").first().auc,
         "precision_top_decile": top_decile_precision(scored, "p").first().precision,
         "churn_base_rate": base.churn_base_rate,

@@ -377,6 +377,8 @@ def all_oracles() -> dict[str, str]:
             FROM gold_customer_rfm GROUP BY segment"""),
         "churn_base_rate": _sql([*TO_SILVER, DAYS, TEST], "SELECT COUNT(*) AS customers, AVG(churned) AS churn_base_rate FROM test"),
         # rank sum over all pairs' order: average rank of the churned among all
+        "scoring_check": _sql([*TO_SILVER, DAYS, FEATURES], """
+            SELECT COUNT(*) AS customers, CAST(0 AS BIGINT) AS apart FROM features WHERE recency_days <= 365"""),
         "recency_auc": _sql([*TO_SILVER, DAYS, TEST], """
             SELECT floor((SUM(r) FILTER (churned = 1) - pos * (pos + 1) / 2) / (pos * neg) * 10000 + 0.5) / 10000
                      AS baseline_recency_auc, ANY_VALUE(n) AS customers

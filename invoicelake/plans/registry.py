@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from invoicelake.operators import churn, compare, findings, gold, measures, rfm, screening, silver
+from invoicelake.operators import churn, compare, findings, gold, measures, rfm, screening, silver, tree_scoring
 from invoicelake.plans import pipeline, questions
 from invoicelake.plans.workspace import Workspace, over
 from invoicelake.schema import FEATURES
@@ -229,6 +229,8 @@ CHURN = {
     "top_decile": lambda ws: churn.top_decile_precision(ws.test_snapshot),
     "risk_by_rate": lambda ws: churn.risk_by_rate(ws.test_snapshot, ws.rfm),
     "churn_model": churn_model,
+    "scoring_check": lambda ws: churn.scoring_check(ws.model, gold.active_customers(ws.rfm)),
+    "model_nodes": lambda ws: tree_scoring.nodes(ws.rfm, ws.model.stages[-1], FEATURES),
     "model_eval": model_eval,
     "model_runs": lambda ws: ws.evaluation[1],
     "publish_gate": publish_gate,

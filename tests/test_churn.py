@@ -1,8 +1,10 @@
+import math
+
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from invoicelake.operators import churn
+from invoicelake.operators import churn, tree_scoring
 from invoicelake.schema import FEATURES
 
 
@@ -90,3 +92,37 @@ def test_run_record(spark, snapshot):
 def test_rates_price_customers_without_a_model(snapshot):
     rates = churn.churn_rate_by_recency(snapshot).collect()
     assert {r.r_score for r in rates} == {1, 2, 3, 4, 5} and all(0 <= r.p <= 1 for r in rates)
+
+
+def test_column_expressions_score_as_the_fitted_pipeline(model, snapshot):
+    odd = snapshot.limit(6).withColumns({
+        f: F.when(F.col("customer_id") == "k002", F.lit(1e300)).when(F.col("customer_id") == "k003", F.lit(float("-inf"))).otherwise(F.col(f)) for f in FEATURES})
+    rows = snapshot.unionByName(odd)
+    check = churn.scoring_check(model, rows).first()
+    assert (check.customers, check.apart) == (406, 0)
+    # the fitted pipeline refuses a row with NaN; as an expression it is above every threshold
+    nan, high = (churn.probabilities(model, snapshot.limit(1).withColumns({f: F.lit(v) for f in FEATURES})).first().p
+                 for v in (float("nan"), float("inf")))
+    assert nan == high
+    plan = churn.probabilities(model, rows)._jdf.queryExecution().toString()
+    assert "UDF" not in plan and "vector" not in plan.lower()
+
+
+def test_a_clashing_column_keeps_its_place(model, snapshot):
+    extra = snapshot.withColumn("a.b", F.lit(1))
+    assert churn.probabilities(model, extra).columns == [*extra.columns, "p"]
+
+
+def test_node_table_scores_by_hand(model, snapshot):
+    trees = {}
+    for tree, node, feature, threshold, left, right, prediction in tree_scoring.node_table(model.stages[-1], FEATURES):
+        trees.setdefault(tree, {})[node] = (feature, threshold, left, right, prediction)
+    assert len(trees) == 3
+    for row in churn.probabilities(model, snapshot).limit(50).collect():
+        raw = 0.0
+        for (number, nodes), weight in zip(sorted(trees.items()), model.stages[-1].treeWeights):
+            at = 0
+            while nodes[at][4] is None:
+                at = nodes[at][2] if (row[nodes[at][0]] or 0.0) <= nodes[at][1] else nodes[at][3]
+            raw += weight * nodes[at][4]
+        assert abs(row.p - 1 / (1 + math.exp(-2 * raw))) < 1e-12
