@@ -3,13 +3,14 @@
 The words of a source, its documents in shuffled order, run twice past the mix and are cut into blocks of
 ``BLOCK_WORDS``. Slot i of the schedule belongs to the source whose share of the cumulative targets holds the i-th
 golden-ratio point; its rank among the slots of that source is the block it takes. So every stretch of the schedule
-is close to the targets. The last block a source may take is trimmed to its target, and the few ranks a finite
-schedule leaves out follow at its end; a source thus gives its target to the word.
+is close to the targets. The last block a source may take is trimmed to its target; the few blocks the points leave out
+fill the slots they give to sources without a block left, so a source gives its target to the word. The mix is the
+pieces of documents in the order of their slots (``scheduled_mix``); what a document gives is counted from them.
 
 Targets: a source asks for its weight's share of the total and stops at twice its own size; what is over is shared
 out again by weight until no source is above. All steps are DataFrame expressions. Running totals over a source go
-level by level over the digits of the shuffle key, so no window holds more than 4,096 totals or the documents of one
-of 16 million buckets.
+level by level over the digits of the shuffle key, so no window holds more than 4,096 totals or the distinct sizes of
+the doc_ids in one of 16 million buckets.
 
 Defined results: a missing text has 0 words and is never taken. A missing source is a source of its own, last in
 order. Missing doc_ids and repeated rows count as documents of their own. Other columns are ignored. An empty table
@@ -54,13 +55,20 @@ def _before(what: str, window) -> Column:
 def positions(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, and ``at``: the words of its source that come before it in shuffled order.
 
-    A row number of the caller, ``ROW``, is passed on."""
+    A row number of the caller, ``ROW``, is passed on. Rows of equal source, doc_id and size are counted per partition of
+    the stored sizes first, so no window holds more rows than a partition, the partitions, or the distinct sizes of a
+    doc_id, however many rows share a doc_id or have none."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         words(F.col("text")).alias("size"), *_row(docs)).withColumn("key", key)
-    rows = stage(rows, "sizes").withColumns({"k1": F.substring("key", 1, 3), "k2": F.substring("key", 4, 3)})
-    two = rows.groupBy("source", "k1", "k2").agg(F.sum("size").alias("n"))
+    # row numbers of a stored table: partition above, row below, the same on every attempt
+    rows = stage(rows, "sizes").withColumn("number", F.monotonically_increasing_id()).withColumns({
+        "k1": F.substring("key", 1, 3), "k2": F.substring("key", 4, 3), "task": F.shiftright("number", 33)})
+    same, bucket = ["source", "doc_id", "size"], ["source", "k1", "k2"]
+    counts = rows.groupBy(*bucket, "key", "doc_id", "size", "task").agg(F.count("*").alias("rows"))
+    piles = counts.groupBy(*bucket, "key", "doc_id", "size").agg((F.sum("rows") * F.col("size")).alias("n"))
+    two = piles.groupBy(*bucket).agg(F.sum("n").alias("n"))
     one = two.groupBy("source", "k1").agg(F.sum("n").alias("n"))
     one = one.select(F.col("source").alias("s1"), F.col("k1").alias("j1"),
                      _before("n", Window.partitionBy("source").orderBy("k1")).alias("b1"))
@@ -68,10 +76,19 @@ def positions(docs: DataFrame) -> DataFrame:
                      _before("n", Window.partitionBy("source", "k1").orderBy("k2")).alias("b2"))
     before = two.join(one, F.col("s1").eqNullSafe(F.col("s2")) & (F.col("i1") == F.col("j1"))).select(
         "s2", "i1", "i2", (F.col("b1") + F.col("b2")).alias("before"))
-    inside = Window.partitionBy("source", "k1", "k2").orderBy("key", "doc_id", "size")
-    return rows.withColumn("inside", _before("size", inside)).join(
+    inside = Window.partitionBy(*bucket).orderBy("key", "doc_id", "size")
+    piles = piles.withColumn("inside", _before("n", inside)).join(
         before, F.col("source").eqNullSafe(F.col("s2")) & (F.col("k1") == F.col("i1")) & (F.col("k2") == F.col("i2"))
-    ).select("doc_id", "source", "size", *_row(docs), (F.col("before") + F.col("inside")).alias("at"))
+    ).selectExpr("source", "doc_id", "size", "before + inside AS start")
+    earlier = _before("rows", Window.partitionBy(*same).orderBy("task"))
+    counts = counts.select(*same, "task", earlier.alias("earlier")).alias("c").join(
+        piles.alias("p"), F.expr("c.source <=> p.source AND c.doc_id <=> p.doc_id AND c.size = p.size")).selectExpr(
+        "c.source", "c.doc_id", "c.size", "c.task", "p.start + c.earlier * c.size AS start")
+    place = F.row_number().over(Window.partitionBy(*same, "task").orderBy("number")) - 1
+    own = [f"r.{c}" for c in _row(docs)]
+    return rows.withColumn("place", place).alias("r").join(counts.alias("c"), F.expr(
+        "r.source <=> c.source AND r.doc_id <=> c.doc_id AND r.size = c.size AND r.task = c.task")).selectExpr(
+        "r.doc_id", "r.source", "r.size", *own, "c.start + r.place * r.size AS at")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
@@ -99,7 +116,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def schedule(quotas: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """slot, source, block, words: the order of the mix. Each block a source may take stands in it exactly once."""
+    """slot, source, block, words: the order of the mix. Slots are numbered without a gap from 0, and each block a source
+    may take stands in exactly one.
+
+    The points may give a source a few slots more than it has blocks, and another as many fewer: the blocks left out
+    take the slots left over, in the order of both."""
     spark = quotas.sparkSession
     blocks = quotas.filter(F.col("quota") > 0).withColumn(
         "blocks", F.ceil(F.col("quota") / F.lit(block_words)).cast("long"))
@@ -132,59 +153,101 @@ def schedule(quotas: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     ranked = owned.withColumn("inside", inside).alias("s").join(
         counted.alias("c"), F.expr("s.source <=> c.source AND s.stretch = c.stretch")).selectExpr(
         "s.slot AS slot", "s.source AS source", "c.before + s.inside AS block")
-    taken = ranked.groupBy("source").agg(F.count("*").alias("n"))
     quota = stored.select("source", "quota", "blocks")
-    within = ranked.alias("r").join(quota.alias("q"), F.expr("r.source <=> q.source AND r.block < q.blocks")).selectExpr(
-        "r.slot AS slot", "r.source AS source", "r.block AS block", "q.quota AS quota")
+    ranked = stage(ranked, "ranks").alias("r").join(quota.alias("q"), F.expr("r.source <=> q.source")).selectExpr(
+        "r.slot AS slot", "r.source AS source", "r.block AS block", "q.quota AS quota", "q.blocks AS blocks")
+    taken = ranked.groupBy("source").agg(F.count("*").alias("n"))
     short = quota.alias("q").join(taken.alias("t"), F.expr("q.source <=> t.source"), "left").selectExpr(
         "q.source AS source", "q.quota AS quota", "coalesce(t.n, 0L) AS n", "q.blocks AS blocks").filter("n < blocks")
-    rest = short.select(F.lit(slots).alias("slot"), "source", F.explode(
-        F.sequence(F.col("n"), F.col("blocks") - 1)).alias("block"), "quota")
-    return within.unionByName(rest).select(
+    # as many as the points stray from the shares: about the logarithm of the slots, per source
+    out = short.select("source", F.explode(F.sequence(F.col("n"), F.col("blocks") - 1)).alias("block"), "quota").withColumn(
+        "k", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last(), "block")))
+    over = ranked.filter("block >= blocks").select("slot", F.row_number().over(Window.orderBy("slot")).alias("k"))
+    rest = over.join(out, "k").select("slot", "source", "block", "quota")
+    return ranked.filter("block < blocks").select("slot", "source", "block", "quota").unionByName(rest).select(
         "slot", "source", "block",
         F.least(F.lit(block_words), F.col("quota") - F.col("block") * block_words).cast("long").alias("words"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-        block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, taken (words the mix takes, repeats counted), and
-    its ``ROW`` if it has one."""
-    placed = stage(positions(docs), "positions")
-    sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
-    quotas = stage(targets(sizes, weights, share), "targets")
+def scheduled_pieces(placed: DataFrame, quotas: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix as pieces of documents: slot, place (words before it in the slot), run (0 for the first pass over its
+    source), from_word and to_word (end exclusive), with the columns of ``placed``. Slots and places give the order."""
     slots = schedule(quotas.select("source", "quota"), block_words)
-    rows = placed.alias("p").join(quotas.alias("q"), F.expr("p.source <=> q.source")).selectExpr(
-        "p.doc_id", "p.source", "p.size", *_row(placed), "p.at", "q.source_size", "q.target")
+    sizes = quotas.select(F.col("source").alias("__s"), "source_size")      # one row per source: Spark broadcasts it
+    own = [c for c in placed.columns]
     # a document meets the mix once in each run over its source
     runs = F.array(*[F.col("at") + F.lit(r) * F.col("source_size") for r in range(REPEATS)])
-    begun = rows.filter("size > 0").withColumn("begin", F.explode(runs))
+    begun = placed.filter("size > 0").join(sizes, F.col("source").eqNullSafe(F.col("__s"))).select(
+        *own, F.posexplode(runs).alias("run", "begin"))
     last = F.floor((F.col("begin") + F.col("size") - 1) / block_words)
-    parts = begun.withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / block_words), last)))
-    joined = parts.alias("d").join(
-        slots.alias("s"), F.expr("d.source <=> s.source AND d.block = s.block"), "left").selectExpr(
-        "d.doc_id", "d.source", "d.size", *_row(placed), "d.at", "d.source_size", "d.target",
-        "d.begin", f"d.block * {block_words}L AS from_word", "coalesce(s.words, 0L) AS words")
-    overlap = F.greatest(F.lit(0), F.least(
-        F.col("begin") + F.col("size"), F.col("from_word") + F.col("words"))
-        - F.greatest(F.col("begin"), F.col("from_word")))
-    kept = ["doc_id", "source", "size", *_row(placed), "source_size", "target"]
-    taken = joined.groupBy(*kept, "at").agg(F.sum(overlap).cast("long").alias("taken")).drop("at")
-    return taken.unionByName(rows.filter("size = 0").select(*kept, F.lit(0).cast("long").alias("taken")))
+    parts = begun.withColumn("__block", F.explode(F.sequence(F.floor(F.col("begin") / block_words), last)))
+    slots = slots.select("slot", F.col("source").alias("__s"), F.col("block").alias("__b"), "words")
+    joined = parts.join(slots, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")))
+    low = F.greatest(F.col("begin"), F.col("__block") * block_words)
+    high = F.least(F.col("begin") + F.col("size"), F.col("__block") * block_words + F.col("words"))
+    return joined.select(
+        "slot", (low - F.col("__block") * block_words).alias("place"), "run", *own,
+        (low - F.col("begin")).alias("from_word"), (high - F.col("begin")).alias("to_word")).filter("to_word > from_word")
+
+
+def _planned(docs: DataFrame, weights: tuple[int, ...], share: float) -> tuple[DataFrame, DataFrame]:
+    placed = stage(positions(docs), "positions")
+    sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
+    return placed, stage(targets(sizes, weights, share), "targets")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
+        block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target, taken (words of its pieces in the schedule, repeats
+    counted) and first_slot (where its first piece stands; missing if none does)."""
+    placed, quotas = _planned(docs.drop(ROW).withColumn(ROW, F.monotonically_increasing_id()), weights, share)
+    pieces = scheduled_pieces(placed, quotas, block_words)
+    # at is unique among the documents of a source that have words
+    taken = pieces.groupBy("source", "at").agg(
+        F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("slot").alias("first_slot"))
+    rows = placed.alias("p").join(quotas.alias("q"), F.expr("p.source <=> q.source")).selectExpr(
+        "p.doc_id", "p.source", "p.size", "p.at", "q.source_size", "q.target").alias("d")
+    return rows.join(taken.alias("t"), F.expr("d.source <=> t.source AND d.at = t.at AND d.size > 0"), "left").selectExpr(
+        "d.doc_id", "d.source", "d.size", "d.source_size", "d.target", "coalesce(t.taken, 0L) AS taken", "t.first_slot")
+
+
+def scheduled_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
+                  block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix itself, in order: slot, place, source, doc_id, from_word, to_word and the text of these words, each with
+    the blanks before it; the last word of a document brings the blanks after it.
+
+    The words of a document are taken apart once, and its pieces cut from them."""
+    rows = stage(docs.drop(ROW).withColumn(ROW, F.monotonically_increasing_id()), "mix-rows")
+    placed, quotas = _planned(rows, weights, share)
+    cuts = scheduled_pieces(placed, quotas, block_words).groupBy(ROW).agg(F.collect_list(F.struct(
+        "slot", "place", "from_word", "to_word")).alias("cuts"))       # two per 512 words of one document at most
+    spaced = F.regexp_extract_all("text", F.lit(f"[\\x20\\x09-\\x0D]*{WORD}(?:[\\x20\\x09-\\x0D]+$)?"), F.lit(0))
+    split = rows.join(cuts, ROW).select("doc_id", F.col("source").cast("string").alias("source"), "cuts", spaced.alias("spaced"))
+    # the number of words is read beside the cuts, so that the words are not taken apart again for each cut
+    cut = split.select("doc_id", "source", F.size("spaced").alias("n"), F.transform("cuts", lambda c: F.struct(
+        c["slot"].alias("slot"), c["place"].alias("place"), c["from_word"].alias("from_word"),
+        c["to_word"].alias("to_word"), F.array_join(F.slice(
+            "spaced", (c["from_word"] + 1).cast("int"), (c["to_word"] - c["from_word"]).cast("int")), "").alias("text"))
+    ).alias("cuts")).filter("n > 0")
+    return cut.select("doc_id", "source", F.explode("cuts").alias("c")).select(
+        "c.slot", "c.place", "source", "doc_id", "c.from_word", "c.to_word", "c.text").orderBy("slot", "place")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """The words the mix takes: each document 0 to 2 times, and cut after its last word taken where a source ends.
+    """The words the mix takes, as documents in the order of the schedule: each 0 to 2 times, at the slot of its first
+    word, and cut after its last word taken where a source ends.
 
-    A source takes its runs from the start, so a row has whole copies first and at most one that is cut; ``n_chars``
-    is that of the cut text. Rows are told apart by a number of their own."""
+    ``n_chars`` is that of the cut text. Rows are told apart by a number of their own."""
     rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "mix-rows")
-    times = mix(rows, weights, share).filter("taken > 0").selectExpr(
-        ROW, "taken div size AS __whole", "cast(taken % size AS int) AS __rest")
-    copies = F.sequence(F.lit(1), F.col("__whole") + F.when(F.col("__rest") > 0, 1).otherwise(0))
-    taken = rows.join(times, ROW).withColumn("__copy", F.explode(copies))
-    cut = F.col("__copy") > F.col("__whole")
-    taken = taken.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("__rest"))).otherwise(F.col("text")))
+    placed, quotas = _planned(rows, weights, share)
+    copies = scheduled_pieces(placed, quotas).groupBy(ROW, "run", "size").agg(
+        F.max("to_word").alias("__end"), F.min_by(F.struct("slot", "place"), "from_word").alias("__at"))
+    copies = copies.select(ROW, "__at", "__end", (F.col("__end") < F.col("size")).alias("__cut"))
+    taken = rows.join(copies, ROW)
+    cut = F.col("__cut")
+    taken = taken.withColumn(
+        "text", F.when(cut, first_words(F.col("text"), F.col("__end").cast("int"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         taken = taken.withColumn("n_chars", F.when(cut, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return taken.select(*docs.columns)
+    return taken.orderBy("__at.slot", "__at.place").select(*docs.columns)

@@ -34,7 +34,7 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,14 +112,44 @@ ORACLES: dict[str, str] = {
           SELECT source, source_size, least(most::DOUBLE, (SELECT max(level::DOUBLE) FROM l WHERE most / weight >= level) * weight) AS target
           FROM l
         ), p AS (
-          SELECT doc_id, size, source_size, target, least(round(target), 2 * source_size) AS quota,
+          SELECT doc_id, source, size, source_size, target, least(round(target), 2 * source_size) AS quota,
                  coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
           FROM d JOIN t USING (source)
+        ), q AS (
+          SELECT source, CAST(least(round(target), 2 * source_size) AS BIGINT) AS quota,
+                 CAST(ceil(least(round(target), 2 * source_size) / 512) AS BIGINT) AS blocks FROM t
+        ), h AS (
+          SELECT source, quota, blocks, (sum(quota) OVER w - quota) / sum(quota) OVER () AS low,
+                 sum(quota) OVER w / sum(quota) OVER () AS high
+          FROM q WHERE quota > 0 WINDOW w AS (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING)
+        ), i AS (
+          SELECT range AS slot, CAST((CAST(range AS HUGEINT) * 2654435769) % 4294967296 AS DOUBLE) / 4294967296 AS u
+          FROM range(CAST((SELECT coalesce(sum(blocks), 0) FROM h) AS BIGINT))
+        ), r AS (
+          SELECT slot, source, blocks, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block
+          FROM i JOIN h ON u >= low AND u < high
+        ), a AS (
+          SELECT source, unnest(range(blocks)) AS block FROM h
+        ), x AS (
+          SELECT source, block, row_number() OVER (ORDER BY source NULLS LAST, block) AS k
+          FROM a WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.source IS NOT DISTINCT FROM a.source AND r.block = a.block)
+        ), y AS (
+          SELECT slot, row_number() OVER (ORDER BY slot) AS k FROM r WHERE block >= blocks
+        ), slots AS (
+          SELECT slot, source, block FROM r WHERE block < blocks UNION ALL SELECT slot, source, block FROM x JOIN y USING (k)
+        ), b AS (
+          SELECT source, pos, unnest(range(CAST(begin_ // 512 AS BIGINT), CAST((end_ - 1) // 512 + 1 AS BIGINT))) AS block
+          FROM (SELECT source, pos, CAST(pos + run * source_size AS BIGINT) AS begin_,
+                       CAST(least(pos + run * source_size + size, quota) AS BIGINT) AS end_
+                FROM p, (VALUES (0), (1)) AS runs(run) WHERE size > 0) WHERE end_ > begin_
+        ), f AS (
+          SELECT b.source, b.pos, min(slot) AS first_slot
+          FROM b JOIN slots ON slots.source IS NOT DISTINCT FROM b.source AND slots.block = b.block GROUP BY ALL
         ) SELECT doc_id, size, source_size, target,
                  CAST(greatest(0, least(pos + size, quota) - pos)
-                    + greatest(0, least(pos + source_size + size, quota) - pos - source_size) AS BIGINT) AS taken
-          FROM p""",
+                    + greatest(0, least(pos + source_size + size, quota) - pos - source_size) AS BIGINT) AS taken, first_slot
+          FROM p LEFT JOIN f ON p.source IS NOT DISTINCT FROM f.source AND p.pos = f.pos AND p.size > 0""",
     "op5_exact_top_k": """
         WITH v AS (
           SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e

@@ -276,6 +276,69 @@ def test_mixing(spark, documents, no_documents):
         assert abs(order[:n].count("a") - 0.6 * n) < 6
 
 
+def blocks_of(spark):
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(i if i % 3 else None, text(f"{s}{i}_", 5 + 7 * (i % 4)), s) for i in range(60) for s in ("a", "b", None)]
+    return spark.createDataFrame(rows + rows[:9] + [(1, None, "a"), (2, "", "b")], "doc_id long, text string, source string")
+
+
+def test_scheduled_mix_is_the_schedule(spark):
+    docs = blocks_of(spark).repartition(5)
+    rows = mixing.scheduled_mix(docs, block_words=16).collect()
+    slots, seen = defaultdict(list), Counter()
+    for r in rows:
+        assert len(r.text.split()) == r.to_word - r.from_word
+        assert r.place == sum(len(t.split()) for _, t in slots[r.slot])     # gapless, in order
+        slots[r.slot].append((r.source, r.text))
+        seen[r.source] += len(r.text.split())
+    assert sorted(slots) == list(range(len(slots)))
+    assert all(len({s for s, _ in parts}) == 1 for parts in slots.values())
+    quotas = {r.source: r.quota for r in mixing._planned(docs, mixing.WEIGHTS, mixing.SHARE)[1].collect()}
+    assert seen == Counter(quotas)
+    # the owner of a slot is the one the i-th golden-ratio point hits, as long as it has blocks left
+    total, low, shares = sum(quotas.values()), 0, []
+    for s in ("a", "b", None):
+        shares.append((s, low / total, (low + quotas[s]) / total))
+        low += quotas[s]
+    left, astray = {s: -(-q // 16) for s, q in quotas.items()}, 0
+    for slot in sorted(slots):
+        u = slot * 2654435769 % 2 ** 32 / 2 ** 32
+        owner = next(s for s, a, b in shares if a <= u < b)
+        if left[owner]:
+            left[owner] -= 1
+            assert slots[slot][0][0] == owner
+        else:
+            astray += 1
+    assert astray == sum(left.values()) <= 6
+    taken = Counter()
+    for r in rows:
+        taken[r.source, r.doc_id] += r.to_word - r.from_word
+    counted = Counter()
+    for r in mixing.mix(docs, block_words=16).collect():
+        counted[r.source, r.doc_id] += r.taken
+        assert (r.first_slot is None) == (r.taken == 0)
+    assert +counted == +taken
+
+
+def test_other_points_give_another_mix(spark, monkeypatch):
+    docs = blocks_of(spark)
+    order = lambda: [r.source for r in mixing.scheduled_mix(docs, block_words=16).collect()]
+    golden = order()
+    monkeypatch.setattr(mixing, "GOLDEN", 0)
+    assert order() != golden
+
+
+def test_positions_of_rows_without_doc_id(spark):
+    """However many rows share a doc_id and a size, the documents of a source lie end to end."""
+    rows = [(None if i % 2 else 7, " ".join(["w"] * (i % 3)), "s") for i in range(300)]
+    placed = mixing.positions(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6))
+    at = 0
+    for r in placed.filter("size > 0").orderBy("at").collect():
+        assert r.at == at
+        at += r["size"]
+    assert placed.count() == 300 and at == sum(i % 3 for i in range(300))
+
+
 def test_mixed_documents_have_the_words_the_mix_takes(spark):
     text = lambda name, n: " \t".join(f"{name}{i}" for i in range(n)) + "\n"
     rows = [(1, text("one", 1000), "a", 7), (None, text("x", 10), "b", 7), (None, text("y", 10), "b", 7), (2, text("z", 10), "b", 7),
@@ -288,6 +351,7 @@ def test_mixed_documents_have_the_words_the_mix_takes(spark):
         assert mixed.dtypes == docs.dtypes
         taken, whole = Counter(), {t for _, t, _, _ in rows}
         for r in mixed.collect():
+            assert r.text
             taken[r.source] += len(r.text.split())
             assert any(t and t.startswith(r.text) for t in whole)
             assert r.n_chars == (7 if r.text in whole else len(r.text))
