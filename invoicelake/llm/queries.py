@@ -144,12 +144,12 @@ ORACLES: dict[str, str] = {
                        CAST(least(pos + run * source_size + size, quota) AS BIGINT) AS end_
                 FROM p, (VALUES (0), (1)) AS runs(run) WHERE size > 0) WHERE end_ > begin_
         ), f AS (
-          SELECT b.source, b.pos, min(slot) AS first_slot
+          SELECT b.source AS of, b.pos AS at, min(slot) AS first_slot
           FROM b JOIN slots ON slots.source IS NOT DISTINCT FROM b.source AND slots.block = b.block GROUP BY ALL
         ) SELECT doc_id, size, source_size, target,
                  CAST(greatest(0, least(pos + size, quota) - pos)
                     + greatest(0, least(pos + source_size + size, quota) - pos - source_size) AS BIGINT) AS taken, first_slot
-          FROM p LEFT JOIN f ON p.source IS NOT DISTINCT FROM f.source AND p.pos = f.pos AND p.size > 0""",
+          FROM p LEFT JOIN f ON p.source IS NOT DISTINCT FROM f.of AND p.pos = f.at AND p.size > 0""",
     "op5_exact_top_k": """
         WITH v AS (
           SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
