@@ -177,7 +177,7 @@ def run_pipeline(
     lines_key = stage_key("lines", landing_key(spark, landing), REJECT_RULES, PRODUCT_CODE, minimum_retention)
     gold_key = stage_key("gold", lines_key, ACTIVE_DAYS, RECENT_ORDER_DAYS, SEGMENT_RULES)
     model_key = stage_key("model", gold_key, FEATURES, rounds, HORIZON_DAYS, churn.model_params(rounds))
-    # the silver view is switched after the quarantine view: where it shows the key, both do
+    # the silver view is switched last: where it shows the key, bronze and quarantine do
     if not (resume and finished(spark, f"{schema}.silver_transactions", lines_key)):
         write_lines(spark, landing, schema, minimum_retention, lines_key)
     lines = spark.table(f"{schema}.silver_transactions")
@@ -222,20 +222,23 @@ def run_pipeline(
 
 
 def write_lines(spark: SparkSession, landing: str, schema: str, minimum_retention: float, key: str) -> None:
-    """Bronze, and a version of the labelled lines that both silver views are switched to once the gate has passed."""
-    bronze = save_table(
-        documented(with_audit(spark, landing), COLUMN_COMMENTS), f"{schema}.bronze_transactions",
-        COMMENTS["bronze_transactions"])
-    version = version_name(f"{schema}.lines")
+    """A version of bronze and one of the labelled lines, which the three views are switched to once the gate has passed.
+
+    A delivery that fails the gate leaves no version behind and no view changed."""
+    raw, version = version_name(f"{schema}.bronze_transactions"), version_name(f"{schema}.lines")
+    bronze = save_table(documented(with_audit(spark, landing), COLUMN_COMMENTS), raw, COMMENTS["bronze_transactions"])
     # documented before it is watched, so that the pass that writes the lines is the one that counts them
     watched, seen = silver.watched(documented(layered(silver.label_rows(bronze)), COLUMN_COMMENTS))
     save_table(watched, version, COMMENTS["lines"], partition_by="layer")
     try:
         silver.require_quality(silver.quality_gate(spark, seen, minimum_retention), minimum_retention)
     except silver.QualityGateFailed:
-        spark.sql(f"DROP TABLE {version}")
+        for table in (version, raw):
+            spark.sql(f"DROP TABLE {table}")
         raise
+    save_view(spark, f"{schema}.bronze_transactions", raw, bronze.columns, "TRUE", COMMENTS["bronze_transactions"], key)
     # both layers are views of the version just checked: publishing copies no line
     publish_layer(spark, version, "quarantine", f"{schema}.silver_quarantine", key)
     publish_layer(spark, version, "silver", f"{schema}.silver_transactions", key)
+    drop_old_versions(spark, schema, "bronze_transactions_")
     drop_old_versions(spark, schema, "lines_")

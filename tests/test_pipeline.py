@@ -42,6 +42,7 @@ def test_bad_extract_replaces_nothing(spark, landing):
         pipeline.run_pipeline(spark, landing, "gated", rounds=1, minimum_retention=0.99)
     assert not spark.catalog.tableExists("gated.silver_transactions")
     assert not spark.catalog.tableExists("gated.silver_quarantine")
+    assert spark.catalog.listTables("gated") == []      # neither views nor versions of the refused delivery
 
 
 def test_rerun_switches_to_the_new_version(spark, bronze, tmp_path, monkeypatch):
@@ -56,6 +57,12 @@ def test_rerun_switches_to_the_new_version(spark, bronze, tmp_path, monkeypatch)
             f"'9{run}' AS invoice", *bronze.columns[1:]).write.mode("append").parquet(str(tmp_path / "landing"))
     versions = [t.name for t in spark.catalog.listTables("again") if t.name.startswith("lines_")]
     assert len(versions) == 2
+    assert len([t for t in spark.catalog.listTables("again") if t.name.startswith("bronze_transactions_")]) == 2
+    delivered = spark.table("again.bronze_transactions").count()
+    bronze.selectExpr("'bad' AS invoice", *bronze.columns[1:]).write.mode("append").parquet(str(tmp_path / "landing"))
+    with pytest.raises(s.QualityGateFailed):
+        pipeline.run_pipeline(spark, str(tmp_path / "landing"), "again", minimum_retention=0.999)
+    assert spark.table("again.bronze_transactions").count() == delivered == bronze.count() + 3
     assert spark.table("again.silver_transactions").count() == 9
     assert spark.table("again.silver_quarantine").count() == 5
 
