@@ -371,6 +371,24 @@ def test_secrets(documents, no_documents):
     assert secrets.thresholds([(1, 150, True, 20)]) == {}      # without ordinary words nothing is proven
 
 
+def test_all_words_of_a_text_show_how_random_ordinary_strings_look():
+    chance = random.Random(8)
+    for n in secrets.SHORTEST_OF_CLASS:
+        strings = ["".join(chance.choice(letters) for _ in range(n))
+                   for letters in ("a", "ab", "abcdef", "xyz", "etaoinshrdlu", "abcdefghijklmnopqrstuvwxyz") for _ in range(40)]
+        got = secrets.word_values(np.array([[ord(c) - ord("a") for c in s] for s in strings], np.uint8))
+        assert max(abs(a - secrets.randomness(s)) for a, s in zip(got, strings)) < 1e-12
+    # words far behind the first ones count, in every text of a batch and beyond what is tested at once
+    texts = ["aaaa " * 100_000 + "quick brown foxes jump over lazy dogs " * 20, "", "Quick BROWN foxes and 4 dogs"]
+    want = Counter()
+    for joined in map(secrets.joined_words, texts):
+        for stratum, n in enumerate(secrets.SHORTEST_OF_CLASS):
+            for at in range(0, len(joined) - n + 1, n):
+                want[stratum, min(int(secrets.randomness(joined[at:at + n]) * secrets.BINS), secrets.BINS - 1)] += 1
+    found = secrets.ordinary_counts(texts)
+    assert {(s, b): found[s, b] for s, b in np.argwhere(found).tolist()} == want
+
+
 def test_keys_of_every_length_are_found_among_ordinary_text(spark):
     chance, letters = random.Random(6), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
     lengths = (20, 40, 64, 86)
