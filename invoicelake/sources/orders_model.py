@@ -34,13 +34,14 @@ def derive_bronze(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_orderkey").alias("ok"), F.col("l_partkey").alias("pk"),
         F.col("l_linenumber").alias("ln"), F.col("l_quantity").cast("int").alias("qty"),
         F.col("l_returnflag").alias("rf"))
+    # what hangs on an order is joined to the orders: lines are shuffled by order and by part, but not by customer too
+    placed = orders.join(
+        table("customer").select(F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias("n_nationkey")), "ck"
+    ).join(table("nation").select("n_nationkey", "n_name"), "n_nationkey")
     base = (
         spread(lineitem)
-        .join(orders, "ok")
+        .join(placed, "ok")
         .join(table("part").select(F.col("p_partkey").alias("pk"), "p_name"), "pk")
-        .join(table("customer").select(F.col("c_custkey").alias("ck"),
-                                       F.col("c_nationkey").alias("n_nationkey")), "ck")
-        .join(table("nation").select("n_nationkey", "n_name"), "n_nationkey")
     )
     h, ok, pk = F.col("h"), F.col("ok"), F.col("pk")
     cancel = (F.col("rf") == "R") & (ok % 5 == 0)
