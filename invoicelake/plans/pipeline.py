@@ -108,12 +108,12 @@ def publish_layer(spark: SparkSession, version: str, name: str, view: str, key:
 
 def evaluate_model(
     clean: DataFrame, days: dict[str, dt.date], rounds: int = churn.ROUNDS,
-    horizon: int = HORIZON_DAYS, notes: dict[str, str] | None = None,
+    horizon: int = HORIZON_DAYS, notes: dict[str, str] | None = None, newest: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
     """Train on the older snapshot, test on the newer: (newer snapshot, run record, metrics). ``notes`` go into the record
-    with the parameters."""
+    with the parameters; ``newest`` is the newer snapshot, where it is stored already."""
     train_on = stage(gold.churn_snapshot(clean, days["train_at"], horizon), "train_snapshot")
-    test_on = newest_snapshot(clean, days, horizon)
+    test_on = newest_snapshot(clean, days, horizon) if newest is None else newest
     metrics = churn.evaluate(churn.train(train_on, rounds), test_on)
     params = churn.model_params(rounds) | {
         "train_snapshot": str(days["train_at"]), "test_snapshot": str(days["test_at"]),
@@ -139,8 +139,12 @@ def score_customers(
     model: PipelineModel, customers: DataFrame, record: DataFrame
 ) -> DataFrame:
     """Scores for the active base, each carrying the run it comes from."""
-    run_id = record.first().run_id
-    return conform(churn.score(model, gold.active_customers(customers), run_id), CHURN_RISK)
+    return of_run(churn.score(model, gold.active_customers(customers)), record)
+
+
+def of_run(scores: DataFrame, record: DataFrame) -> DataFrame:
+    """Scores as they are published, with the run they come from."""
+    return conform(scores.withColumn("model_run_id", F.lit(record.first().run_id)), CHURN_RISK)
 
 
 def run_report(counts: DataFrame, days: dict[str, dt.date], metrics: dict[str, float]) -> DataFrame:

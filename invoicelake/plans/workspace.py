@@ -102,16 +102,21 @@ class Workspace:
 
     @cached_property
     def evaluation(self) -> tuple[DataFrame, DataFrame, dict[str, float]]:
-        return pipeline.evaluate_model(self.silver, self.days, churn.ROUNDS)
+        return pipeline.evaluate_model(self.silver, self.days, churn.ROUNDS, newest=self.test_snapshot)
 
     @cached_property
     def model(self) -> PipelineModel:
-        return churn.train(self.evaluation[0], churn.ROUNDS)
+        """The model of the newest snapshot; the fit that is evaluated is another, on the older one."""
+        return churn.train(self.test_snapshot, churn.ROUNDS)
 
     @cached_property
+    def model_scores(self) -> DataFrame:
+        """Revenue at risk by the model, without the run it is recorded under: no evaluation is needed for it."""
+        return stage(churn.score(self.model, gold.active_customers(self.rfm)), "model_scores")
+
+    @property
     def model_risk(self) -> DataFrame:
-        scores = pipeline.score_customers(self.model, self.rfm, self.evaluation[1])
-        return stage(scores, "model_risk")
+        return pipeline.of_run(self.model_scores, self.evaluation[1])
 
     def gold_tables(self, risk: DataFrame | None = None) -> dict[str, DataFrame]:
         return {
