@@ -25,17 +25,15 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from contextlib import contextmanager
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.session import stage
+from invoicelake.session import passing, settings, stage
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -52,11 +50,11 @@ COUNTED_BYTES = 16 << 20    # smaller splits are counted together
 RANGE = 2_000_000           # shingles that are added up together, about
 TOGETHER = 100_000          # random numbers at a time, in memory that is used again
 CACHED_WORDS = 100_000
-ROWS_AT_ONCE = 1000          # rows, each with a whole text or vector, that a Python worker is sent at once
+ROWS_AT_ONCE = 1000          # rows, each with a whole text, vector or range of counts, that a Python worker is sent at once
+BYTES_AT_ONCE = "4m"         # and their size: a row of counts has tens of KB, and a batch lies in memory several times
 BLOCK_BYTES = 2 << 20  # vectors of a bucket that are compared with those of another block in one task, about
 
 _WORD = re.compile(r"\w+")
-_WORDS: dict[str, int] = {}
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 16
 
@@ -66,17 +64,30 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class _Words(dict):
+    """Hashes of the words seen last."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_WORDS = _Words()
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     words = _WORD.findall(text.lower()) if text else []
-    unseen = set(words).difference(_WORDS)
-    if len(_WORDS) + len(unseen) > CACHED_WORDS:
-        _WORDS.clear()
-        unseen = set(words)
-    for word in unseen:
-        _WORDS[word] = xxhash.xxh3_64_intdigest(word)
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """The distinct hashes in ascending order; sorting takes a sixth of the time of NumPy's table of hashes."""
+    hashes = np.sort(hashes)
+    return hashes[np.append(True, hashes[1:] != hashes[:-1])] if len(hashes) else hashes
+
+
 def shingles(words: np.ndarray) -> np.ndarray:
     """A hash of every run of five words, with repeats."""
     n = min(len(words), SHINGLE_WORDS)
@@ -90,10 +101,12 @@ def shingles(words: np.ndarray) -> np.ndarray:
 
 
 class Weights:
-    """Weights of shingles: the inverse document frequencies of the common ones, sorted by hash."""
+    """Weights of shingles: the inverse document frequencies of the common ones, sorted by hash. Those of all others are
+    from ``least`` to ``rare``."""
 
-    def __init__(self, hashes: np.ndarray, factors: np.ndarray, documents: int):
+    def __init__(self, hashes: np.ndarray, factors: np.ndarray, documents: int, least: float = 1.0):
         self.hashes, self.factors, self.rare, self.documents = hashes, factors, 1 + IDF_GAIN, documents
+        self.least = min(least, self.rare)
 
     def common(self, distinct: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
@@ -206,6 +219,26 @@ class Vector:
         return max(weighted, len(both) / (self.n + other.n - len(both))) >= SIMILARITY
 
 
+def settled(a: bytes, b: bytes, least: float, most: float) -> bool | None:
+    """Whether two contents link, by the factors of common shingles alone; None if that depends on those of the others.
+
+    A negative weight is the number of occurrences of a shingle whose factor is from ``least`` to ``most``. The weighted
+    similarity is s / (s + d), s summed over what two contents share and d over what they differ in."""
+    few, many = sorted((from_bytes(a), from_bytes(b)), key=lambda v: len(v[0]))
+    at = np.minimum(np.searchsorted(many[0], few[0]), len(many[0]) - 1)
+    both = np.flatnonzero(many[0][at] == few[0])
+    if len(both) / (len(few[0]) + len(many[0]) - len(both)) >= SIMILARITY:
+        return True
+    shared = np.where(few[1][both] > 0, 1, -1) * np.minimum(np.abs(few[1][both]), np.abs(many[1][at[both]]))
+    known, other = (sum(np.maximum(sign * v, 0).sum() for v in (few[1], many[1])) for sign in (1, -1))
+    s_known, s_other = (np.maximum(sign * shared, 0).sum() for sign in (1, -1))
+    d_known, d_other = known - 2 * s_known, other - 2 * s_other
+    highest = (s_known + s_other * most) / max(s_known + s_other * most + d_known + d_other * least, 1e-300)
+    lowest = (s_known + s_other * least) / max(s_known + s_other * least + d_known + d_other * most, 1e-300)
+    # the margin is for rounding: the weights that decide are singles
+    return True if lowest >= SIMILARITY + 1e-5 else False if highest < SIMILARITY - 1e-5 else None
+
+
 def to_bytes(vector: tuple[np.ndarray, np.ndarray]) -> bytes:
     return vector[0].tobytes() + vector[1].astype("<f4").tobytes()
 
@@ -244,7 +277,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
         for text in _texts(batches, 0):
             documents += 1
-            pending.append(np.unique(shingles(word_hashes(text))))
+            pending.append(_distinct(shingles(word_hashes(text))))
             size, sums = size + len(pending[-1]), sums + len(pending[-1])
             if size > COUNTED_TOGETHER:
                 yield from flush()
@@ -296,7 +329,9 @@ def corpus_weights(docs: DataFrame, frequencies: DataFrame | None = None) -> Wei
     rows = frequencies.filter(F.col("shingle").isNotNull() & (F.col("n") * COMMON >= sums)).select("shingle", "n").collect()
     hashes = np.array([r[0] for r in rows], np.int64).view(np.uint64)
     order, df = np.argsort(hashes), np.array([r[1] for r in rows], float)
-    return Weights(hashes[order], 1 + IDF_GAIN * np.log(documents / df[order]) / math.log(max(documents, 2)), documents)
+    least = 1 + IDF_GAIN * math.log(documents / max(sums / COMMON, 1)) / math.log(max(documents, 2))
+    return Weights(
+        hashes[order], 1 + IDF_GAIN * np.log(documents / df[order]) / math.log(max(documents, 2)), documents, least)
 
 
 def contents(docs: DataFrame, weights: Weights) -> DataFrame:
@@ -324,12 +359,29 @@ def contents(docs: DataFrame, weights: Weights) -> DataFrame:
     ).mapInArrow(read, "doc_id long, raw long, content binary, bands array<long>")
 
 
-def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, frequencies: DataFrame) -> DataFrame:
-    """content, vector of the wanted contents (content, doc_id, raw), by the exact df of every shingle.
-
-    The common shingles get theirs from ``weights``, the others by a join; so no key of the join is in many rows."""
+def _counted(docs: DataFrame, wanted: DataFrame, weights: Weights) -> DataFrame:
+    """content, vector of the wanted contents (content, doc_id, raw): the weights of common shingles, and of all others
+    the numbers of occurrences, below 0."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in _texts([batch], 1):
+                distinct, found = sent.value.of(word_hashes(text))
+                out.append(to_bytes((distinct, np.where(sent.value.common(distinct), found, -found / sent.value.rare))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["content", "vector"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("x"), F.col("text").cast("string").alias("text"))
+    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("x") == F.col("raw"))
+    return texts.join(wanted, same).groupBy("content").agg(F.any_value("text").alias("text")).mapInArrow(
+        read, "content binary, vector binary")
+
+
+def _exact(counted: DataFrame, weights: Weights, frequencies: DataFrame) -> DataFrame:
+    """The vectors of ``_counted`` by the exact df of every shingle.
+
+    The common shingles have theirs, the others get them by a join; so no key of the join is in many rows."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contents, parts, size = [], [], 0
 
@@ -340,14 +392,13 @@ def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, frequencies:
                 names=["content", "shingle", "key", "weight", "known"])
 
         for batch in batches:
-            for content, text in zip(batch.column(0).to_pylist(), _texts([batch], 1)):
-                distinct, found = sent.value.of(word_hashes(text))
-                known = sent.value.common(distinct)
-                found = np.where(known, found, found / sent.value.rare)
+            for content, vector in zip(batch.column(0).to_pylist(), _texts([batch], 1)):
+                distinct, found = from_bytes(vector)
+                known = found > 0
                 # what is known already is spread over the join by keys that are no shingles
                 key = np.where(known, _mixed(distinct ^ np.frombuffer(content, np.uint64, 1)[0]), distinct)
                 contents += [content] * len(distinct)
-                parts.append((distinct.view(np.int64), key.view(np.int64), found, known))
+                parts.append((distinct.view(np.int64), key.view(np.int64), np.abs(found), known))
                 size += len(distinct)
                 if size > SENT_TOGETHER:
                     yield flush()
@@ -366,10 +417,7 @@ def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, frequencies:
                 out.append(to_bytes((hashes[order], weights[order])))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["content", "vector"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("x"), F.col("text").cast("string").alias("text"))
-    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("x") == F.col("raw"))
-    single = texts.join(wanted, same).groupBy("content").agg(F.any_value("text").alias("text"))
-    rows = single.mapInArrow(read, "content binary, shingle long, key long, weight double, known boolean")
+    rows = counted.mapInArrow(read, "content binary, shingle long, key long, weight double, known boolean")
     idf = F.lit(1.0) + IDF_GAIN * F.log(F.lit(weights.documents) / F.col("n")) / math.log(max(weights.documents, 2))
     factors = frequencies.filter("shingle IS NOT NULL").select(F.col("shingle").alias("key"), idf.alias("factor"))
     factor = F.when(F.col("known"), 1.0).otherwise(F.coalesce("factor", F.lit(weights.rare)))
@@ -378,12 +426,16 @@ def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, frequencies:
         F.collect_list("s").alias("found")).mapInArrow(pack, "content binary, vector binary")
 
 
-def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+def _vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, frequencies: DataFrame) -> DataFrame:
+    """content, vector of the wanted contents (content, doc_id, raw), by the exact df of every shingle."""
+    return _exact(_counted(docs, wanted, weights), weights, frequencies)
+
+
+def _verified(pairs: DataFrame, vectors: DataFrame, links=lambda x, y: Vector(x).links(Vector(y))) -> DataFrame:
     """a, b, linked for pairs of contents."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = [Vector(x).links(Vector(y))
-                      for x, y in zip(_texts([batch], 2), _texts([batch], 3))]
+            linked = [links(x, y) for x, y in zip(_texts([batch], 2), _texts([batch], 3))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
@@ -420,24 +472,23 @@ def _links_inside(members: DataFrame, vectors: DataFrame) -> DataFrame:
         "bucket", "content", "label", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     rows = rows.join(vectors, "content")
 
-    def link(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("content")
-        names, own = group["content"].tolist(), group["own"].tolist()
-        vectors = list(map(Vector, group["vector"]))
-        sets, out = _Sets(len(group)), []
-        for places in group.reset_index(drop=True).groupby("label").indices.values():
-            for i in places[1:]:
-                sets.join(int(places[0]), int(i))
-        whole = group["low"].iloc[0] == group["high"].iloc[0]
+    def link(group: pa.Table) -> pa.Table:
+        group = group.sort_by("content")
+        names, own, labels = (group[c].to_pylist() for c in ("content", "own", "label"))
+        vectors = [Vector(x.as_py()) for x in group["vector"]]
+        sets, out, first = _Sets(len(names)), [], {}
+        for i, label in enumerate(labels):
+            sets.join(first.setdefault(label, i), i)
+        whole = group["low"][0] == group["high"][0]
         for i in range(len(names)):
             for j in range(i):
                 if (whole or own[i] != own[j]) and vectors[i].may_link(vectors[j]) and (
                         sets.find(i) != sets.find(j)) and vectors[i].links(vectors[j]):
                     sets.join(i, j)
                     out.append((names[j], names[i]))
-        return pd.DataFrame(out, columns=["a", "b"])
+        return pa.table({c: pa.array([pair[k] for pair in out], pa.binary()) for k, c in enumerate("ab")})
 
-    return rows.groupBy("bucket", "low", "high").applyInPandas(link, "a binary, b binary")
+    return rows.groupBy("bucket", "low", "high").applyInArrow(link, "a binary, b binary")
 
 
 def links(docs: DataFrame, rows: DataFrame, weights: Weights, frequencies: DataFrame) -> DataFrame:
@@ -451,8 +502,17 @@ def links(docs: DataFrame, rows: DataFrame, weights: Weights, frequencies: DataF
     stars = stage(buckets.join(first, "bucket").select("bucket", "a", F.col("content").alias("b")).filter("a <> b"), "stars")
     pairs = stars.select("a", "b").distinct()
     touched = stars.select(F.col("a").alias("content")).union(stars.select(F.col("b").alias("content"))).distinct()
-    vectors = stage(_vectors(docs, single.select("content", "doc_id", "raw").join(touched, "content"), weights, frequencies), "vectors")
-    checked = stage(_verified(pairs, vectors), "checked")
+    counted = stage(_counted(docs, single.select("content", "doc_id", "raw").join(touched, "content"), weights), "counted")
+    # most pairs are settled by the common shingles; the others, and buckets that may be open, need the df of every shingle
+    least, most = weights.least, weights.rare
+    first_look = stage(_verified(pairs, counted, lambda x, y: settled(x, y, least, most)), "settled")
+    unsure = first_look.filter("linked IS NULL").select("a", "b")
+    loose = stars.join(first_look, ["a", "b"]).groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bool_and(F.coalesce("linked", F.lit(False))).alias("closed")).filter("NOT closed AND n > 1")
+    wanted = unsure.union(stars.join(loose, "bucket").select("a", "b")).select(
+        F.explode(F.array("a", "b")).alias("content")).distinct()
+    vectors = stage(_exact(counted.join(wanted, "content"), weights, frequencies), "vectors")
+    checked = stage(first_look.filter("linked IS NOT NULL").union(_verified(unsure, vectors)), "checked")
     # buckets with a content that is not like the smallest; equal buckets of several bands are compared once
     marked = stars.join(checked, ["a", "b"])
     open_ = marked.groupBy("bucket").agg(
@@ -488,30 +548,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("content", "label")
 
 
-@contextmanager
-def _few_rows_at_once(spark: SparkSession) -> Iterator[None]:
-    """Smaller batches for the jobs that run meanwhile; the session's setting comes back afterwards."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(ROWS_AT_ONCE))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, raw (xxhash64 of the text), label: one row per document.
 
     Rows of one class, and no others, have one label; it is missing for a missing or empty text, which is alone."""
-    with _few_rows_at_once(docs.sparkSession):
+    spark = docs.sparkSession
+    few = settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(ROWS_AT_ONCE),
+                   spark__sql__execution__arrow__maxBytesPerBatch=BYTES_AT_ONCE)
+    with passing(spark), few:
         frequencies = document_frequencies(docs)
         weights = corpus_weights(docs, frequencies)
         rows = stage(contents(docs, weights), "samples")
         labels = components(links(docs, rows, weights, frequencies))
-    labelled = rows.select("doc_id", "raw", "content").join(labels, "content", "left").withColumn(
-        "label", F.coalesce("label", "content"))
-    labelled = stage(labelled.select("doc_id", "raw", "label"), "classes")
+        labelled = rows.select("doc_id", "raw", "content").join(labels, "content", "left").withColumn(
+            "label", F.coalesce("label", "content"))
+        labelled = stage(labelled.select("doc_id", "raw", "label"), "classes", keep=True)
     above = F.lit(2 ** 63 - 1)
     named = labelled.filter(F.col("label").isNotNull()).groupBy("label").agg(
         F.min(F.struct(F.coalesce("doc_id", above), "doc_id")).getField("doc_id").alias("class_id"))

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)   # paths staged in the open block
+
 
 def local_session(app: str = "invoicelake", cores: str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
@@ -47,13 +53,47 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session (``__`` for a dot) for the jobs that run meanwhile; what was set comes back afterwards."""
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """The tables staged meanwhile are deleted at the end, but for those staged with ``keep``: no frame that is used
+    later may read them."""
+    paths: list[str] = []
+    token = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        for path in paths:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stage(df: DataFrame, name: str, partition_by: str | None = None, keep: bool = False) -> DataFrame:
     """Write once, read back: cuts the lineage and survives the loss of executors.
 
     Parquet rather than ``checkpoint()``, so that later passes read only the columns they use
-    and push their filters into the scan.
+    and push their filters into the scan. The shuffles of the write are not needed after it: their files go with its end,
+    not when the driver happens to collect its garbage.
     """
-    path = staging_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    if _PASSING.get() is not None and not keep:
+        _PASSING.get().append(path)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with settings(spark, **{SHUFFLE_CLEANUP: "true"}):
+        writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
