@@ -10,8 +10,16 @@ from invoicelake.llm.queries import reach_workers
 from invoicelake.session import stage
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what Python workers are sent at once: 10,000 texts, Spark's bound, lie in an executor's memory several times.
+
+    The setting stays, as the frames of the stages are run by the caller."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", neardup.BYTES_AT_ONCE)
+
+
 def identify(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Drops the documents that are in no language: without text or without a letter."""
+    small_batches(spark)
     return language.keep_identified(docs)
 
 
@@ -32,6 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Cuts and packs the documents into windows; one row per piece."""
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

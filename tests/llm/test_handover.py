@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from invoicelake import session
 from invoicelake.llm import neardup
 
@@ -64,6 +65,19 @@ def test_batches_to_workers_are_bounded_in_bytes(spark, docs, monkeypatch):
     assert seen == [neardup.BYTES_AT_ONCE] and spark.conf.get(key) == before
 
 
+def test_stages_that_the_caller_runs_get_bounded_batches(spark, docs):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        stages = dict(corpus_pipeline.STAGES)
+        for name in ("language", "packing"):
+            spark.conf.set(key, before)
+            stages[name](spark, docs.withColumns({"lang": F.lit("en"), "source": F.lit("a")}), "")
+            assert spark.conf.get(key) == neardup.BYTES_AT_ONCE
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_what_common_shingles_settle_is_what_all_document_frequencies_say():
     rng, states = np.random.default_rng(8), []
     pool = np.sort(rng.integers(0, 2 ** 63, 300, dtype=np.uint64))
