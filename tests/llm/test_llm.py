@@ -519,3 +519,18 @@ def test_document_frequencies_are_exact_however_the_corpus_is_cut(spark, portion
         assert weights.hashes.tolist() == sorted(common)
         wanted = [1 + neardup.IDF_GAIN * np.log(len(texts) / common[s]) / np.log(len(texts)) for s in sorted(common)]
         assert np.allclose(weights.factors, wanted)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_met_again_are_kept_when_memory_is_full(monkeypatch, name):
+    """Once a task's memory is full, the words of most texts need not go to the library again; ids stay those of whole texts."""
+    monkeypatch.setattr(tokens, "CACHED_BYTES", 100_000)
+    chance, path = random.Random(4), public_tokenizers.path(name)
+    usual = ["".join(chance.choices("abcdefgh", k=6)) for _ in range(100)]
+    texts = [" ".join([*usual, *("".join(chance.choices("abcdefgh", k=9)) for _ in range(60))]) for _ in range(30)]
+    code, asked = tokens.PieceEncoder(path, name.startswith("word")), []
+    learn = code._learn
+    monkeypatch.setattr(code, "_learn", lambda keys: (asked.extend(keys), learn(keys))[1])
+    found = [np.frombuffer(x, "<u4").tolist() for text in texts for x in code.encode([text])]
+    assert found == library(path, texts)
+    assert len(asked) > 1_500 and max(asked.count(word) for word in usual[1:]) == 1
