@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -49,13 +51,16 @@ WORD_BYTES = 6              # of a usual word and the space behind it; only size
 COUNTED_BYTES = 16 << 20    # smaller splits are counted together
 RANGE = 2_000_000           # shingles that are added up together, about
 TOGETHER = 100_000          # random numbers at a time, in memory that is used again
-CACHED_WORDS = 100_000
+PART = 1 << 16               # characters whose words are hashed together; longer texts are cut behind a word
+LONG_WORD = 64               # longer words are never taken from the table
 ROWS_AT_ONCE = 1000          # rows, each with a whole text, vector or range of counts, that a Python worker is sent at once
 BYTES_AT_ONCE = "4m"         # and their size: a row of counts has tens of KB, and a batch lies in memory several times
 BLOCK_BYTES = 2 << 20  # vectors of a bucket that are compared with those of another block in one task, about
 
-_WORD = re.compile(r"\w+")
+_WORD, _GAP = re.compile(r"\w+"), re.compile(r"\W")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0xD6E8FEB86659FD93
+_WORD_BITS = 18
 _TABLE_BITS = 16
 
 
@@ -64,22 +69,68 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class _Words(dict):
-    """Hashes of the words seen last."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
+class _Words:
+    """Hashes of words, those of words seen lately from a table.
+
+    The place in the table is a polynomial of the word's characters, which running sums give for all words of a text at
+    once; only words that are not in their place are cut out and hashed one by one."""
+
+    def __init__(self):
+        every = "".join(map(chr, range(sys.maxunicode + 1)))
+        self.values = np.zeros(len(every), np.uint32)     # of characters, 0 if not of a word
+        for run in _WORD.finditer(every):
+            self.values[run.start():run.end()] = np.arange(run.start(), run.end())
+        self.ascii = bytes(self.values[:128].tolist()) + bytes(128)
+        self.powers, self.inverse = (np.multiply.accumulate(
+            np.append(np.uint64(1), np.full(PART + 2 * LONG_WORD, x, np.uint64))) for x in (_BASE, pow(_BASE, -1, 2 ** 64)))
+        self.keys, self.hashes = (np.zeros(1 << _WORD_BITS, np.uint64) for _ in range(2))
+        self.keys[0] = 1      # 0 belongs here, 1 does not: no place holds a key of its own as yet
+
+    def of(self, text: str) -> np.ndarray:
+        """The hashes of the words of a text in lower case."""
+        if len(text) <= PART:
+            return self._of_part(text)
+        found, begin = [], 0
+        while begin < len(text):
+            cut = _GAP.search(text, begin + PART - LONG_WORD, begin + PART)
+            if cut or begin + PART >= len(text):
+                end = cut.end() if cut else len(text)
+                found.append(self._of_part(text[begin:end]))
+            else:                          # a word too long for a part; it ends beyond it
+                end = cut.end() if (cut := _GAP.search(text, begin + PART)) else len(text)
+                found.append(np.array([xxhash.xxh3_64_intdigest(w) for w in _WORD.findall(text[begin:end])], np.uint64))
+            begin = end
+        return np.concatenate(found)
+
+    def _of_part(self, text: str) -> np.ndarray:
+        text = f" {text} "
+        if text.isascii():
+            values = np.frombuffer(text.encode().translate(self.ascii), np.uint8)
+        else:
+            values = self.values[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+        inside = values != 0
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        begins, ends = edges[::2], edges[1::2]
+        sums = np.cumsum(values * self.powers[:len(values)])
+        keys = (sums[ends] - sums[begins - 1]) * self.inverse[begins]
+        places = ((keys * _MULTIPLY) >> np.uint64(64 - _WORD_BITS)).view(np.int64)
+        found = self.hashes[places]
+        missing = np.flatnonzero((self.keys[places] != keys) | (ends - begins > LONG_WORD))
+        if len(missing):
+            spans = zip(begins[missing].tolist(), ends[missing].tolist())
+            found[missing] = new = np.array([xxhash.xxh3_64_intdigest(text[i:j]) for i, j in spans], np.uint64)
+            self.keys[places[missing]], self.hashes[places[missing]] = keys[missing], new
         return found
 
 
-_WORDS = _Words()
+@lru_cache(maxsize=1)
+def _words() -> _Words:
+    """One table per Python worker."""
+    return _Words()
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    words = _WORD.findall(text.lower()) if text else []
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return _words().of(text.lower()) if text else np.empty(0, np.uint64)
 
 
 def _distinct(hashes: np.ndarray) -> np.ndarray:
@@ -132,12 +183,12 @@ class Sampler:
         random = np.random.default_rng(20240229)
         self.factors = random.integers(1, 2 ** 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.r = random.gamma(2, 1, 1 << _TABLE_BITS)
-        self.c = random.gamma(2, 1, 1 << _TABLE_BITS)
+        self.log_c = np.log(random.gamma(2, 1, 1 << _TABLE_BITS))
         self.beta = random.random(1 << _TABLE_BITS)
         # all that depends on the usual weight is computed once
         self.numbers, self.keys = np.empty(TOGETHER, np.uint64), np.empty(TOGETHER, np.float32)
         self.usual, usual_t = usual, np.floor(np.log(usual) / self.r + self.beta)
-        self.usual_key = self._key(usual_t, slice(None)).astype(np.float32)
+        self.usual_key = (self.log_c - self.r * (usual_t - self.beta) - self.r).astype(np.float32)
         self.usual_t = usual_t.astype(np.int64)
         self.plain_factors = np.random.default_rng(20240301).integers(
             1, 2 ** 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,14 +199,11 @@ class Sampler:
             self.numbers, self.keys = np.empty(samples * n, np.uint64), np.empty(samples * n, np.float32)
         return tuple(x[:samples * n].reshape(samples, n) for x in (self.numbers, self.keys))
 
-    def _key(self, t: np.ndarray, place) -> np.ndarray:
-        r = self.r[place]
-        return np.log(self.c[place]) - r * (t - self.beta[place]) - r
-
     def sample(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """For every sample, a hash of the chosen shingle and its level."""
         out = np.empty(len(self.factors), np.uint64)
         odd = np.flatnonzero(weights != self.usual)
+        odd_log = np.log(weights[odd])
         step = max(1, TOGETHER // len(hashes))
         for at in range(0, len(out), step):
             factors = self.factors[at:at + step]
@@ -165,8 +213,11 @@ class Sampler:
             np.take(self.usual_key, place, out=key, mode="clip")
             if len(odd):
                 odd_place = place[:, odd]
-                odd_t = np.floor(np.log(weights[odd]) / self.r[odd_place] + self.beta[odd_place])
-                key[:, odd] = self._key(odd_t, odd_place)
+                r, beta, odd_key = (x[odd_place] for x in (self.r, self.beta, self.log_c))
+                odd_t = np.floor(odd_log / r + beta)
+                odd_key -= r * (odd_t - beta)
+                odd_key -= r
+                key[:, odd] = odd_key
             best = key.argmin(axis=1)
             level = self.usual_t[place[np.arange(len(best)), best]]
             if len(odd):

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
@@ -534,3 +535,21 @@ def test_pieces_met_again_are_kept_when_memory_is_full(monkeypatch, name):
     found = [np.frombuffer(x, "<u4").tolist() for text in texts for x in code.encode([text])]
     assert found == library(path, texts)
     assert len(asked) > 1_500 and max(asked.count(word) for word in usual[1:]) == 1
+
+
+def test_word_hashes_are_those_of_the_words():
+    long = "x" * (neardup.LONG_WORD + 1)
+    texts = ["", " ", "a", "İstanbul ΣΑΣ ΟΔΟΣ x_1 ٣٤ 𝔘𝔫𝔦 😀b ²½ ﬁ\x00", f"{long} y {'z' * neardup.LONG_WORD} {long}a {long}b",
+             "ab, cé " * 30_000, "w" * 70_000 + " b " + "é" * neardup.PART, "c" * (neardup.PART - 1) + " d", "e" * (neardup.PART - 2) + "! f"]
+    for text in [*texts, *texts[::-1]]:
+        words = re.findall(r"\w+", text.lower())
+        assert neardup.word_hashes(text).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+    assert neardup.word_hashes(None).tolist() == []
+
+
+def test_words_of_a_large_vocabulary_are_mostly_hashed_once(monkeypatch):
+    text, hashed, hashing = " ".join(f"word{i}" for i in range(120_000)), [], xxhash.xxh3_64_intdigest
+    neardup.word_hashes(text)
+    monkeypatch.setattr(neardup.xxhash, "xxh3_64_intdigest", lambda word: hashed.append(word) or hashing(word))
+    neardup.word_hashes(text)
+    assert len(hashed) < 60_000
