@@ -9,6 +9,8 @@ from invoicelake.llm import language, mixing, neardup, packing, pii
 from invoicelake.llm.queries import reach_workers
 from invoicelake.session import stage
 
+ENCODER_BYTES = 50_000_000   # half of what packing alone remembers: workers keep it through the stages that follow
+
 
 def small_batches(spark: SparkSession) -> None:
     """Bounds what Python workers are sent at once: 10,000 texts, Spark's bound, lie in an executor's memory several times.
@@ -41,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Cuts and packs the documents into windows; one row per piece."""
     small_batches(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cached_bytes=ENCODER_BYTES)
 
 
 STAGES = [

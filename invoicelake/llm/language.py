@@ -13,7 +13,7 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -48,18 +48,28 @@ def features(text: str) -> np.ndarray:
 
 
 def linear_machine(x: np.ndarray, y: np.ndarray, decay: float = 1e-4, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights and bias with the least squared hinge loss, by accelerated gradient steps; both classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    """Weights and bias with the least squared hinge loss, by accelerated gradient steps; both classes weigh the same.
+
+    The last column of ``x`` is 1."""
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     step = 1 / (4 + decay)
     w = ahead = np.zeros(x.shape[1])
     for i in range(rounds):
-        slope = -2 * x.T @ (weight * y * np.maximum(0, 1 - y * (x @ ahead))) + decay * ahead
+        slope = -2 * (x.T @ (weight * y * np.maximum(0, 1 - y * (x @ ahead)))) + decay * ahead
         new = ahead - step * slope
         w, ahead = new, new + i / (i + 3) * (new - w)
     return w
 
 
+def stacked(vectors: Sequence[bytes]) -> np.ndarray:
+    """Stored vectors as rows, and a 1 behind each. They are widened in their place: a second copy of the largest group
+    would be what an executor's memory is taken for."""
+    x = np.ones((len(vectors), DIMENSIONS + 1))
+    for row, raw in zip(x, vectors):
+        row[:-1] = np.frombuffer(raw, "<f4")
+    return x
+
+
 def families_of(names: list[str], centres: np.ndarray) -> list[list[str]]:
     """Languages linked by a similarity above the average of all pairs."""
     unit = centres / np.linalg.norm(centres, axis=1, keepdims=True)
@@ -129,10 +139,9 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
                 names=["lang", "vector"])
 
     sample = stage(few.mapInArrow(vectors, "lang string, vector binary"), "language-sample")
-    stack = lambda v: np.stack([np.frombuffer(x, "<f4") for x in v]).astype(float)
 
     def centre(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"lang": group["lang"].iloc[:1], "vector": [stack(group["vector"]).mean(axis=0).tobytes()]})
+        return pd.DataFrame({"lang": group["lang"].iloc[:1], "vector": [stacked(group["vector"]).mean(axis=0)[:-1].tobytes()]})
 
     centres = sorted(tuple(r) for r in sample.groupBy("lang").applyInPandas(
         centre, "lang string, vector binary").collect())
@@ -148,7 +157,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
 
     def machine(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["lang", "vector"])
-        w = linear_machine(stack(group["vector"]), group["y"].to_numpy(float))
+        w = linear_machine(stacked(group["vector"]), group["y"].to_numpy(float))
         return pd.DataFrame({"machine": group["machine"].iloc[:1], "w": [w.tobytes()]})
 
     plan = sample.sparkSession.createDataFrame(sides, "machine string, lang string, y int")

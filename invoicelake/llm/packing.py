@@ -86,14 +86,14 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
 
 
 def document_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID,
-                    keep_ids: bool = False) -> DataFrame:
+                    keep_ids: bool = False, cached_bytes: int | None = None) -> DataFrame:
     """Pieces of at most ``window`` ids; with ``keep_ids`` the ids themselves, as little-endian 32-bit numbers."""
     names = [part.split()[0] for part in PIECES.split(", ")] + ["ids"] * keep_ids
     end = np.array([end_id], "<u4").tobytes()
     types = [pa.int64()] * 5 + [pa.binary()] * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(tokenizer, True)
+        code = encoder(tokenizer, True, cached_bytes)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in by_size(texts):
@@ -137,8 +137,10 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIEC
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    return pack(document_pieces(docs, tokenizer, window, end_id), window)
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID,
+                   cached_bytes: int | None = None) -> DataFrame:
+    """``cached_bytes`` bounds what a Python worker remembers of the tokenizer's work."""
+    return pack(document_pieces(docs, tokenizer, window, end_id, cached_bytes=cached_bytes), window)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

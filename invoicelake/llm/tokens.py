@@ -63,11 +63,11 @@ class PieceEncoder:
     handled as the library handles them by default. A missing text has no ids.
     """
 
-    def __init__(self, path: str, drops_space: bool):
+    def __init__(self, path: str, drops_space: bool, cached_bytes: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.drops_space = drops_space
+        self.drops_space, self.cached_bytes = drops_space, cached_bytes or CACHED_BYTES
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)   # of a byte-level token
         self.ends_word = np.zeros(len(self.n_bytes), bool)
@@ -198,7 +198,7 @@ class PieceEncoder:
         for key in long:
             del self.known[key]
         self.held += sum(map(sys.getsizeof, learnt)) - sum(map(sys.getsizeof, long)) + ENTRY_BYTES * len(learnt)
-        if self.held + 4 * len(self.ids) > CACHED_BYTES:
+        if self.held + 4 * len(self.ids) > self.cached_bytes:
             self._keep_half()
 
     def _keep_half(self) -> None:
@@ -208,7 +208,7 @@ class PieceEncoder:
         most = most[met[numbers[most]] > 1]
         ids, reached = self._ids_of(numbers[most])
         self._forget()
-        if 4 * len(ids) + ENTRY_BYTES * len(most) + sum(sys.getsizeof(keys[i]) for i in most.tolist()) > CACHED_BYTES // 2:
+        if 4 * len(ids) + ENTRY_BYTES * len(most) + sum(sys.getsizeof(keys[i]) for i in most.tolist()) > self.cached_bytes // 2:
             return
         for i in most.tolist():
             self.held += sys.getsizeof(keys[i]) + ENTRY_BYTES
@@ -221,9 +221,9 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, drops_space: bool) -> PieceEncoder:
-    """One encoder per Python worker and file."""
-    return PieceEncoder(path, drops_space)
+def encoder(path: str, drops_space: bool, cached_bytes: int | None = None) -> PieceEncoder:
+    """One encoder per Python worker and file. It takes about 80 MB and up to three times ``cached_bytes`` at its peak."""
+    return PieceEncoder(path, drops_space, cached_bytes)
 
 
 def by_size(texts: list[str | None], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:

@@ -5,6 +5,7 @@ import random
 import re
 import sys
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -553,3 +554,25 @@ def test_words_of_a_large_vocabulary_are_mostly_hashed_once(monkeypatch):
     monkeypatch.setattr(neardup.xxhash, "xxh3_64_intdigest", lambda word: hashed.append(word) or hashing(word))
     neardup.word_hashes(text)
     assert len(hashed) < 60_000
+
+
+def test_encoder_forgets_at_the_size_it_is_given():
+    encoder, library = PieceEncoder(WORDS, True, 200_000), Tokenizer.from_file(WORDS)
+    for at in range(0, 20_000, 1000):
+        text = " ".join(f"w{i}x{i * i}" for i in range(at, at + 1000))
+        ids, = encoder.encode([text])
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert encoder.held + 4 * len(encoder.ids) <= 200_000
+    assert PieceEncoder(WORDS, True).cached_bytes == tokens.CACHED_BYTES
+
+
+def test_machine_is_fitted_on_one_copy_of_its_vectors():
+    vectors = [np.random.default_rng(i).random(language.DIMENSIONS).astype("<f4").tobytes() for i in range(600)]
+    sides = np.where(np.arange(600) % 2, 1.0, -1.0)
+    tracemalloc.start()
+    x = language.stacked(vectors)
+    language.linear_machine(x, sides, rounds=3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.1 * x.nbytes
+    assert (x[:, -1] == 1).all() and (x[:, :-1] == np.stack([np.frombuffer(v, "<f4") for v in vectors])).all()
