@@ -108,12 +108,11 @@ def publish_layer(spark: SparkSession, version: str, name: str, view: str, key:
 
 def evaluate_model(
     clean: DataFrame, days: dict[str, dt.date], rounds: int = churn.ROUNDS,
-    horizon: int = HORIZON_DAYS, notes: dict[str, str] | None = None, newest: DataFrame | None = None,
+    horizon: int = HORIZON_DAYS, notes: dict[str, str] | None = None, snapshots: tuple[DataFrame, DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
     """Train on the older snapshot, test on the newer: (newer snapshot, run record, metrics). ``notes`` go into the record
-    with the parameters; ``newest`` is the newer snapshot, where it is stored already."""
-    train_on = stage(gold.churn_snapshot(clean, days["train_at"], horizon), "train_snapshot")
-    test_on = newest_snapshot(clean, days, horizon) if newest is None else newest
+    with the parameters; ``snapshots`` are the older and the newer one, where they are stored already."""
+    train_on, test_on = snapshots or stored_snapshots(clean, days, horizon)
     metrics = churn.evaluate(churn.train(train_on, rounds), test_on)
     params = churn.model_params(rounds) | {
         "train_snapshot": str(days["train_at"]), "test_snapshot": str(days["test_at"]),
@@ -123,6 +122,16 @@ def evaluate_model(
     return test_on, record, metrics
 
 
+def stored_snapshots(
+    clean: DataFrame, days: dict[str, dt.date], horizon: int = HORIZON_DAYS,
+) -> tuple[DataFrame, DataFrame]:
+    """The older and the newer snapshot, made in one pass and stored in a folder each."""
+    dates = [days["train_at"], days["test_at"]]
+    both = gold.churn_snapshots(clean, dates, horizon).withColumn("__at", F.col("as_of").cast("string"))
+    stored = stage(both, "snapshots", partition_by="__at")
+    return tuple(stored.filter(F.col("__at") == str(at)).drop("__at") for at in dates)
+
+
 def newest_snapshot(clean: DataFrame, days: dict[str, dt.date], horizon: int = HORIZON_DAYS) -> DataFrame:
     return stage(gold.churn_snapshot(clean, days["test_at"], horizon), "test_snapshot")
 

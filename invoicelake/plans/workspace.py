@@ -84,12 +84,16 @@ class Workspace:
         return stage(rfm.rfm_segments(self.features), "rfm")
 
     @cached_property
-    def train_snapshot(self) -> DataFrame:
-        return stage(gold.churn_snapshot(self.silver, self.days["train_at"]), "train_snapshot")
+    def snapshots(self) -> tuple[DataFrame, DataFrame]:
+        """The older and the newer snapshot of the out-of-time split."""
+        return pipeline.stored_snapshots(self.silver, self.days)
 
     @cached_property
     def test_snapshot(self) -> DataFrame:
-        return stage(gold.churn_snapshot(self.silver, self.days["test_at"]), "test_snapshot")
+        """The newer one, alone if the older one is not made yet."""
+        if "snapshots" in self.__dict__:
+            return self.snapshots[1]
+        return pipeline.newest_snapshot(self.silver, self.days)
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -102,7 +106,7 @@ class Workspace:
 
     @cached_property
     def evaluation(self) -> tuple[DataFrame, DataFrame, dict[str, float]]:
-        return pipeline.evaluate_model(self.silver, self.days, churn.ROUNDS, newest=self.test_snapshot)
+        return pipeline.evaluate_model(self.silver, self.days, churn.ROUNDS, snapshots=self.snapshots)
 
     @cached_property
     def model(self) -> PipelineModel:
