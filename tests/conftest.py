@@ -25,6 +25,15 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def no_views_left(spark):
+    """Named views of one module's tests are not there in the next one's."""
+    yield
+    for table in spark.catalog.listTables():
+        if table.isTemporary:
+            spark.catalog.dropTempView(table.name)
+
+
 # One row per class of line: (invoice, code, text, quantity, date, price, customer, country)
 LINES = [
     ("500", "71001", "KETTLE", "4", "2015-02-03 09:10:00", "5.0", "a", "Norway"),
