@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -17,7 +20,7 @@ from invoicelake.operators.gold import active_customers
 from invoicelake.operators.rfm import rfm_scores
 from invoicelake.operators.tree_scoring import with_probability
 from invoicelake.schema import FEATURES
-from invoicelake.session import shared_folder, stage
+from invoicelake.session import cache_memory, shared_folder, stage
 
 # --- fixed values: the model's settings -------------------------------------------
 MAX_DEPTH = 3
@@ -26,6 +29,10 @@ ROUNDS = 300
 SEED = 42
 MAX_BINS = 255
 MIN_ROWS_PER_LEAF = 20
+# --- how fits are laid out
+ROWS_PER_TASK = 500_000   # of a snapshot; what a fit caches of so many rows stays far below an executor's memory
+FIT_BYTES_PER_ROW = 400   # what a fit keeps cached per customer: binned features, count, predictions of three rounds
+CACHE_SHARE = 0.5         # of the memory for cached data that fits side by side may fill
 # ----------------------------------------------------------------------------------
 
 
@@ -46,7 +53,32 @@ def train(snapshot: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
         SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
         VectorAssembler(inputCols=[f"_{c}" for c in FEATURES], outputCol="_features"),
         trees,
-    ]).fit(snapshot)
+    ]).fit(packed(snapshot))
+
+
+def packed(snapshot: DataFrame) -> DataFrame:
+    """The same rows in a few partitions per core at most.
+
+    Each round is six stages, and half of them have as many tasks as the snapshot has partitions but a row for four of
+    them at most: with one partition per small file most of a fit is starting tasks."""
+    cores = snapshot.sparkSession.sparkContext.defaultParallelism
+    if snapshot.rdd.getNumPartitions() <= cores:
+        return snapshot
+    return snapshot.coalesce(cores * max(1, math.ceil(snapshot.count() / (cores * ROWS_PER_TASK))))
+
+
+def train_all(snapshots: list[DataFrame], rounds: int = ROUNDS) -> list[PipelineModel]:
+    """A fit on each of several stored snapshots, side by side if what they keep cached fits into memory together.
+
+    A round is a chain of short jobs that leave most cores idle, which the rounds of the other fits then use."""
+    spark = snapshots[0].sparkSession
+    shared_folder(spark)
+    needed = FIT_BYTES_PER_ROW * sum(s.count() for s in snapshots)
+    if needed > CACHE_SHARE * cache_memory(spark):
+        return [train(s, rounds) for s in snapshots]
+    with ThreadPoolExecutor(len(snapshots)) as pool:
+        fits = [pool.submit(inheritable_thread_target(spark)(train), s, rounds) for s in snapshots]
+        return [fit.result() for fit in fits]
 
 
 def probabilities(model: PipelineModel, customers: DataFrame) -> DataFrame:

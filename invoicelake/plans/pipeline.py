@@ -109,11 +109,13 @@ def publish_layer(spark: SparkSession, version: str, name: str, view: str, key:
 def evaluate_model(
     clean: DataFrame, days: dict[str, dt.date], rounds: int = churn.ROUNDS,
     horizon: int = HORIZON_DAYS, notes: dict[str, str] | None = None, snapshots: tuple[DataFrame, DataFrame] | None = None,
+    model: PipelineModel | None = None,
 ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
     """Train on the older snapshot, test on the newer: (newer snapshot, run record, metrics). ``notes`` go into the record
-    with the parameters; ``snapshots`` are the older and the newer one, where they are stored already."""
+    with the parameters; ``snapshots`` are the older and the newer one, where they are stored already, and ``model`` is the
+    fit on the older one, where it is there."""
     train_on, test_on = snapshots or stored_snapshots(clean, days, horizon)
-    metrics = churn.evaluate(churn.train(train_on, rounds), test_on)
+    metrics = churn.evaluate(model or churn.train(train_on, rounds), test_on)
     params = churn.model_params(rounds) | {
         "train_snapshot": str(days["train_at"]), "test_snapshot": str(days["test_at"]),
         "horizon_days": horizon} | (notes or {})
@@ -132,6 +134,18 @@ def stored_snapshots(
     return tuple(stored.filter(F.col("__at") == str(at)).drop("__at") for at in dates)
 
 
+def stored_customers(
+    clean: DataFrame, days: dict[str, dt.date], horizon: int = HORIZON_DAYS,
+) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
+    """The features of all customers at ``score_at`` and the two snapshots, made in one pass and stored in a folder each."""
+    names = ["train_at", "test_at", "score_at"]
+    every = gold.labelled_customers(clean, [days[n] for n in names], horizon).withColumn("__at", F.col("as_of").cast("string"))
+    kept = every.filter((F.col("as_of") == F.lit(days["score_at"])) | (F.col("recency_days") <= ACTIVE_DAYS))
+    stored = stage(kept, "customers", partition_by="__at")
+    older, newer, latest = (stored.filter(F.col("__at") == str(days[n])).drop("__at") for n in names)
+    return latest.drop("churned"), (older, newer)
+
+
 def newest_snapshot(clean: DataFrame, days: dict[str, dt.date], horizon: int = HORIZON_DAYS) -> DataFrame:
     return stage(gold.churn_snapshot(clean, days["test_at"], horizon), "test_snapshot")
 

@@ -106,7 +106,13 @@ class Workspace:
 
     @cached_property
     def evaluation(self) -> tuple[DataFrame, DataFrame, dict[str, float]]:
-        return pipeline.evaluate_model(self.silver, self.days, churn.ROUNDS, snapshots=self.snapshots)
+        return pipeline.evaluate_model(
+            self.silver, self.days, churn.ROUNDS, snapshots=self.snapshots, model=self.checked_model)
+
+    @cached_property
+    def checked_model(self) -> PipelineModel:
+        """The model of the older snapshot: the one that is evaluated."""
+        return churn.train(self.snapshots[0], churn.ROUNDS)
 
     @cached_property
     def model(self) -> PipelineModel:
@@ -120,6 +126,11 @@ class Workspace:
 
     @property
     def model_risk(self) -> DataFrame:
+        """The scores with their run. What both need is made together, as far as nothing of it is there."""
+        if not {"features", "snapshots", "test_snapshot"} & self.__dict__.keys():
+            self.features, self.snapshots = pipeline.stored_customers(self.silver, self.days)
+        if not {"checked_model", "evaluation", "model"} & self.__dict__.keys():
+            self.checked_model, self.model = churn.train_all(list(self.snapshots), churn.ROUNDS)
         return pipeline.of_run(self.model_scores, self.evaluation[1])
 
     def gold_tables(self, risk: DataFrame | None = None) -> dict[str, DataFrame]:

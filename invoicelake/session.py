@@ -42,6 +42,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def cache_memory(spark: SparkSession) -> int:
+    """Bytes that the executors have for cached data and running jobs together; the driver's where it runs the tasks."""
+    sc = spark.sparkContext
+    status = sc._jvm.scala.jdk.javaapi.CollectionConverters.asJava(sc._jsc.sc().getExecutorMemoryStatus())
+    driver = sc._jvm.org.apache.spark.SparkEnv.get().blockManager().blockManagerId().hostPort()
+    most = {at: status[at]._1() for at in status}
+    return sum(size for at, size in most.items() if at != driver or len(most) == 1)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path in the application's own folder, which is deleted when the application ends."""
     sc = spark.sparkContext

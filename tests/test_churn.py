@@ -1,4 +1,5 @@
 import math
+import threading
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from invoicelake.operators import churn, tree_scoring
 from invoicelake.schema import FEATURES
+from invoicelake.session import cache_memory
 
 
 @pytest.fixture(scope="module")
@@ -126,3 +128,43 @@ def test_node_table_scores_by_hand(model, snapshot):
                 at = nodes[at][2] if (row[nodes[at][0]] or 0.0) <= nodes[at][1] else nodes[at][3]
             raw += weight * nodes[at][4]
         assert abs(row.p - 1 / (1 + math.exp(-2 * raw))) < 1e-12
+
+
+def test_a_fit_has_few_tasks_however_many_files_its_snapshot_has(spark, snapshot, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    scattered = snapshot.repartition(40)
+    few = churn.packed(scattered)
+    assert few.rdd.getNumPartitions() == cores
+    assert few.exceptAll(snapshot).count() == snapshot.exceptAll(few).count() == 0
+    monkeypatch.setattr(churn, "ROWS_PER_TASK", snapshot.count() // (2 * cores))      # more rows, more tasks
+    assert churn.packed(scattered).rdd.getNumPartitions() == 2 * cores
+    one = snapshot.coalesce(1)
+    assert churn.packed(one) is one
+    monkeypatch.undo()
+    fitted = []
+    monkeypatch.setattr(churn.GBTClassifier, "_fit", lambda self, df: fitted.append(df.rdd.getNumPartitions()) or self)
+    monkeypatch.setattr(churn, "Pipeline", lambda stages: stages[-1])
+    churn.train(scattered, 1)
+    assert fitted == [cores]
+
+
+def test_fits_run_side_by_side_if_memory_allows(snapshot, monkeypatch):
+    other = snapshot.withColumn("churned", 1 - F.col("churned"))
+    alone = [churn.train(s, 2) for s in (snapshot, other)]
+    for memory in (10**9, 0):
+        monkeypatch.setattr(churn, "cache_memory", lambda spark: memory)
+        fits = churn.train_all([snapshot, other], 2)
+        for fit, same in zip(fits, alone):
+            assert churn.score(fit, snapshot).exceptAll(churn.score(same, snapshot)).count() == 0
+    meet = threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(churn, "train", lambda s, rounds: meet.wait())
+    monkeypatch.setattr(churn, "cache_memory", lambda spark: 10**9)
+    assert sorted(churn.train_all([snapshot, other])) == [0, 1]                        # both are at work at once
+    monkeypatch.setattr(churn, "cache_memory", lambda spark: 0)
+    monkeypatch.setattr(churn, "train", lambda s, rounds: threading.current_thread() is threading.main_thread())
+    assert churn.train_all([snapshot, other]) == [True, True]
+
+
+def test_the_memory_for_cached_data_is_known(spark):
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert 0.2 * heap < cache_memory(spark) < heap

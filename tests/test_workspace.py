@@ -1,7 +1,7 @@
 import pytest
 
 from conftest import TESTDATA
-from invoicelake.operators import churn
+from invoicelake.operators import churn, gold
 from invoicelake.plans import questions, registry
 from invoicelake.plans.workspace import Workspace
 from invoicelake.sources.orders_model import derive_bronze
@@ -55,3 +55,19 @@ def test_lines_are_joined_by_order_and_part_alone(spark):
             depth = indent
             joins += "Join" in line
     assert joins == 2
+
+
+def test_churn_risk_reads_the_lines_once_for_all_dates(spark, monkeypatch):
+    asked, totals = [], gold._customer_totals
+    monkeypatch.setattr(churn, "ROUNDS", 2)
+    monkeypatch.setattr(gold, "_customer_totals", lambda silver, dates, horizon: asked.append(len(dates)) or totals(silver, dates, horizon))
+    ws = Workspace(spark, TESTDATA)
+    risk = registry.CHURN["churn_risk"](ws)
+    assert risk.count() == ws.rfm.filter("recency_days <= 365").count() > 0
+    assert asked == [3]
+    assert ws.test_snapshot is ws.snapshots[1]
+    apart = [gold.customer_features(ws.silver, ws.days["score_at"]),
+             *[gold.churn_snapshot(ws.silver, ws.days[at]) for at in ("train_at", "test_at")]]
+    for made, want in zip([ws.features, *ws.snapshots], apart):
+        assert made.schema.simpleString() == want.schema.simpleString()
+        assert made.count() == want.count() > 0 and made.exceptAll(want).count() == 0
